@@ -78,7 +78,7 @@ def two_sided_p(z) -> Column:
 def ipv4_to_long(ip) -> Column:
     """Dotted IPv4 text to its unsigned 32-bit value (NULL if malformed)."""
     parts = F.split(col(ip), r"\.")
-    octet = [F.try_cast(F.get(parts, i), "bigint") for i in range(4)]
+    octet = [F.get(parts, i).try_cast("bigint") for i in range(4)]
     valid = (F.size(parts) == 4)
     for o in octet:
         valid = valid & o.between(0, 255)

@@ -1,0 +1,26 @@
+"""Join helpers with size-checked broadcasting."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def fits(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    Reads at most ``max_rows + 1`` rows, so the check stays cheap for a
+    large input.
+    """
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", max_rows: int = 1_000_000) -> DataFrame:
+    """Join, broadcasting ``small`` only when its row count is proven small.
+
+    Otherwise the join is left to the planner (sort-merge, or AQE's runtime
+    broadcast once the shuffled size is known).
+    """
+    if fits(small, max_rows):
+        return big.join(F.broadcast(small), on, how)
+    return big.join(small, on, how)

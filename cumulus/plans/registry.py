@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["activity"]
+MODULES = ["activity", "dimensional"]
 
 
 def _mods():

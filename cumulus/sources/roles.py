@@ -99,7 +99,7 @@ def game_details(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     F.lpad((F.col("l_suppkey") % 60).cast("string"), 2, "0"))))
     return (li.join(p, li.l_partkey == p.p_partkey, "left")
               .select(F.col("l_orderkey").alias("game_id"),
-                      F.try_cast(F.split_part(F.col("p_brand"), F.lit("#"), F.lit(2)), "bigint").alias("team_id"),
+                      F.split_part(F.col("p_brand"), F.lit("#"), F.lit(2)).try_cast("bigint").alias("team_id"),
                       F.col("p_brand").alias("team_abbreviation"),
                       F.col("l_partkey").alias("player_id"),
                       F.concat(F.lit("Player#"), F.col("l_partkey").cast("string")).alias("player_name"),
