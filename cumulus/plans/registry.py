@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["activity", "dimensional"]
+MODULES = ["activity", "dimensional", "analytics"]
 
 
 def _mods():
