@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["activity", "dimensional", "analytics"]
+MODULES = ["activity", "dimensional", "analytics", "warehouse"]
 
 
 def _mods():
