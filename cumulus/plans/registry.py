@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["activity", "dimensional", "analytics", "warehouse"]
+MODULES = ["activity", "dimensional", "analytics", "warehouse", "streams", "experiments"]
 
 
 def _mods():
