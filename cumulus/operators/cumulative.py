@@ -73,7 +73,7 @@ def cumulate_backfill(facts: DataFrame, key: str, statics: Sequence[str], struct
     snap = g.select(key, *statics, "_all",
                     F.explode(F.sequence(F.col("_first"), F.lit(end))).alias(current_col))
     hist = F.filter(F.col("_all"), lambda x: x[period_col] <= F.col(current_col))
-    last = F.element_at(F.col(history_col), -1)
+    last = F.try_element_at(F.col(history_col), F.lit(-1))
     return (snap.select(key, *statics, hist.alias(history_col), current_col)
                 .select(key, *statics, history_col,
                         classify(last[metric], thresholds, default_class).alias(class_col),
@@ -92,14 +92,22 @@ def career_ratio(df: DataFrame, key: str, metric: str, history_col: str = "seaso
     """Latest element's metric over the first element's (zero first -> 1)."""
     if class_col and class_value:
         df = df.filter(F.col(class_col) == class_value)
-    first = F.element_at(F.col(history_col), 1)[metric]
-    last = F.element_at(F.col(history_col), -1)[metric]
+    first = F.try_element_at(F.col(history_col), F.lit(1))[metric]
+    last = F.try_element_at(F.col(history_col), F.lit(-1))[metric]
     return df.select(key, ratio_or_one(last, first).alias("career_ratio"))
 
 
+def _mean(rating_col: str, units_per_point: float | None):
+    """AVG, or - for ratings stored as integer units - an exact integer sum
+    divided by count and units (reproducible to the last bit anywhere)."""
+    if units_per_point is None:
+        return F.avg(rating_col)
+    return (F.sum(rating_col).cast("double") / F.count(F.lit(1)).cast("double")) / F.lit(float(units_per_point))
+
+
 def entity_history(rows: DataFrame, key: str, name_col: str, period_col: str, rating_col: str,
                    as_of: int, thresholds=K.RATING_THRESHOLDS, default_class: str = K.RATING_DEFAULT,
-                   class_col: str = "quality_class") -> DataFrame:
+                   class_col: str = "quality_class", units_per_point: float | None = None) -> DataFrame:
     """Per entity as of ``as_of``: item count, most recent period, that
     period's average rating -> class, and ``is_active`` (recent = as_of).
 
@@ -108,7 +116,8 @@ def entity_history(rows: DataFrame, key: str, name_col: str, period_col: str, ra
     """
     per = (rows.filter(F.col(period_col) <= as_of)
                .groupBy(key, period_col)
-               .agg(F.max(name_col).alias("_name"), F.avg(rating_col).alias("_avg"), F.count(F.lit(1)).alias("_n")))
+               .agg(F.max(name_col).alias("_name"), _mean(rating_col, units_per_point).alias("_avg"),
+                    F.count(F.lit(1)).alias("_n")))
     ent = per.groupBy(key).agg(F.max("_name").alias(name_col), F.sum("_n").alias("n_items"),
                                F.max(period_col).alias("recent_period"),
                                F.max_by("_avg", period_col).alias("recent_avg_rating"))
@@ -120,11 +129,12 @@ def entity_history(rows: DataFrame, key: str, name_col: str, period_col: str, ra
 
 def entity_history_backfill(rows: DataFrame, key: str, period_col: str, rating_col: str,
                             start: int, end: int, thresholds=K.RATING_THRESHOLDS,
-                            default_class: str = K.RATING_DEFAULT, class_col: str = "quality_class") -> DataFrame:
+                            default_class: str = K.RATING_DEFAULT, class_col: str = "quality_class",
+                            units_per_point: float | None = None) -> DataFrame:
     """Snapshots of ``entity_history``'s class and activity for every period
     (one row per entity and period from its first period)."""
     per = (rows.groupBy(key, period_col)
-               .agg(F.avg(rating_col).alias("avg_rating"), F.count(F.lit(1)).alias("n_items")))
+               .agg(_mean(rating_col, units_per_point).alias("avg_rating"), F.count(F.lit(1)).alias("n_items")))
     return cumulate_backfill(per, key, [], ["avg_rating", "n_items"], period_col, start, end, "avg_rating",
                              history_col="history", class_col=class_col, current_col="current_period",
                              thresholds=thresholds, default_class=default_class)

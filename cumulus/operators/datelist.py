@@ -62,7 +62,7 @@ def active_dates_step(prev: DataFrame, events: DataFrame, ds, key="user_id",
     y = prev.select(*ks, F.col(dates_col).alias("_dates"))
     j = y.join(today, ks, "full_outer")
     base = F.coalesce(F.col("_dates"), F.array().cast("array<date>"))
-    already = F.coalesce(F.element_at(base, -1) == d, F.lit(False))
+    already = F.coalesce(F.try_element_at(base, F.lit(-1)) == d, F.lit(False))
     add = F.col("_today").isNotNull() & ~already
     return j.select(*ks, F.when(add, F.concat(base, F.array(d))).otherwise(base).alias(dates_col),
                     d.alias("date"))

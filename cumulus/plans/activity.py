@@ -13,8 +13,8 @@ from cumulus.sources import roles
 
 def _flat_dates(df, keys):
     return df.select(*keys, F.size("dates_active").cast("bigint").alias("n_dates"),
-                     F.element_at("dates_active", 1).alias("first_active"),
-                     F.element_at("dates_active", -1).alias("last_active"),
+                     F.try_element_at("dates_active", F.lit(1)).alias("first_active"),
+                     F.try_element_at("dates_active", F.lit(-1)).alias("last_active"),
                      dates_text(F.col("dates_active")).alias("dates"), "date")
 
 

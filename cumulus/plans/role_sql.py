@@ -62,6 +62,7 @@ ROLE_CTES = {
          'Film#' || CAST(o.o_orderkey AS VARCHAR) AS film, CAST(year(o.o_orderdate) AS INTEGER) AS year,
          CAST(o.o_totalprice AS BIGINT) % 1000 AS votes,
          o.o_totalprice / CAST(50000 AS DOUBLE) AS rating,
+         CAST(round(o.o_totalprice * 100) AS BIGINT) AS rating_units,
          'F' || CAST(o.o_orderkey AS VARCHAR) AS filmid
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey)""",
     "matches": """matches AS (

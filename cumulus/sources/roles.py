@@ -145,6 +145,7 @@ def films(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.year("o_orderdate").alias("year"),
                      (F.col("o_totalprice").cast("bigint") % 1000).alias("votes"),
                      (F.col("o_totalprice") / F.lit(50000.0)).alias("rating"),
+                     F.round(F.col("o_totalprice") * 100).cast("bigint").alias("rating_units"),
                      F.concat(F.lit("F"), F.col("o_orderkey").cast("string")).alias("filmid")))
 
 
