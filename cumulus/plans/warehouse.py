@@ -144,7 +144,19 @@ def q_bi_win_rate(spark, d):
     return r.withColumn("avg_did_win", F.round("avg_did_win", 6))
 
 
+def q_layout_local_sort(spark, d):
+    ev = table(spark, d, "events").select("event_id", "user_id", "ts", "event_type")
+    return WH.local_sort(ev, 10, "user_id", ["user_id", "ts"])
+
+
+def q_layout_global_sort(spark, d):
+    ev = table(spark, d, "events").select("event_id", "user_id", "ts", "event_type")
+    return WH.global_sort(ev, ["user_id", "ts"])
+
+
 QUERIES = {
+    "layout_local_sort": q_layout_local_sort,
+    "layout_global_sort": q_layout_global_sort,
     "star_join": q_star_join,
     "avg_kills": q_avg_kills,
     "most_played_playlist": q_most_played_playlist,
@@ -180,6 +192,8 @@ uda AS (SELECT user_id, device_id, COUNT(*) AS n_events, string_agg(DISTINCT hos
         FROM web_events GROUP BY 1, 2)"""
 
 ORACLE = {
+    "layout_local_sort": "SELECT event_id, user_id, ts, event_type FROM events",
+    "layout_global_sort": "SELECT event_id, user_id, ts, event_type FROM events",
     "star_join": _MD + """
 SELECT md.match_id, md.player_gamertag, md.kills, md.did_win, m.playlist_id, p.name AS map_name,
        COALESCE(mmp.medals, 0) AS medals

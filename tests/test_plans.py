@@ -66,3 +66,16 @@ def test_scan_prunes_columns_and_pushes_filters(spark):
     assert schemas and all("value:" not in s and "event_id:" not in s for s in schemas)
     p = plan(warehouse.q_pruned_join(spark, SF_SMALL))
     assert re.search(r"PushedFilters: \[[^\]]*o_orderdate", p)
+
+
+def test_layout_stats_sorted_vs_unsorted(spark):
+    from cumulus.plans import warehouse
+    base = tempfile.mkdtemp(prefix="cumulus-layout-")
+    warehouse.q_layout_local_sort(spark, SF_SMALL).write.parquet(f"{base}/sorted")
+    spark.read.parquet(f"{SF_SMALL}/events.parquet").repartition(4).write.parquet(f"{base}/unsorted")
+    stats = {r.layout: r for r in WH.layout_stats(spark, {"sorted": f"{base}/sorted",
+                                                          "unsorted": f"{base}/unsorted"}).collect()}
+    assert stats["unsorted"].num_files == 4 and stats["sorted"].num_files >= 1
+    assert all(r.total_bytes > 0 for r in stats.values())
+    p = plan(warehouse.q_layout_local_sort(spark, SF_SMALL))
+    assert "Exchange hashpartitioning(user_id" in p and "rangepartitioning" not in p
