@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 def fits(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    Reads at most ``max_rows + 1`` rows, so the check stays cheap for a
-    large input.
+    Each input partition stops after ``max_rows + 1`` rows, so the check
+    costs at most one scan of the candidate side.  Use it on base dimension
+    tables; for a side derived from a large fact, leave the choice to AQE's
+    runtime broadcast instead of paying an extra pass.
     """
     return df.limit(max_rows + 1).count() <= max_rows
 

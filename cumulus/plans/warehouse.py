@@ -83,7 +83,9 @@ def q_devices_users(spark, d):
 
 def q_typed_join(spark, d):
     ev = roles.web_events(spark, d).filter(F.col("user_id").isNotNull())
-    j = WH.dimension_join(ev, roles.devices(spark, d), "device_id", "inner", 100_000)
+    # devices is derived from events: no pre-check (it would rescan events);
+    # AQE broadcasts it at runtime once its shuffled size is known
+    j = ev.join(roles.devices(spark, d), "device_id")
     return j.select("event_id", "user_id", "device_id",
                     F.upper(F.coalesce("browser_type", F.lit("unknown"))).alias("browser"))
 
@@ -106,7 +108,7 @@ def q_pruned_join(spark, d):
 def q_broadcast_join(spark, d):
     li = table(spark, d, "lineitem").select("l_partkey", "l_quantity", "l_shipdate")
     p = table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
-    j = join_small(li, p, "l_partkey", "inner", 5_000_000)
+    j = join_small(li, p, "l_partkey", "inner", 1_000_000)
     ds = F.split(F.col("l_shipdate").cast("string"), " ").getItem(0)
     return j.groupBy("p_type", F.substring(ds, 1, 7).alias("ship_month")).agg(
         F.count(F.lit(1)).alias("n_lines"), F.sum("l_quantity").cast("bigint").alias("total_qty"))

@@ -132,3 +132,31 @@ def test_scd2_incremental_cases(spark):
     got = sorted((r.k, r.c, r.start_date, r.end_date) for r in out.collect())
     assert got == [("a", "x", 1, 3), ("b", "q", 3, 3), ("b", "y", 1, 2), ("c", "z", 1, 1),
                    ("d", "w", 2, 2), ("e", "n", 3, 3)]
+
+
+def test_keyed_date_map_and_merge(spark):
+    ev = spark.createDataFrame([(1, "Chrome", d("2024-01-01")), (1, "Safari", d("2024-01-02")),
+                                (1, "Chrome", d("2024-01-02")), (2, None, d("2024-01-02"))],
+                               "user_id long, browser_type string, event_date date")
+    m = {r.user_id: r.dates_by_type for r in D.keyed_date_map(ev, "user_id", "browser_type", "2024-01-02").collect()}
+    assert m == {1: {"Chrome": [d("2024-01-01"), d("2024-01-02")], "Safari": [d("2024-01-02")]}}
+    merged = spark.createDataFrame([(1,)], "user_id long").select(
+        D.merge_date_maps(F.create_map(F.lit("Chrome"), F.array(F.lit(d("2024-01-01")))),
+                          F.create_map(F.lit("Chrome"), F.array(F.lit(d("2024-01-02"))),
+                                       F.lit("Edge"), F.array(F.lit(d("2024-01-02"))))).alias("m")).first().m
+    assert merged == {"Chrome": [d("2024-01-01"), d("2024-01-02")], "Edge": [d("2024-01-02")]}
+
+
+def test_growth_states_rules(spark):
+    from cumulus.operators import growth as GR
+    ev = spark.createDataFrame([(1, d("2024-01-01")), (1, d("2024-01-02")), (1, d("2024-01-12")),
+                                (2, d("2024-01-01"))], "user_id long, event_date date")
+    ga = {(r.user_id, r.date.isoformat()): (r.daily_active_state, r.weekly_active_state)
+          for r in GR.growth_accounting_backfill(ev, "2024-01-12").collect()}
+    assert ga[(1, "2024-01-01")] == ("New", "New")
+    assert ga[(1, "2024-01-02")] == ("Retained", "Retained")
+    assert ga[(1, "2024-01-03")] == ("Churned", "Retained")
+    assert ga[(1, "2024-01-04")] == ("Stale", "Retained")
+    assert ga[(1, "2024-01-10")] == ("Stale", "Churned")
+    assert ga[(1, "2024-01-12")] == ("Resurrected", "Resurrected")
+    assert ga[(2, "2024-01-02")] == ("Churned", "Retained")
