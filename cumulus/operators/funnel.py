@@ -9,9 +9,11 @@ semantics, including dropping events that have no later event.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cumulus.operators.ordered import running_totals
+
 
 def _clean(events: DataFrame, key: str, time_col: str, url_col: str, date_col: str) -> DataFrame:
     return (events.filter(F.col(key).isNotNull())
@@ -36,19 +38,24 @@ def funnel_event(events: DataFrame, target: str, key: str = "user_id", time_col:
 
 
 def funnel_user(events: DataFrame, target: str, key: str = "user_id", time_col: str = "event_time",
-                url_col: str = "url", min_hits: int = 500) -> DataFrame:
+                url_col: str = "url", min_hits: int = 500, bucket_seconds: int = 60) -> DataFrame:
     """Per url: number of (event, later same-day event) pairs summed over
     keys, keys that reached ``target`` later, and their share.
 
     Pairs per event = events in the user-day minus those at or before it
-    (RANGE frame, so ties do not count as later).
+    (ties do not count as later).  The "at or before" count is a bucketed
+    running count (``bucket_seconds`` time slices), so a hot user-day is
+    spread over many tasks; day totals and the latest target time are
+    partial aggregates joined back.
     """
     e = _clean(events, key, time_col, url_col, "_day")
-    part = Window.partitionBy(key, "_day")
-    upto = part.orderBy(time_col).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    w = e.select(key, url_col, time_col,
-                 (F.count(F.lit(1)).over(part) - F.count(F.lit(1)).over(upto)).alias("_pairs"),
-                 F.max(F.when(F.col(url_col) == target, F.col(time_col))).over(part).alias("_last_target"))
+    day = e.groupBy(key, "_day").agg(
+        F.count(F.lit(1)).alias("_day_n"),
+        F.max(F.when(F.col(url_col) == target, F.col(time_col))).alias("_last_target"))
+    t = F.col(time_col)
+    slice_ = F.floor((F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)) / F.lit(bucket_seconds))
+    r = running_totals(e, [key, "_day"], [time_col], slice_, ties="range", rn_col="_upto")
+    w = r.join(day, [key, "_day"]).withColumn("_pairs", F.col("_day_n") - F.col("_upto"))
     w = w.filter(F.col("_pairs") > 0)
     conv = F.coalesce(F.col("_last_target") > F.col(time_col), F.lit(False)).cast("int")
     per_user = w.groupBy(key, url_col).agg(F.sum("_pairs").alias("_hits"), F.max(conv).alias("_conv"))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cumulus.functions import constants as K
+from cumulus.operators.ordered import running_totals
 
 
 def referrer_channel(ref, rules: Sequence[tuple[str, str]] = K.REFERRER_RULES,
@@ -67,22 +68,34 @@ def top_n(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def best_stretch(df: DataFrame, group: str, order_col: str, flag: str, n: int = 90) -> DataFrame:
-    """Per group, the largest sum of ``flag`` over any ``n`` consecutive rows."""
-    w = Window.partitionBy(group).orderBy(order_col).rowsBetween(-(n - 1), 0)
-    r = df.select(group, F.sum(flag).over(w).alias("_s"))
-    return r.groupBy(group).agg(F.max("_s").cast("bigint").alias(f"max_in_{n}"))
+def best_stretch(df: DataFrame, group: str, order_col: str, flag: str, n: int = 90,
+                 bucket: Column | None = None) -> DataFrame:
+    """Per group, the largest sum of ``flag`` over any ``n`` consecutive rows.
+
+    Running sums S(k) per row number k come from ``running_totals`` (bucketed
+    by ``bucket``, default ``order_col div 1024``); the window over rows
+    k-n+1..k is S(k) - S(k-n), an equi-join on (group, k - n).
+    """
+    b = bucket if bucket is not None else F.floor(F.col(order_col) / F.lit(1024))
+    r = running_totals(df.select(group, order_col, flag), [group], [order_col], b, F.col(flag).cast("bigint"))
+    back = r.select(group, (F.col("_rn") + n).alias("_rn"), F.col("_cum").alias("_cum_back"))
+    j = r.join(back, [group, "_rn"], "left")
+    s = F.col("_cum") - F.coalesce(F.col("_cum_back"), F.lit(0))
+    return j.groupBy(group).agg(F.max(s).cast("bigint").alias(f"max_in_{n}"))
 
 
-def longest_streak(df: DataFrame, group: str, order_cols: Sequence[str], cond: Column) -> DataFrame:
+def longest_streak(df: DataFrame, group: str, order_cols: Sequence[str], cond: Column,
+                   bucket: Column | None = None) -> DataFrame:
     """Per group, the longest run of consecutive rows satisfying ``cond``.
 
-    Gaps and islands: rn - running count of satisfied rows is constant
-    inside a run.
+    Gaps and islands: row number minus the running count of satisfied rows
+    is constant inside a run.  Row numbers and counts come from
+    ``running_totals`` (bucketed by ``bucket``, default ``first order
+    column div 1024``), so a hot group is not sorted in one task.
     """
-    w = Window.partitionBy(group).orderBy(*order_cols)
-    t = df.select(group, *order_cols, cond.cast("int").alias("_ok"))
-    t = t.select(group, "_ok", (F.row_number().over(w) -
-                                F.sum("_ok").over(w.rowsBetween(Window.unboundedPreceding, 0))).alias("_grp"))
-    runs = t.filter("_ok = 1").groupBy(group, "_grp").agg(F.count(F.lit(1)).alias("_len"))
+    b = bucket if bucket is not None else F.floor(F.col(order_cols[0]) / F.lit(1024))
+    t = df.select(group, *order_cols, cond.cast("bigint").alias("_ok"))
+    r = running_totals(t, [group], list(order_cols), b, F.col("_ok"))
+    runs = (r.filter("_ok = 1").groupBy(group, (F.col("_rn") - F.col("_cum")).alias("_grp"))
+             .agg(F.count(F.lit(1)).alias("_len")))
     return runs.groupBy(group).agg(F.max("_len").alias("longest_streak"))
