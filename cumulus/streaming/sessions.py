@@ -11,10 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cumulus.operators.ordered import running_totals
+
 
 def sessionize(events: DataFrame, keys: Sequence[str], time_col: str = "event_time",
                gap: str = "5 minutes", watermark: str | None = None) -> DataFrame:
@@ -28,6 +30,48 @@ def sessionize(events: DataFrame, keys: Sequence[str], time_col: str = "event_ti
                     "num_events")
 
 
+def _seconds(ts) -> F.Column:
+    """Wall-clock seconds since 1970-01-01 of a timestamp (time-zone free, monotone)."""
+    return (F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("bigint") * 86400
+            + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts))
+
+
+def sessionize_sliced(events: DataFrame, keys: Sequence[str], time_col: str = "event_time",
+                      gap_seconds: int = 300, slice_seconds: int = 3600) -> DataFrame:
+    """Batch sessionization that does not sort a whole key in one task.
+
+    Sessions are first found inside (key, time slice) groups; the first
+    local session of a slice continues the previous slice's last session
+    when the gap to that slice's last event is at most ``gap_seconds``.
+    Global session ids are a bucketed running count over local sessions,
+    and the final sessions are a partial aggregation.  Same result as
+    ``sessionize`` (end = last event + gap; an event exactly one gap later
+    joins the session).
+    """
+    keys = list(keys)
+    gap = F.make_interval(secs=F.lit(gap_seconds))
+    e = events.filter(F.col(time_col).isNotNull()).select(*keys, F.col(time_col).alias("_t"))
+    e = e.withColumn("_slice", F.floor(_seconds(F.col("_t")) / F.lit(slice_seconds)))
+    w = Window.partitionBy(*keys, "_slice").orderBy("_t")
+    brk = (F.lag("_t").over(w).isNull() | (F.col("_t") > F.lag("_t").over(w) + gap)).cast("int")
+    local = (e.withColumn("_brk", brk)
+              .withColumn("_lid", F.sum("_brk").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+              .groupBy(*keys, "_slice", "_lid")
+              .agg(F.min("_t").alias("_start"), F.max("_t").alias("_last"), F.count(F.lit(1)).alias("_n")))
+    slices = local.groupBy(*keys, "_slice").agg(F.max("_last").alias("_slice_last"))
+    ws = Window.partitionBy(*keys).orderBy("_slice")
+    prev = slices.select(*keys, "_slice", F.lag("_slice_last").over(ws).alias("_prev_last"))
+    j = local.join(prev, [*keys, "_slice"])
+    new = ((F.col("_lid") > 1) | F.col("_prev_last").isNull()
+           | (F.col("_start") > F.col("_prev_last") + gap)).cast("bigint")
+    r = running_totals(j.withColumn("_new", new), keys, ["_slice", "_lid"], F.col("_slice"), F.col("_new"),
+                       cum_col="_gid")
+    return (r.groupBy(*keys, "_gid")
+             .agg(F.min("_start").alias("session_start"), (F.max("_last") + gap).alias("session_end"),
+                  F.sum("_n").alias("num_events"))
+             .drop("_gid"))
+
+
 def session_stats(sessions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Average events per session (optionally per group) and session count."""
     return sessions.groupBy(*by).agg(F.avg("num_events").alias("avg_events_per_session"),

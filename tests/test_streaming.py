@@ -38,3 +38,23 @@ def test_stream_sessions_match_batch(spark):
     assert s <= b
     assert len(b) - len(s) <= batch.select("ip", "host").distinct().count()
     assert sum(r.num_events for r in batch.collect()) == spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
+
+
+def test_sliced_sessions_equal_session_window(spark):
+    ev = roles.web_events(spark, SF_SMALL)
+    a = SS.sessionize(ev, ["ip", "host"], "event_time", "5 minutes").select(
+        "ip", "host", F.col("session_start").cast("timestamp_ntz"), F.col("session_end").cast("timestamp_ntz"),
+        "num_events")
+    for slice_s in (3600, 600, 120):
+        b = SS.sessionize_sliced(ev, ["ip", "host"], "event_time", 300, slice_s)
+        assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.select(a.columns).collect()))
+
+
+def test_sliced_sessions_gap_edges(spark):
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1, 0, 58, 0)
+    rows = [("k", t0), ("k", t0 + dt.timedelta(minutes=5)), ("k", t0 + dt.timedelta(minutes=10, seconds=1)),
+            ("k", t0 + dt.timedelta(minutes=10, seconds=1))]
+    df = spark.createDataFrame(rows, "k string, event_time timestamp_ntz")
+    got = sorted((r.session_start, r.num_events) for r in SS.sessionize_sliced(df, ["k"], "event_time", 300, 3600).collect())
+    assert got == [(t0, 2), (t0 + dt.timedelta(minutes=10, seconds=1), 2)]
