@@ -32,6 +32,21 @@ def outliers(df: DataFrame, by: Sequence[str], value: str, z_max: float = 3.0, i
     return j.filter(F.abs(F.col("z")) > z_max).select(*id_cols, *by, value, "z")
 
 
+def schema_changes(df: DataFrame, expected) -> DataFrame:
+    """Schema drift against an expected ``StructType`` (or DDL string):
+    one row per added, removed or retyped column."""
+    from pyspark.sql.types import StructType
+
+    exp = expected if isinstance(expected, StructType) else df.sparkSession.createDataFrame([], expected).schema
+    want = {f.name: f.dataType.simpleString() for f in exp.fields}
+    have = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    rows = [(c, "removed", want[c], None) for c in want if c not in have]
+    rows += [(c, "added", None, have[c]) for c in have if c not in want]
+    rows += [(c, "retyped", want[c], have[c]) for c in want if c in have and want[c] != have[c]]
+    return df.sparkSession.createDataFrame(
+        rows, "column_name string, change string, expected_type string, actual_type string")
+
+
 def rollup_report(df: DataFrame, dims: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
     """ROLLUP over ``dims`` with the grouping id as the level."""
     return df.rollup(*dims).agg(*aggs, F.grouping_id().alias("grouping_level"))
