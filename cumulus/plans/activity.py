@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from cumulus.functions.columns import bit_string
 from cumulus.operators import arrays as A
 from cumulus.operators import datelist as D
 from cumulus.plans.common import DS, PREV_DS, dates_text, ints_text
@@ -34,7 +35,7 @@ def _cum(spark, d):
 
 
 def q_datelist_int(spark, d):
-    return D.datelist_int(_cum(spark, d), DS)
+    return D.datelist_int(_cum(spark, d), DS).withColumn("datelist_bits", bit_string(F.col("datelist_int")))
 
 
 def q_activity_flags(spark, d):
@@ -183,7 +184,7 @@ ORACLE = {
     "active_dates_backfill": _DATES_SQL,
     "active_dates_step": _DATES_SQL,
     "datelist_int": _BITS_CTE + """
-SELECT user_id, datelist_int, DATE '2024-01-30' AS date FROM bits""",
+SELECT user_id, datelist_int, DATE '2024-01-30' AS date, lpad(bin(datelist_int), 32, '0') AS datelist_bits FROM bits""",
     "activity_flags": _BITS_CTE + """
 SELECT user_id, datelist_int, DATE '2024-01-30' AS date,
        bit_count(datelist_int) > 0 AS monthly_active,
