@@ -5,11 +5,11 @@ group holding a large share of the rows becomes a straggler.  Here the order
 key is cut into buckets that are monotone in the order (e.g. minute of day,
 or id ranges):
 
-1. per (group, bucket) counts and sums - a partial aggregation;
+1. a window inside each (group, bucket) only (running values and the
+   bucket's totals);
 2. prefix sums over the buckets of each group - a window over the small
    bucket table (one row per bucket, not per input row);
-3. an equi-join back on (group, bucket) - AQE splits a hot join key;
-4. a window inside each (group, bucket) only.
+3. an equi-join back on (group, bucket).
 
 The result equals the plain window as long as ``bucket`` never decreases
 when the order increases.
@@ -32,25 +32,35 @@ def running_totals(df: DataFrame, group: Sequence[str], order: Sequence[str], bu
     ``ties="rows"`` numbers rows one by one (ROW_NUMBER / ROWS frame);
     ``ties="range"`` counts every row whose order key is <= this one's
     (RANGE frame, peers included).
+
+    Plan: one Exchange of the input on (group, bucket) feeds the in-bucket
+    window; the per-bucket totals are read off the same windowed rows (the
+    Exchange is reused, the input is not recomputed), prefix-summed per group
+    on the small bucket table and joined back on (group, bucket), where the
+    large side is already partitioned.
     """
     group = list(group)
     v = F.lit(0).cast("bigint") if value is None else value
     t = df.withColumn("_bk", bucket).withColumn("_v", v)
-    per_b = t.groupBy(*group, "_bk").agg(F.count(F.lit(1)).alias("_nb"), F.sum("_v").alias("_sb"))
-    wb = Window.partitionBy(*group).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    prefix = per_b.select(*group, "_bk", F.coalesce(F.sum("_nb").over(wb), F.lit(0)).alias("_pn"),
-                          F.coalesce(F.sum("_sb").over(wb), F.lit(0)).alias("_ps"))
-    j = t.join(prefix, [*group, "_bk"])
     inner = Window.partitionBy(*group, "_bk").orderBy(*order)
+    whole = Window.partitionBy(*group, "_bk")
     if ties == "range":
         frame = inner.rangeBetween(Window.unboundedPreceding, Window.currentRow)
         rn = F.count(F.lit(1)).over(frame)
     else:
         frame = inner.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         rn = F.row_number().over(inner)
-    return (j.withColumn(rn_col, F.col("_pn") + rn)
-             .withColumn(cum_col, F.col("_ps") + F.sum("_v").over(frame))
-             .drop("_bk", "_v", "_pn", "_ps"))
+    tw = t.select("*", rn.alias("_rn_in"), F.sum("_v").over(frame).alias("_cum_in"),
+                  F.count(F.lit(1)).over(whole).alias("_nb"), F.sum("_v").over(whole).alias("_sb"),
+                  F.row_number().over(inner).alias("_first"))
+    per_b = tw.filter(F.col("_first") == 1).select(*group, "_bk", "_nb", "_sb")
+    wb = Window.partitionBy(*group).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    prefix = per_b.select(*group, "_bk", F.coalesce(F.sum("_nb").over(wb), F.lit(0)).alias("_pn"),
+                          F.coalesce(F.sum("_sb").over(wb), F.lit(0)).alias("_ps"))
+    j = tw.join(prefix, [*group, "_bk"])
+    return (j.withColumn(rn_col, F.col("_pn") + F.col("_rn_in"))
+             .withColumn(cum_col, F.col("_ps") + F.col("_cum_in"))
+             .drop("_bk", "_v", "_pn", "_ps", "_rn_in", "_cum_in", "_nb", "_sb", "_first"))
 
 
 def group_sizes(df: DataFrame, group: Sequence[str], value: Column | None = None) -> DataFrame:
