@@ -1,6 +1,5 @@
 """Physical-plan shape checks."""
 
-import os
 import tempfile
 
 from pyspark.sql import functions as F
