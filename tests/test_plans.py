@@ -78,3 +78,14 @@ def test_layout_stats_sorted_vs_unsorted(spark):
     assert all(r.total_bytes > 0 for r in stats.values())
     p = plan(warehouse.q_layout_local_sort(spark, SF_SMALL))
     assert "Exchange hashpartitioning(user_id" in p and "rangepartitioning" not in p
+
+
+def test_shared_aggregate_is_cached_and_reused(spark):
+    agg = WH.shared_aggregate(roles.web_events(spark, SF_SMALL), "user_id", "device_id", "host", cache=True)
+    try:
+        users = agg.groupBy("user_id").count()
+        devices = agg.groupBy("device_id").count()
+        assert "InMemoryTableScan" in plan(users) and "InMemoryTableScan" in plan(devices)
+        assert users.count() > 0 and devices.count() > 0
+    finally:
+        agg.unpersist()

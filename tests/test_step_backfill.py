@@ -82,3 +82,15 @@ def test_fold_days_writes_and_matches_backfill(spark):
     last = fold_days(spark, lambda s, ds: GR.growth_accounting_step(s, ev, ds), empty, days, name)
     back = GR.growth_accounting_backfill(ev, days[-1]).filter(F.col("date") == days[-1])
     assert sorted(map(str, last.select(back.columns).collect())) == sorted(map(str, back.collect()))
+
+
+def test_cumulative_fold_over_seasons(spark):
+    from cumulus.operators.incremental import fold_days
+    seasons = roles.seasons(spark, SF_SMALL)
+    args = ("player_name", ["country", "college"], ["gp", "pts", "ast", "reb"], "season")
+    first = C.cumulate_backfill(seasons, *args, 1995, 1995, "pts")
+    name = f"test_cum_{random.randrange(10**9)}"
+    last = fold_days(spark, lambda snap, p: C.cumulate_step(snap, seasons, *args, int(p), "pts"),
+                     first, [str(p) for p in range(1996, 2002)], name)
+    back = C.cumulate_backfill(seasons, *args, 1995, 2001, "pts").filter(F.col("current_season") == 2001)
+    assert sorted(map(str, last.select(back.columns).collect())) == sorted(map(str, back.collect()))
