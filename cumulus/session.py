@@ -41,15 +41,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the folder is set by the deployment and is read, never
-    replaced.  Only when it is unset (tests, a laptop) do we create a scratch
-    folder of our own.
+    replaced; a cluster session without it is an error (a machine-local
+    folder would not survive the loss of an executor or be visible to the
+    others).  Only a ``local[...]`` session (tests, a laptop) gets a scratch
+    folder of its own.
     """
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if not conf_dir:
-        conf_dir = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    conf_dir = (spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+                or sc.getCheckpointDir())
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a shared folder (e.g. on the cluster file system)")
         conf_dir = tempfile.mkdtemp(prefix="cumulus-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(conf_dir)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(conf_dir)
     return conf_dir
 
 
