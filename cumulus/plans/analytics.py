@@ -79,10 +79,13 @@ def q_referrer_bucket(spark, d):
 
 def q_rolling_counts(spark, d):
     ev = roles.web_events(spark, d).join(roles.devices(spark, d), "device_id")
+    # the channel is NULL exactly when the referrer is: drop those rows before
+    # the mapping instead of after the windows
+    ev = ev.filter(F.col("referrer").isNotNull())
     daily = (ev.select("url", W.referrer_channel("referrer").alias("referrer"), "event_date")
                .groupBy("referrer", "url", "event_date").agg(F.count(F.lit(1)).alias("count")))
     r = W.rolling_counts(daily, ["referrer", "url"], "event_date", "count", ROLLING_MIN_TOTAL)
-    return r.filter(F.col("referrer").isNotNull()).select(
+    return r.select(
         "referrer", "url", "event_date", "count", "weekly_rolling_count", "previous_weekly_rolling_count",
         F.round("pct_of_month", 6).alias("pct_of_month"), F.round("pct_of_total", 6).alias("pct_of_total"))
 
