@@ -88,3 +88,61 @@ def test_property_growth_and_arrays_fold_equals_backfill(spark, acts):
     assert {r.user_id: list(r.metric_array) for r in am.collect()} == bm
     bd = {r.user_id: list(r.dates_active) for r in D.active_dates_backfill(ev, days[-1]).collect()}
     assert {r.user_id: list(r.dates_active) for r in ad.collect()} == bd
+
+
+attr_hist = st.lists(st.tuples(st.integers(0, 3), st.integers(0, 6), st.sampled_from(["a", "b", None])),
+                     min_size=1, max_size=30)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(attr_hist)
+def test_property_scd_incremental_fold_equals_backfill(spark, rows):
+    from cumulus.operators import scd as S
+    # one value per (key, period); keys may skip periods (absent entities)
+    seen = {}
+    for k, p, v in rows:
+        seen[(k, p)] = v
+    data = [(k, p, v) for (k, p), v in sorted(seen.items())]
+    df = spark.createDataFrame(data, "k int, p int, c string")
+    periods = sorted({p for _, p, _ in data})
+    first = periods[0]
+    scd = S.scd2_backfill(df.filter(F.col("p") == first), "k", ["c"], "p")
+    prev = first
+    for p in periods[1:]:
+        cur = df.filter(F.col("p") == p).select("k", "c")
+        scd = spark.createDataFrame(S.scd2_incremental(scd, cur, "k", ["c"], prev, p, current_col=None).collect(),
+                                    scd.schema)
+        prev = p
+    # the backfill over the same snapshots, where a missing entity closes its interval
+    # and a returning one opens a new interval: compare against streaks over
+    # consecutive snapshot periods
+    idx = {p: i for i, p in enumerate(periods)}
+    exp = []
+    for k in sorted({k for k, _, _ in data}):
+        mine = [(idx[p], p, v) for kk, p, v in data if kk == k]
+        run = None
+        for i, p, v in mine:
+            if run and run[3] == i - 1 and run[0] == v:
+                run = (v, run[1], p, i)
+            else:
+                if run:
+                    exp.append((k, run[0], run[1], run[2]))
+                run = (v, p, p, i)
+        exp.append((k, run[0], run[1], run[2]))
+    got = [(r.k, r.c, r.start_date, r.end_date) for r in scd.collect()]
+    assert sorted(map(str, got)) == sorted(map(str, exp))
+
+
+event_times = st.lists(st.tuples(st.integers(0, 2), st.integers(0, 4 * 3600)), min_size=1, max_size=60)
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(event_times, st.sampled_from([60, 600, 3600]))
+def test_property_sliced_sessions_equal_session_window(spark, evs, slice_s):
+    base = dt.datetime(2024, 1, 1, 22, 0, 0)
+    df = spark.createDataFrame([(f"ip{k}", base + dt.timedelta(seconds=t)) for k, t in evs],
+                               "ip string, event_time timestamp_ntz")
+    a = streams.SS.sessionize(df, ["ip"], "event_time", "5 minutes").select(
+        "ip", F.col("session_start").cast("timestamp_ntz"), F.col("session_end").cast("timestamp_ntz"), "num_events")
+    b = streams.SS.sessionize_sliced(df, ["ip"], "event_time", 300, slice_s)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.select(a.columns).collect()))
