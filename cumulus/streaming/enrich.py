@@ -36,3 +36,15 @@ def enrich(events: DataFrame, ranges: DataFrame, ip_col: str, geo_fields: list[s
     j = range_lookup(events, ranges, ip_col)
     geo = F.when(F.col("ip_start").isNotNull(), json_object(*[(f, F.col(f)) for f in geo_fields])).otherwise(F.lit("{}"))
     return j.withColumn("event_timestamp", F.to_timestamp_ntz(F.col(time_text_col), F.lit(fmt))).withColumn("geodata", geo)
+
+
+def stream_enrich(spark, source_dir: str, schema, ranges: DataFrame, ip_col: str, geo_fields: list[str],
+                  time_text_col: str, checkpoint: str, sink, prepare=None, glob: str = "*.parquet",
+                  trigger: dict | None = None):
+    """Start a streaming enrichment (stream-static range join) into a
+    ``foreachBatch`` sink; ``prepare`` maps the raw rows to the event shape."""
+    raw = spark.readStream.schema(schema).option("pathGlobFilter", glob).parquet(source_dir)
+    ev = prepare(raw) if prepare else raw
+    out = enrich(ev, ranges, ip_col, geo_fields, time_text_col)
+    return (out.writeStream.option("checkpointLocation", checkpoint).foreachBatch(sink)
+               .trigger(**(trigger or {"availableNow": True})).start())
