@@ -53,8 +53,15 @@ def scd2_incremental(scd: DataFrame, current: DataFrame, key: str, attrs: Sequen
     unchanged -> extended; changed -> old closed + new opened;
     new key -> opened; key missing from the snapshot -> kept closed.
     History already closed before ``prev_period`` passes through untouched.
+
+    The input is first reduced to its state as of ``prev_period`` (intervals
+    opened later are dropped, later ends are clipped), so merging a period
+    into a table that already contains it gives the same result again.
     """
     cols = [key, *attrs, start_col, end_col]
+    prev = F.lit(prev_period)
+    scd = (scd.filter(F.col(start_col) <= prev)
+              .withColumn(end_col, F.least(F.col(end_col), prev.cast(scd.schema[end_col].dataType))))
     closed = scd.filter(F.col(end_col) < F.lit(prev_period)).select(*cols)
     open_ = scd.filter(F.col(end_col) == F.lit(prev_period)).select(
         key, *[F.col(a).alias(f"_o_{a}") for a in attrs], F.col(start_col).alias("_o_s"),

@@ -160,3 +160,13 @@ def test_growth_states_rules(spark):
     assert ga[(1, "2024-01-10")] == ("Stale", "Churned")
     assert ga[(1, "2024-01-12")] == ("Resurrected", "Resurrected")
     assert ga[(2, "2024-01-02")] == ("Churned", "Retained")
+
+
+def test_scd2_incremental_is_idempotent(spark):
+    scd = spark.createDataFrame([("a", "x", 1, 2), ("b", "y", 1, 2), ("c", "z", 1, 1)],
+                                "k string, c string, start_date int, end_date int")
+    cur = spark.createDataFrame([("a", "x"), ("b", "q"), ("e", "n")], "k string, c string")
+    once = S.scd2_incremental(scd, cur, "k", ["c"], 2, 3, current_col=None)
+    once = spark.createDataFrame(once.collect(), once.schema)
+    twice = S.scd2_incremental(once, cur, "k", ["c"], 2, 3, current_col=None)
+    assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect()))
