@@ -39,12 +39,19 @@ def active_days(events: DataFrame, key="user_id", date_col: str = "event_date",
 
 def active_dates_backfill(events: DataFrame, ds, key="user_id", date_col: str = "event_date",
                           dates_col: str = "dates_active") -> DataFrame:
-    """Snapshot as of ``ds``: key..., dates_active (oldest first), date."""
+    """Snapshot as of ``ds``: key..., dates_active (oldest first), date.
+
+    One shuffle: ``collect_set`` merges map-side, so each key ships at most
+    one entry per distinct day whatever its row count.
+    """
     ks = _keys(key)
-    days = active_days(events, ks, date_col, until=ds)
-    return (days.groupBy(*ks)
-                .agg(F.sort_array(F.collect_list("active_date")).alias(dates_col))
-                .withColumn("date", F.lit(ds).cast("date")))
+    df = events
+    for k in ks:
+        df = df.filter(F.col(k).isNotNull())
+    df = df.filter(F.col(date_col) <= F.lit(ds).cast("date"))
+    return (df.groupBy(*ks)
+              .agg(F.sort_array(F.collect_set(date_col)).alias(dates_col))
+              .withColumn("date", F.lit(ds).cast("date")))
 
 
 def active_dates_step(prev: DataFrame, events: DataFrame, ds, key="user_id",

@@ -60,17 +60,20 @@ def growth_accounting_backfill(events: DataFrame, end, key: str = "user_id",
                                date_col: str = "event_date") -> DataFrame:
     """Every (key, day) from the key's first active day through ``end``.
 
-    Distinct active days (reduced map-side), then one window per key gives
-    each active day its predecessor and successor; every active day emits
-    itself and the idle days up to the next active day.  Row count = output
-    size, no calendar cross join, no per-row history scan.
+    One shuffle: each key's distinct active days are collected (a set that
+    merges map-side and is bounded by the number of days), sorted, and every
+    active day emits itself and the idle days up to the next active day with
+    its predecessor read from the array.  Row count = output size, no
+    calendar cross join, no window sort.
     """
     e = F.lit(end).cast("date")
     days = (events.filter(F.col(key).isNotNull() & (F.col(date_col) <= e))
-                  .select(key, F.col(date_col).alias("_d")).distinct())
-    w = Window.partitionBy(key).orderBy("_d")
-    spans = days.select(key, "_d", F.lag("_d").over(w).alias("_prev"), F.lead("_d").over(w).alias("_next"),
-                        F.min("_d").over(Window.partitionBy(key)).alias("first_active_date"))
+                  .groupBy(key).agg(F.sort_array(F.collect_set(date_col)).alias("_days")))
+    spans = days.select(key, F.col("_days")[0].alias("first_active_date"),
+                        F.posexplode("_days").alias("_i", "_d"), "_days")
+    spans = spans.select(key, "first_active_date", "_d",
+                         F.when(F.col("_i") > 0, F.get(F.col("_days"), F.col("_i") - 1)).alias("_prev"),
+                         F.get(F.col("_days"), F.col("_i") + 1).alias("_next"))
     upto = F.coalesce(F.date_sub(F.col("_next"), 1), e)
     rows = spans.select(key, "first_active_date", "_d", "_prev",
                         F.explode(F.sequence(F.col("_d"), upto)).alias("date"))
