@@ -32,11 +32,6 @@ def ratio_or_one(num, den) -> Column:
     return col(num) / F.when(d.isNull() | (d == 0), F.lit(1)).otherwise(d)
 
 
-def safe_ratio(num, den) -> Column:
-    """``num / den`` as DOUBLE, NULL when the denominator is zero."""
-    return F.try_divide(col(num).cast("double"), col(den).cast("double"))
-
-
 def distinct_from(a, b) -> Column:
     """SQL ``a IS DISTINCT FROM b``."""
     return ~col(a).eqNullSafe(col(b))

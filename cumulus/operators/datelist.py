@@ -5,15 +5,12 @@
 * ``datelist_int``          - dates -> unsigned 32-bit map, bit 31 = as-of day.
 * ``activity_flags``        - monthly / weekly / daily activity from the map.
 
-All keyed aggregations first reduce to distinct (key, day) pairs, so a key
-holding a large share of the raw rows shrinks to at most one row per day
-before the shuffle.
+Keyed date lists are ``collect_set`` aggregations that merge map-side, so a
+key holding a large share of the raw rows ships at most one entry per day.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,18 +22,6 @@ def _keys(key) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def active_days(events: DataFrame, key="user_id", date_col: str = "event_date",
-                until=None) -> DataFrame:
-    """Distinct (key..., date) pairs; rows with a NULL key never count."""
-    ks = _keys(key)
-    df = events
-    for k in ks:
-        df = df.filter(F.col(k).isNotNull())
-    if until is not None:
-        df = df.filter(F.col(date_col) <= F.lit(until).cast("date"))
-    return df.select(*ks, F.col(date_col).alias("active_date")).distinct()
-
-
 def active_dates_backfill(events: DataFrame, ds, key="user_id", date_col: str = "event_date",
                           dates_col: str = "dates_active") -> DataFrame:
     """Snapshot as of ``ds``: key..., dates_active (oldest first), date.
@@ -124,12 +109,3 @@ def merge_date_maps(prev: Column, today: Column) -> Column:
     return F.map_zip_with(F.coalesce(prev, empty), F.coalesce(today, empty),
                           lambda k, a, b: F.array_distinct(F.concat(F.coalesce(a, F.array().cast("array<date>")),
                                                                     F.coalesce(b, F.array().cast("array<date>")))))
-
-
-def dates_text(dates: Column) -> Column:
-    """Comma-joined ISO dates, for flat reports."""
-    return F.array_join(F.transform(dates, lambda x: x.cast("string")), ",")
-
-
-def with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.select(*keys, *[c for c in df.columns if c not in keys])

@@ -42,7 +42,3 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFr
     keys = list(keys)
     kept = target.join(updates.select(*keys).distinct(), keys, "left_anti")
     return kept.unionByName(updates.select(*target.columns))
-
-
-def drop_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.dropna(subset=list(keys))

@@ -61,9 +61,3 @@ def running_totals(df: DataFrame, group: Sequence[str], order: Sequence[str], bu
     return (j.withColumn(rn_col, F.col("_pn") + F.col("_rn_in"))
              .withColumn(cum_col, F.col("_ps") + F.col("_cum_in"))
              .drop("_bk", "_v", "_pn", "_ps", "_rn_in", "_cum_in", "_nb", "_sb", "_first"))
-
-
-def group_sizes(df: DataFrame, group: Sequence[str], value: Column | None = None) -> DataFrame:
-    """Rows (and sum of ``value``) per group, by partial aggregation."""
-    v = F.lit(0) if value is None else value
-    return df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n_group"), F.sum(v).alias("_s_group"))

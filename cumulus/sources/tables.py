@@ -25,11 +25,6 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     return r.csv(path)
 
 
-def register_views(spark: SparkSession, sf_dir: str, names=None) -> None:
-    for n in names or TABLES:
-        table(spark, sf_dir, n).createOrReplaceTempView(n)
-
-
 def list_columns(df: DataFrame) -> DataFrame:
     """Catalogue lookup (column name, position, type) for a DataFrame's schema.
 

@@ -170,3 +170,11 @@ def test_scd2_incremental_is_idempotent(spark):
     once = spark.createDataFrame(once.collect(), once.schema)
     twice = S.scd2_incremental(once, cur, "k", ["c"], 2, 3, current_col=None)
     assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect()))
+
+
+def test_window_dedupe_agrees_with_aggregate_dedupe(spark):
+    df = spark.createDataFrame([(1, 5, "b"), (1, 3, "z"), (1, 3, "a"), (2, None, "q"), (2, 1, "a")],
+                               "k int, o int, v string")
+    agg = DD.deduplicate(df, ["k"], ["o"])
+    win = DD.deduplicate_window(df, ["k"], [F.col("o").asc_nulls_first(), F.col("v").asc_nulls_first()])
+    assert sorted(map(tuple, agg.collect())) == sorted(map(tuple, win.collect()))
