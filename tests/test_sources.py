@@ -57,3 +57,12 @@ def test_kafka_record_shape(spark):
     df = spark.createDataFrame([(1, "x")], "id long, s string")
     r = to_kafka_value(df, "id").first()
     assert r.key == "1" and r.value == '{"id":1,"s":"x"}'
+
+
+def test_job_runner_writes_partitions(spark):
+    from cumulus.__main__ import main
+    out = tempfile.mkdtemp(prefix="cumulus-job-") + "/flags"
+    assert main(["activity_flags", "--sf", SF_SMALL, "--out", out, "--partition-by", "date"]) == 0
+    back = spark.read.parquet(out)
+    assert back.count() == table(spark, SF_SMALL, "events").select("user_id").distinct().count()
+    assert "date" in back.columns
