@@ -21,6 +21,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def running_totals(df: DataFrame, group: Sequence[str], order: Sequence[str], bucket: Column,
@@ -41,23 +42,29 @@ def running_totals(df: DataFrame, group: Sequence[str], order: Sequence[str], bu
     """
     group = list(group)
     v = F.lit(0).cast("bigint") if value is None else value
-    t = df.withColumn("_bk", bucket).withColumn("_v", v)
-    inner = Window.partitionBy(*group, "_bk").orderBy(*order)
-    whole = Window.partitionBy(*group, "_bk")
+    # the group as one struct key: a NULL group value still matches itself in
+    # the equi-join below, and windows and join share one hash key
+    if len(group) == 1 and isinstance(df.schema[group[0]].dataType, StructType):
+        gk = F.col(group[0])          # already a struct key: keep the caller's partitioning
+    else:
+        gk = F.struct(*[F.col(g) for g in group])
+    t = df.withColumn("_rt_gk", gk).withColumn("_rt_bk", bucket).withColumn("_rt_v", v)
+    inner = Window.partitionBy("_rt_gk", "_rt_bk").orderBy(*order)
+    whole = Window.partitionBy("_rt_gk", "_rt_bk")
     if ties == "range":
         frame = inner.rangeBetween(Window.unboundedPreceding, Window.currentRow)
         rn = F.count(F.lit(1)).over(frame)
     else:
         frame = inner.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         rn = F.row_number().over(inner)
-    tw = t.select("*", rn.alias("_rn_in"), F.sum("_v").over(frame).alias("_cum_in"),
-                  F.count(F.lit(1)).over(whole).alias("_nb"), F.sum("_v").over(whole).alias("_sb"),
-                  F.row_number().over(inner).alias("_first"))
-    per_b = tw.filter(F.col("_first") == 1).select(*group, "_bk", "_nb", "_sb")
-    wb = Window.partitionBy(*group).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    prefix = per_b.select(*group, "_bk", F.coalesce(F.sum("_nb").over(wb), F.lit(0)).alias("_pn"),
-                          F.coalesce(F.sum("_sb").over(wb), F.lit(0)).alias("_ps"))
-    j = tw.join(prefix, [*group, "_bk"])
-    return (j.withColumn(rn_col, F.col("_pn") + F.col("_rn_in"))
-             .withColumn(cum_col, F.col("_ps") + F.col("_cum_in"))
-             .drop("_bk", "_v", "_pn", "_ps", "_rn_in", "_cum_in", "_nb", "_sb", "_first"))
+    tw = t.select("*", rn.alias("_rt_rn_in"), F.sum("_rt_v").over(frame).alias("_rt_cum_in"),
+                  F.count(F.lit(1)).over(whole).alias("_rt_nb"), F.sum("_rt_v").over(whole).alias("_rt_sb"),
+                  F.row_number().over(inner).alias("_rt_first"))
+    per_b = tw.filter(F.col("_rt_first") == 1).select("_rt_gk", "_rt_bk", "_rt_nb", "_rt_sb")
+    wb = Window.partitionBy("_rt_gk").orderBy("_rt_bk").rowsBetween(Window.unboundedPreceding, -1)
+    prefix = per_b.select("_rt_gk", "_rt_bk", F.coalesce(F.sum("_rt_nb").over(wb), F.lit(0)).alias("_rt_pn"),
+                          F.coalesce(F.sum("_rt_sb").over(wb), F.lit(0)).alias("_rt_ps"))
+    j = tw.join(prefix, ["_rt_gk", "_rt_bk"])
+    return (j.withColumn(rn_col, F.col("_rt_pn") + F.col("_rt_rn_in"))
+             .withColumn(cum_col, F.col("_rt_ps") + F.col("_rt_cum_in"))
+             .drop("_rt_gk", "_rt_bk", "_rt_v", "_rt_pn", "_rt_ps", "_rt_rn_in", "_rt_cum_in", "_rt_nb", "_rt_sb", "_rt_first"))

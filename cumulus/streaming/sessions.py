@@ -50,26 +50,29 @@ def sessionize_sliced(events: DataFrame, keys: Sequence[str], time_col: str = "e
     """
     keys = list(keys)
     gap = F.make_interval(secs=F.lit(gap_seconds))
-    e = events.filter(F.col(time_col).isNotNull()).select(*keys, F.col(time_col).alias("_t"))
+    # keys as one struct: NULL key values form their own group (as in a
+    # GROUP BY) and every join below is a plain equi-join on it
+    e = events.filter(F.col(time_col).isNotNull()).select(
+        F.struct(*[F.col(k) for k in keys]).alias("_gk"), F.col(time_col).alias("_t"))
     e = e.withColumn("_slice", F.floor(_seconds(F.col("_t")) / F.lit(slice_seconds)))
-    w = Window.partitionBy(*keys, "_slice").orderBy("_t")
+    w = Window.partitionBy("_gk", "_slice").orderBy("_t")
     brk = (F.lag("_t").over(w).isNull() | (F.col("_t") > F.lag("_t").over(w) + gap)).cast("int")
     local = (e.withColumn("_brk", brk)
               .withColumn("_lid", F.sum("_brk").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-              .groupBy(*keys, "_slice", "_lid")
+              .groupBy("_gk", "_slice", "_lid")
               .agg(F.min("_t").alias("_start"), F.max("_t").alias("_last"), F.count(F.lit(1)).alias("_n")))
-    slices = local.groupBy(*keys, "_slice").agg(F.max("_last").alias("_slice_last"))
-    ws = Window.partitionBy(*keys).orderBy("_slice")
-    prev = slices.select(*keys, "_slice", F.lag("_slice_last").over(ws).alias("_prev_last"))
-    j = local.join(prev, [*keys, "_slice"])
+    slices = local.groupBy("_gk", "_slice").agg(F.max("_last").alias("_slice_last"))
+    ws = Window.partitionBy("_gk").orderBy("_slice")
+    prev = slices.select("_gk", "_slice", F.lag("_slice_last").over(ws).alias("_prev_last"))
+    j = local.join(prev, ["_gk", "_slice"])
     new = ((F.col("_lid") > 1) | F.col("_prev_last").isNull()
            | (F.col("_start") > F.col("_prev_last") + gap)).cast("bigint")
-    r = running_totals(j.withColumn("_new", new), keys, ["_slice", "_lid"], F.col("_slice"), F.col("_new"),
+    r = running_totals(j.withColumn("_new", new), ["_gk"], ["_slice", "_lid"], F.col("_slice"), F.col("_new"),
                        cum_col="_gid")
-    return (r.groupBy(*keys, "_gid")
-             .agg(F.min("_start").alias("session_start"), (F.max("_last") + gap).alias("session_end"),
-                  F.sum("_n").alias("num_events"))
-             .drop("_gid"))
+    out = (r.groupBy("_gk", "_gid")
+            .agg(F.min("_start").alias("session_start"), (F.max("_last") + gap).alias("session_end"),
+                 F.sum("_n").alias("num_events")))
+    return out.select(*[F.col("_gk")[k].alias(k) for k in keys], "session_start", "session_end", "num_events")
 
 
 def session_stats(sessions: DataFrame, by: Sequence[str] = ()) -> DataFrame:

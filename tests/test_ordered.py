@@ -50,3 +50,19 @@ def test_best_stretch_and_streak_match_plain_windows(spark):
         cur[g] = cur.get(g, 0) + 1 if v == 1 else 0
         best[g] = max(best.get(g, 0), cur[g])
     assert streak == {g: b for g, b in best.items() if b > 0}
+
+
+def test_null_group_keys_are_kept(spark):
+    import datetime as dt
+    from cumulus.streaming import sessions as SS
+    df = spark.createDataFrame([(None, 1, 1), (None, 2, 0), ("a", 1, 1)], "g string, o long, v long")
+    got = sorted(map(tuple, running_totals(df, ["g"], ["o"], F.floor(F.col("o") / 10), F.col("v"))
+                     .select("g", "o", "_rn", "_cum").collect()), key=str)
+    assert got == sorted([(None, 1, 1, 1), (None, 2, 2, 1), ("a", 1, 1, 1)], key=str)
+    t0 = dt.datetime(2024, 1, 1, 10, 0, 0)
+    ev = spark.createDataFrame([(None, t0), (None, t0 + dt.timedelta(minutes=2)), ("x", t0)],
+                               "ip string, event_time timestamp_ntz")
+    s = sorted(map(str, SS.sessionize_sliced(ev, ["ip"], "event_time", 300, 3600).collect()))
+    w = SS.sessionize(ev, ["ip"], "event_time").select(
+        "ip", F.col("session_start").cast("timestamp_ntz"), F.col("session_end").cast("timestamp_ntz"), "num_events")
+    assert s == sorted(map(str, w.collect()))
