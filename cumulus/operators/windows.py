@@ -77,11 +77,13 @@ def best_stretch(df: DataFrame, group: str, order_col: str, flag: str, n: int =
     k-n+1..k is S(k) - S(k-n), an equi-join on (group, k - n).
     """
     b = bucket if bucket is not None else F.floor(F.col(order_col) / F.lit(1024))
-    r = running_totals(df.select(group, order_col, flag), [group], [order_col], b, F.col(flag).cast("bigint"))
-    back = r.select(group, (F.col("_rn") + n).alias("_rn"), F.col("_cum").alias("_cum_back"))
-    j = r.join(back, [group, "_rn"], "left")
+    r = running_totals(df.select(F.struct(group).alias("_g"), order_col, flag), ["_g"], [order_col], b,
+                       F.col(flag).cast("bigint"))
+    back = r.select("_g", (F.col("_rn") + n).alias("_rn"), F.col("_cum").alias("_cum_back"))
+    j = r.join(back, ["_g", "_rn"], "left")
     s = F.col("_cum") - F.coalesce(F.col("_cum_back"), F.lit(0))
-    return j.groupBy(group).agg(F.max(s).cast("bigint").alias(f"max_in_{n}"))
+    g = j.groupBy("_g").agg(F.max(s).cast("bigint").alias(f"max_in_{n}"))
+    return g.select(F.col("_g")[group].alias(group), f"max_in_{n}")
 
 
 def longest_streak(df: DataFrame, group: str, order_cols: Sequence[str], cond: Column,

@@ -66,3 +66,9 @@ def test_null_group_keys_are_kept(spark):
     w = SS.sessionize(ev, ["ip"], "event_time").select(
         "ip", F.col("session_start").cast("timestamp_ntz"), F.col("session_end").cast("timestamp_ntz"), "num_events")
     assert s == sorted(map(str, w.collect()))
+
+
+def test_best_stretch_null_group(spark):
+    df = spark.createDataFrame([(None, 1, 1), (None, 2, 1), (None, 3, 0), ("a", 1, 0)], "g string, o long, v long")
+    got = sorted(map(tuple, best_stretch(df, "g", "o", "v", 2, bucket=F.floor(F.col("o") / 2)).collect()), key=str)
+    assert got == sorted([(None, 2), ("a", 0)], key=str)
