@@ -56,7 +56,8 @@ def argmax_per_group(df: DataFrame, group: Sequence[str], value: str) -> DataFra
 
     Group maxima come from a partial aggregation and are joined back, the
     decorrelated form of ``value = (SELECT MAX(value) ... same group)``; no
-    window has to sort a whole group in one task.
+    window has to sort a whole group in one task.  As with that correlated
+    subquery, rows whose group is NULL match no group and are left out.
     """
     group = list(group)
     m = df.groupBy(*group).agg(F.max(value).alias("_max"))

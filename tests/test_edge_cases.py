@@ -45,3 +45,30 @@ def test_variant_assignment_is_stable_and_balanced(spark):
     assert 0.47 < share < 0.53
     r = spark.createDataFrame([(42,)], "user_id long").select(hash_bucket("user_id", "exp1").alias("b")).first().b
     assert 0 <= r < 100
+
+
+def test_normal_cdf_known_values(spark):
+    from cumulus.functions.columns import normal_cdf, two_sided_p
+    r = spark.createDataFrame([(0.0,), (1.0,), (1.96,), (-2.5758,)], "z double").select(
+        "z", normal_cdf("z").alias("c"), two_sided_p("z").alias("p")).collect()
+    got = {row.z: (row.c, row.p) for row in r}
+    assert abs(got[0.0][0] - 0.5) < 1e-7 and abs(got[0.0][1] - 1.0) < 1e-7
+    assert abs(got[1.0][0] - 0.8413447) < 1e-6
+    assert abs(got[1.96][1] - 0.0499958) < 1e-6
+    assert abs(got[-2.5758][0] - 0.005) < 1e-5
+
+
+def test_classify_null_and_prefer_today(spark):
+    from cumulus.functions.columns import classify
+    r = spark.createDataFrame([(None,), (25.0,), (15.0,), (10.5,)], "v double").select(
+        classify("v").alias("c")).collect()
+    assert [x.c for x in r] == ["bad", "star", "average", "average"]
+    prev = spark.createDataFrame([("p", "old", [], "bad", 0, 2000)],
+                                 "player_name string, country string, seasons array<struct<season:int,pts:double>>, "
+                                 "scoring_class string, years_since_last_active int, current_season int")
+    today = spark.createDataFrame([("p", "new", 2001, 21.0)], "player_name string, country string, season int, pts double")
+    keep = C.cumulate_step(prev, today, "player_name", ["country"], ["pts"], "season", 2001, "pts").first()
+    flip = C.cumulate_step(prev, today, "player_name", ["country"], ["pts"], "season", 2001, "pts",
+                           prefer="today").first()
+    assert keep.country == "old" and flip.country == "new"
+    assert keep.scoring_class == "star" and keep.is_active and keep.years_since_last_active == 0
