@@ -84,3 +84,31 @@ def test_stream_enrichment_matches_batch(spark):
                       ["country", "region"], "event_time_text").select("event_id", "ip", "event_timestamp", "geodata")
     assert got == sorted(map(tuple, batch.collect()))
     assert any(g == "{}" for *_, g in got) or all(g.startswith('{"country"') for *_, g in got)
+
+
+def test_late_events_beyond_watermark_are_dropped(spark):
+    import datetime as dt
+    base = tempfile.mkdtemp(prefix="cumulus-late-")
+    src, ck, out = f"{base}/src", f"{base}/ck", f"{base}/out"
+    schema = "ip string, host string, event_time timestamp_ntz"
+    t0 = dt.datetime(2024, 1, 1, 10, 0, 0)
+    first = [("1.1.1.1", "h", t0 + dt.timedelta(minutes=m)) for m in (0, 2, 4, 20)]
+    spark.createDataFrame(first, schema).write.mode("append").parquet(src)
+
+    def sink(batch, epoch):
+        batch.write.mode("append").parquet(out)
+
+    from pyspark.sql import types as T
+    st = T.StructType([T.StructField("ip", T.StringType()), T.StructField("host", T.StringType()),
+                       T.StructField("event_time", T.TimestampNTZType())])
+    SS.stream_sessions(spark, src, st, ["ip", "host"], "event_time", ck, sink).awaitTermination(120)
+    late = [("1.1.1.1", "h", t0 + dt.timedelta(minutes=1)),      # behind the watermark: dropped
+            ("1.1.1.1", "h", t0 + dt.timedelta(minutes=40))]     # on time: closes the 10:20 session
+    spark.createDataFrame(late, schema).write.mode("append").parquet(src)
+    SS.stream_sessions(spark, src, st, ["ip", "host"], "event_time", ck, sink).awaitTermination(120)
+    got = sorted((r.session_start.replace(tzinfo=None) if hasattr(r.session_start, "tzinfo") else r.session_start,
+                  r.num_events) for r in spark.read.parquet(out).collect())
+    starts = [(s.strftime("%H:%M"), n) for s, n in got]
+    # the 10:00 session keeps its 3 on-time events; the late 10:01 event is not added
+    assert ("10:00", 3) in starts and ("10:20", 1) in starts
+    assert sum(n for _, n in starts) == 4
