@@ -72,3 +72,18 @@ def test_classify_null_and_prefer_today(spark):
                            prefer="today").first()
     assert keep.country == "old" and flip.country == "new"
     assert keep.scoring_class == "star" and keep.is_active and keep.years_since_last_active == 0
+
+
+def test_ipv4_parsing_and_unmatched_ranges(spark):
+    from cumulus.functions.columns import ipv4_to_long
+    from cumulus.streaming.enrich import enrich
+    ips = spark.createDataFrame([("10.0.1.2",), ("300.1.1.1",), ("abc",), (None,), ("1.2.3",)], "ip string")
+    got = [r.v for r in ips.select(ipv4_to_long("ip").alias("v")).collect()]
+    assert got == [167772418, None, None, None, None]
+    ranges = spark.createDataFrame([(167772160, 167772415, "N0", "R0")], "ip_start long, ip_end long, country string, region string")
+    ev = spark.createDataFrame([(1, "10.0.0.7", "2024-01-01T00:00:00.123Z"), (2, "10.0.1.2", "2024-01-01T00:00:01.000Z")],
+                               "event_id int, ip string, t string")
+    out = {r.event_id: (r.geodata, r.event_timestamp.isoformat()) for r in
+           enrich(ev, ranges, "ip", ["country", "region"], "t").collect()}
+    assert out[1] == ('{"country":"N0","region":"R0"}', "2024-01-01T00:00:00.123000")
+    assert out[2][0] == "{}"
