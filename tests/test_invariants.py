@@ -146,3 +146,29 @@ def test_property_sliced_sessions_equal_session_window(spark, evs, slice_s):
         "ip", F.col("session_start").cast("timestamp_ntz"), F.col("session_end").cast("timestamp_ntz"), "num_events")
     b = streams.SS.sessionize_sliced(df, ["ip"], "event_time", 300, slice_s)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.select(a.columns).collect()))
+
+
+dup_rows = st.lists(st.tuples(st.integers(0, 3), st.one_of(st.none(), st.integers(0, 5)),
+                              st.one_of(st.none(), st.sampled_from(["a", "b", "c"]))), min_size=1, max_size=30)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(dup_rows, st.booleans())
+def test_property_dedupe_matches_brute_force(spark, rows, desc):
+    from cumulus.operators.dedupe import deduplicate
+    df = spark.createDataFrame(rows, "k int, o int, v string")
+    got = {r.k: (r.o, r.v) for r in deduplicate(df, ["k"], ["o"], descending=desc).collect()}
+
+    # NULL sorts before any value (first ascending, last descending)
+    exp = {}
+    for k, o, v in rows:
+        cand = (o, v)
+        best = exp.get(k)
+        key_c = ((o is not None, o or 0), (v is not None, v or ""))
+        if best is None:
+            exp[k] = cand
+            continue
+        key_b = ((best[0] is not None, best[0] or 0), (best[1] is not None, best[1] or ""))
+        if (key_c > key_b) if desc else (key_c < key_b):
+            exp[k] = cand
+    assert got == exp
