@@ -94,3 +94,16 @@ def test_cumulative_fold_over_seasons(spark):
                      first, [str(p) for p in range(1996, 2002)], name)
     back = C.cumulate_backfill(seasons, *args, 1995, 2001, "pts").filter(F.col("current_season") == 2001)
     assert sorted(map(str, last.select(back.columns).collect())) == sorted(map(str, back.collect()))
+
+
+def test_null_padded_monthly_hits_fold(spark):
+    ev, start, days = _random_activity(spark, users=8, days=9, seed=11)
+    schema = "user_id long, month_start date, metric_name string, metric_array array<bigint>"
+    snap = spark.createDataFrame([], schema)
+    for k in range(days):
+        ds = (start + dt.timedelta(days=k)).isoformat()
+        snap = spark.createDataFrame(A.array_metric_step(snap, ev, ds, null_pad=True).collect(), snap.schema)
+    back = A.array_metric_month(ev, (start + dt.timedelta(days=days - 1)).isoformat(), null_pad=True)
+    got = {r.user_id: list(r.metric_array) for r in snap.collect()}
+    exp = {r.user_id: list(r.metric_array) for r in back.collect()}
+    assert got == exp and any(None in v for v in got.values())
