@@ -89,3 +89,15 @@ def test_shared_aggregate_is_cached_and_reused(spark):
         assert users.count() > 0 and devices.count() > 0
     finally:
         agg.unpersist()
+
+
+def test_every_query_stays_jvm_side_without_quadratic_joins(spark):
+    import __spark_entry__ as E
+    bad = []
+    for name, q in E.queries().items():
+        p = plan(q(spark, SF_SMALL))
+        for marker in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
+                       "NestedLoopJoin", "CartesianProduct"):
+            if marker in p:
+                bad.append((name, marker))
+    assert bad == []
