@@ -35,10 +35,11 @@ def running_totals(df: DataFrame, group: Sequence[str], order: Sequence[str], bu
     (RANGE frame, peers included).
 
     Plan: one Exchange of the input on (group, bucket) feeds the in-bucket
-    window; the per-bucket totals are read off the same windowed rows (the
-    Exchange is reused, the input is not recomputed), prefix-summed per group
-    on the small bucket table and joined back on (group, bucket), where the
-    large side is already partitioned.
+    window; the per-bucket totals are read off the same windowed rows (both
+    branches start from that shuffle, which Spark reuses when the pruned
+    plans coincide), prefix-summed per group on the small bucket table and
+    joined back on (group, bucket), where the large side is already
+    partitioned.
     """
     group = list(group)
     v = F.lit(0).cast("bigint") if value is None else value
