@@ -6,11 +6,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from cumulus.plans.registry import all_oracle_sql, all_queries
 from cumulus.sources.tables import TABLES
 from tests.conftest import SF_SMALL
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = all_queries()
+ORACLE = all_oracle_sql()
 
 
 def _norm(v):
