@@ -34,6 +34,7 @@ from cumulus.llm.common import carried
 
 LIMIT = 2048
 CACHE_ENTRIES = 1 << 18
+SEPARATORS = re.compile("[\x1c-\x1f]")  # white space to str.split, not to the pattern
 
 
 def count_merges(symbols: list, ranks: dict) -> int:
@@ -109,7 +110,7 @@ class TokenCounter:
         for part in parts:
             # a capital sigma lower-cases by its neighbours in str.lower, not in a letter-by-letter step
             part = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
-            for s in part.split():
+            for s in [part] if SEPARATORS.search(part) else part.split():
                 n = get(s)
                 total += fill(s) if n is None else n
         return total
