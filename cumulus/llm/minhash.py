@@ -7,11 +7,18 @@ a band; documents with an equal band share a bucket.
 
 Documents with equal shingle sets are one class, represented by the smallest
 id; only representatives are banded.  Candidate edges of a bucket are a star:
-its smallest member against the others.  A link is confirmed on the full
-shingle sets.  Members that a star leaves in different components go on to
-further rounds, in which the next 8, 64, ... smallest members of a bucket are
+one centre against the others.  A link is confirmed on the full shingle sets.
+
+Shingles that no other banded candidate has (``lone``) bound what a document
+can share: of a pair, at most the smaller number of shingles that are not lone.
+Pairs whose sizes rule a link out by that bound are not confirmed.  A bucket's
+centre is its member with the fewest lone shingles, the likely origin of a
+group of edited copies.  Members that a star leaves in different components go
+on to further rounds, in which the next 8, 64, ... members of a bucket are
 centres, until every bucket holds one component or every member of it has been
-a centre: no pair of a bucket is left out unless its documents are connected.
+a centre: no pair of a bucket is left out unless its documents are connected
+or their sizes rule a link out.  After the first round a pair is taken up only
+in the first of the buckets that it shares (told by 32 bits of every band key).
 
 Defined cases: a text without words is linked with nothing; a shorter text
 than a shingle is one shingle; rows with a null id take no part (their
@@ -31,7 +38,7 @@ from cumulus.llm.components import connected_components
 from cumulus.llm.shingles import mix, shingle_sets, slices
 
 BANDS, ROWS = 40, 5
-CENTRES = 8  # grows by this factor each round
+CENTRES = 8  # the number of centres of a bucket grows by this factor each round
 
 
 def signatures(ends: np.ndarray, hashes: np.ndarray, bins: int = BANDS * ROWS) -> np.ndarray:
@@ -107,9 +114,11 @@ def _sets(words: int):
     return run
 
 
-def _close(a: str, b: str, percent: int):
-    """Necessary for a link: the smaller set has ``percent`` of the larger one's size."""
-    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
+def _possible(n_a, n_b, lone_a, lone_b, percent: int):
+    """Necessary for a link: what both can share reaches ``percent`` of the least possible union."""
+    n_a, n_b = F.col(n_a), F.col(n_b)
+    common = F.least(n_a - F.col(lone_a), n_b - F.col(lone_b))
+    return common * 100 >= (n_a + n_b - common) * percent
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -134,14 +143,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col="
     able = signed.where("n > 0 AND id IS NOT NULL")
     classes = materialize(able.groupBy("k1", "k2", "n").agg(F.min("id").alias("rep")), "classes")
     reps = able.join(classes.select(F.col("rep").alias("id"), "k1", "k2"), ["id", "k1", "k2"], "left_semi")
-    members = reps.select("id", "n", F.explode("bands").alias("key")).distinct()
-    shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
-    members = materialize(members.join(shared, "key"), "members")
-    links = _links(base, members, words, percent)
+    members = reps.select("id", "n", F.posexplode("bands").alias("band", "key")).distinct()
+    sigs = reps.select("id", "n", F.transform("bands", lambda b: b.bitwiseAND(2**31 - 1).cast("int")).alias("sig"))
+    members = materialize(_in_shared_buckets(members), "members")
+    linked = _linked(base, members, sigs, words, percent)
     parts = classes.select("k1", "k2", "rep")
-    if links is not None:
-        found = connected_components(links).withColumnRenamed("id", "rep")
-        parts = materialize(parts.join(found, "rep", "left"), "parts")
+    if linked is not None:
+        parts = materialize(parts.join(linked.select(F.col("id").alias("rep"), F.col("part").alias("component")),
+                                       "rep", "left"), "parts")
     else:
         parts = parts.withColumn("component", F.lit(None).cast("long"))
     parts = parts.select("k1", "k2", F.coalesce("component", "rep").alias("of_class"))
@@ -151,31 +160,61 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col="
                       F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"))
 
 
-def _links(base: DataFrame, members: DataFrame, words: int, percent: int) -> DataFrame | None:
-    """Confirmed edges (a, b) between representatives; None if no bucket holds two."""
+def _linked(base: DataFrame, members: DataFrame, sigs: DataFrame, words: int, percent: int) -> DataFrame | None:
+    """(id, part) of every representative with a confirmed link; None if there is no link."""
     if members.isEmpty():
         return None
     asked = members.select("id").distinct()
     sets = materialize(base.join(asked, "id", "left_semi").mapInArrow(_sets(words), "id long, shingles array<long>"),
                        "sets")
-    links, centres, parts = None, 1, None
-    while True:
-        rank = F.row_number().over(Window.partitionBy("key").orderBy("id"))
+    members = materialize(_in_shared_buckets(
+        members.join(_lone(sets), ["id", "n"], "left").withColumn("lone", F.coalesce("lone", F.lit(0)))
+        .where((F.col("n") - F.col("lone")) * 100 >= F.col("n") * percent)), "members")
+    links, tested, centres, parts = None, None, 1, None
+    while not members.isEmpty():
+        order = [F.col("lone"), F.col("id")]
+        rank = F.row_number().over(Window.partitionBy("key").orderBy(*order))
         chosen = members.withColumn("r", rank).where(F.col("r") <= centres)
-        part = ["part"] if parts is not None else []
-        heads = chosen.select("key", F.col("id").alias("a"), F.col("n").alias("na"), *[F.col(p).alias("pa") for p in part])
-        pairs = members.join(heads, "key").where((F.col("a") < F.col("id")) & _close("na", "n", percent))
-        if part:
-            pairs = pairs.where("pa <> part")
-        pairs = materialize(pairs.select("a", F.col("id").alias("b")).distinct(), "pairs")
+        heads = chosen.select("key", *[F.col(c).alias(f"{c}_a") for c in chosen.columns if c not in ("key", "band", "r")])
+        pairs = members.join(heads, "key").where(
+            (F.struct("lone_a", "id_a") < F.struct(*order)) & _possible("n_a", "n", "lone_a", "lone", percent))
+        if "part" in members.columns:
+            pairs = pairs.where("part_a <> part")
+        if "sig" in members.columns:
+            same = F.zip_with("sig_a", "sig", lambda x, y: x == y)
+            pairs = pairs.where(F.array_position(same, True) == F.col("band") + 1)
+        pairs = pairs.select(F.col("id_a").alias("a"), F.col("id").alias("b")).distinct()
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = materialize(pairs, "pairs")
+        tested = pairs if tested is None else tested.unionByName(pairs)
         found = materialize(confirm(pairs, sets, percent), "links")
-        links = found if links is None else links.unionByName(found)
+        if not found.isEmpty():
+            links = found if links is None else links.unionByName(found)
+            parts = materialize(connected_components(links), "parts").select("id", F.col("component").alias("part"))
         # what goes on: members that have not been centres, in buckets of two or more components
-        parts = materialize(connected_components(links), "parts").select("id", F.col("component").alias("part"))
-        left = (members.drop("part").join(chosen.select("key", "id"), ["key", "id"], "left_anti")
-                .join(parts, "id", "left").withColumn("part", F.coalesce("part", "id")))
+        left = members.drop("part").join(chosen.select("key", "id"), ["key", "id"], "left_anti")
+        if parts is None:
+            left = left.withColumn("part", F.col("id"))
+        else:
+            left = left.join(parts, "id", "left").withColumn("part", F.coalesce("part", "id"))
         open_ = left.groupBy("key").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x <> y").select("key")
-        members = materialize(left.join(open_, "key"), "members")
-        if members.isEmpty():
-            return links
+        left = left.join(open_, "key")
+        if "sig" not in left.columns:
+            left = left.join(sigs.dropDuplicates(["id", "n"]), ["id", "n"])
+        members = materialize(left, "members")
         centres *= CENTRES
+    return parts
+
+
+def _lone(sets: DataFrame) -> DataFrame:
+    """(id, n, lone): how many shingles of each set no other set has; counted on the map side first."""
+    one = sets.select("id", F.size("shingles").cast("long").alias("n"), F.explode("shingles").alias("s"))
+    once = one.groupBy("s").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("id", "n")).alias("of")).where("c = 1")
+    return once.groupBy(F.col("of.id").alias("id"), F.col("of.n").alias("n")).agg(F.count(F.lit(1)).alias("lone"))
+
+
+def _in_shared_buckets(members: DataFrame) -> DataFrame:
+    """The rows whose ``key`` another row has too."""
+    shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
+    return members.join(shared, "key")
