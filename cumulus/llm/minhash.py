@@ -18,7 +18,10 @@ on to further rounds, in which the next 8, 64, ... members of a bucket are
 centres, until every bucket holds one component or every member of it has been
 a centre: no pair of a bucket is left out unless its documents are connected
 or their sizes rule a link out.  After the first round a pair is taken up only
-in the first of the buckets that it shares (told by 32 bits of every band key).
+in the first of the buckets that it shares (told by 32 bits of every band key),
+and only if the two share one of their rarest shingles: with o shingles needed
+in common, one of them is among the first size - o + 1 of either set in any
+order that is the same for all, here by the number of open sets that hold it.
 
 Defined cases: a text without words is linked with nothing; a shorter text
 than a shingle is one shingle; rows with a null id take no part (their
@@ -183,6 +186,9 @@ def _linked(base: DataFrame, members: DataFrame, sigs: DataFrame, words: int, pe
         if "sig" in members.columns:
             same = F.zip_with("sig_a", "sig", lambda x, y: x == y)
             pairs = pairs.where(F.array_position(same, True) == F.col("band") + 1)
+            needed = F.ceil((F.col("n_a") + F.col("n")) * percent / (100 + percent))
+            first = lambda rare, n: F.slice(rare, 1, F.greatest(F.col(n) - needed + 1, F.lit(0)).cast("int"))
+            pairs = pairs.where(F.arrays_overlap(first("rare_a", "n_a"), first("rare", "n")))
         pairs = pairs.select(F.col("id_a").alias("a"), F.col("id").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
@@ -201,7 +207,9 @@ def _linked(base: DataFrame, members: DataFrame, sigs: DataFrame, words: int, pe
         open_ = left.groupBy("key").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x <> y").select("key")
         left = left.join(open_, "key")
         if "sig" not in left.columns:
-            left = left.join(sigs.dropDuplicates(["id", "n"]), ["id", "n"])
+            left = materialize(left, "left")
+            left = left.join(sigs.dropDuplicates(["id", "n"]), ["id", "n"]).join(
+                _rarest(sets.join(left.select("id").distinct(), "id", "left_semi"), percent), ["id", "n"])
         members = materialize(left, "members")
         centres *= CENTRES
     return parts
@@ -214,6 +222,15 @@ def _lone(sets: DataFrame) -> DataFrame:
     return once.groupBy(F.col("of.id").alias("id"), F.col("of.n").alias("n")).agg(F.count(F.lit(1)).alias("lone"))
 
 
+def _rarest(sets: DataFrame, percent: int) -> DataFrame:
+    """(id, n, rare): of each set the shingles that fewest sets hold, as many as any link could need."""
+    one = sets.select("id", F.size("shingles").cast("long").alias("n"), F.explode("shingles").alias("s"))
+    held = one.groupBy("s").agg(F.count(F.lit(1)).alias("c"))
+    ranked = one.join(held, "s").groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("c", "s"))).alias("ranked"))
+    most = (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int")
+    return ranked.select("id", "n", F.transform(F.slice("ranked", F.lit(1), most), lambda x: x["s"]).alias("rare"))
+
+
 def _in_shared_buckets(members: DataFrame) -> DataFrame:
     """The rows whose ``key`` another row has too."""
     shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
