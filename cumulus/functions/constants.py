@@ -45,3 +45,8 @@ REFERRER_RULES = [
     ("google", "Google"),
     ("lnkd", "Linkedin"),
 ]
+
+# fixed values: the label of a change, by "was active, is active"
+PERIOD_CHANGES = {"none true": CAREER_NEW, "true false": CAREER_RETIRED, "false true": CAREER_RETURNED,
+                  "false false": CAREER_STAYED_RETIRED}
+INTERVAL_CHANGES = PERIOD_CHANGES | {"true true": CAREER_CONTINUED}

@@ -54,7 +54,9 @@ def array_metric_step(prev: DataFrame, events: DataFrame, ds, key="user_id", met
              .select(*ks, F.col("metric_array").alias("_arr")))
     j = y.join(today, ks, "full_outer")
     fill = F.lit(None).cast("bigint") if null_pad else F.lit(0).cast("bigint")
-    base = _fit(F.coalesce(F.col("_arr"), F.array().cast("array<bigint>")), day - 1, fill)
+    # NULL stands for days before a key was known; a known key's missed days are 0
+    base = (F.when(F.col("_arr").isNull(), _fit(F.array().cast("array<bigint>"), day - 1, fill))
+             .otherwise(_fit(F.col("_arr"), day - 1, F.lit(0).cast("bigint"))))
     return j.select(*ks, month.alias("month_start"), F.lit(metric_name).alias("metric_name"),
                     F.concat(base, F.array(F.coalesce(F.col("_n"), F.lit(0).cast("bigint")))).alias("metric_array"))
 

@@ -24,7 +24,8 @@ def monthly(df: DataFrame, date_col: str, measure: str, name: str) -> DataFrame:
 
 
 def avg_over_top(df: DataFrame, key: str, rank_measure: str, avg_measure: str, n: int = 20) -> DataFrame:
-    """Average of ``avg_measure`` for the top ``n`` keys chosen by SUM(rank_measure)."""
+    """Average of ``avg_measure`` for the top ``n`` keys chosen by SUM(rank_measure), highest average first."""
     g = df.groupBy(key).agg(F.sum(rank_measure).alias(f"total_{rank_measure}"),
                             F.avg(avg_measure).alias(f"avg_{avg_measure}"))
-    return g.orderBy(F.col(f"total_{rank_measure}").desc(), F.col(key).asc()).limit(n)
+    top = g.orderBy(F.col(f"total_{rank_measure}").desc(), F.col(key).asc()).limit(n)
+    return top.orderBy(F.col(f"avg_{avg_measure}").desc(), F.col(key).asc())

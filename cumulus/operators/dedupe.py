@@ -12,19 +12,17 @@ def deduplicate(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None
                 descending: bool = False) -> DataFrame:
     """Keep one row per key: the first by ``order`` (then by every other column).
 
-    Written as a MIN/MAX over a struct (order columns first), i.e. an
-    aggregation with map-side partial merge: a key holding a large share of
-    the rows is reduced inside each input partition before the shuffle,
-    unlike ``row_number() = 1`` which sorts the whole key in one task.
-    Ascending puts NULLs first, descending puts them last.
+    The order is total, so the choice does not depend on partitioning.  The
+    planner puts a partial WindowGroupLimit before the shuffle: of a key that
+    holds a large share of the rows each input partition sends one row.
+    Ascending puts NULLs first, descending puts them last.  Every column must
+    be orderable (no map columns).
     """
     keys = list(keys)
     order = [c for c in (order or []) if c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in order]
-    s = F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(order + rest)])
-    pick = F.max(s) if descending else F.min(s)
-    g = df.groupBy(*keys).agg(pick.alias("_w"))
-    return g.select(*keys, *[F.col(f"_w._{i}").alias(c) for i, c in enumerate(order + rest)]).select(*df.columns)
+    by = [F.col(c).desc() if descending else F.col(c).asc() for c in order + rest]
+    return deduplicate_window(df, keys, by or [F.lit(1)])
 
 
 def deduplicate_window(df: DataFrame, keys: Sequence[str], order_cols) -> DataFrame:

@@ -103,34 +103,26 @@ def retention_curve(ga: DataFrame, by_cohort: bool = False, cohort=None) -> Data
               .withColumn("pct_active", F.col("n_active").cast("double") / F.col("n_users").cast("double")))
 
 
+def _label(was, now, table: dict, default: str):
+    """Label of the pair (was active, is active); a missing value is ``none``."""
+    word = lambda c: F.coalesce(c.cast("string"), F.lit("none"))
+    pairs = F.create_map(*[F.lit(x) for pair, label in table.items() for x in (pair, label)])
+    return F.coalesce(F.try_element_at(pairs, F.concat_ws(" ", word(was), word(now))), F.lit(default))
+
+
 def state_changes(scd: DataFrame, key: str, start_col: str, end_col: str, active_col: str = "is_active") -> DataFrame:
     """Label SCD intervals by the change of activity from the previous one;
     keep only intervals where activity changed (or the first)."""
-    w = Window.partitionBy(key).orderBy(start_col)
-    prev = F.lag(active_col).over(w)
-    prev_end = F.lag(end_col).over(w)
-    a = F.col(active_col)
-    lab = (F.when(F.col("_p").isNull() & a, K.CAREER_NEW)
-            .when((F.col("_p") == True) & (a == False), K.CAREER_RETIRED)  # noqa: E712
-            .when((F.col("_p") == True) & (a == True), K.CAREER_CONTINUED)  # noqa: E712
-            .when((F.col("_p") == False) & (a == True) & (F.col("_pe").isNull() | (F.col("_pe") < F.col(start_col))),  # noqa: E712
-                  K.CAREER_RETURNED)
-            .when((F.col("_p") == False) & (a == False), K.CAREER_STAYED_RETIRED)  # noqa: E712
-            .otherwise(K.CAREER_UNKNOWN))
-    t = scd.select(key, start_col, active_col, prev.alias("_p"), prev_end.alias("_pe"))
-    return (t.filter(distinct_from("_p", active_col) | F.col("_p").isNull())
-             .select(key, start_col, lab.alias("player_state")))
+    before = F.lag(active_col).over(Window.partitionBy(key).orderBy(start_col))
+    return (scd.select(key, start_col, active_col, before.alias("_was"))
+               .filter(F.col("_was").isNull() | distinct_from("_was", active_col))
+               .select(key, start_col, _label(F.col("_was"), F.col(active_col), K.INTERVAL_CHANGES,
+                                              K.CAREER_UNKNOWN).alias("player_state")))
 
 
 def career_states(df: DataFrame, key: str, period_col: str, active_col: str = "is_active") -> DataFrame:
     """Per period, the activity transition from the previous period."""
-    w = Window.partitionBy(key).orderBy(period_col)
-    p = F.lag(active_col).over(w)
-    a = F.col(active_col)
-    t = df.select(key, period_col, active_col, p.alias("_p"))
-    lab = (F.when(F.col("_p").isNull() & (a == True), K.CAREER_NEW)  # noqa: E712
-            .when((F.col("_p") == True) & (a == False), K.CAREER_RETIRED)  # noqa: E712
-            .when((F.col("_p") == False) & (a == True), K.CAREER_RETURNED)  # noqa: E712
-            .when((F.col("_p") == False) & (a == False), K.CAREER_STAYED_RETIRED)  # noqa: E712
-            .otherwise(K.CAREER_CONTINUED))
-    return t.select(key, period_col, lab.alias("state_change"))
+    before = F.lag(active_col).over(Window.partitionBy(key).orderBy(period_col))
+    return (df.select(key, period_col, active_col, before.alias("_was"))
+              .select(key, period_col, _label(F.col("_was"), F.col(active_col), K.PERIOD_CHANGES,
+                                              K.CAREER_CONTINUED).alias("state_change")))

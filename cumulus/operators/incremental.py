@@ -7,6 +7,7 @@ executor only recomputes the current day.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,10 +20,11 @@ def fold_days(spark: SparkSession, step: Callable[[DataFrame, str], DataFrame],
     """Apply ``step(snapshot, ds)`` for each ``ds`` in order.
 
     Returns the last snapshot, or (``keep_all``) every day's snapshot read
-    back as one frame partitioned by ``ds``.
+    back as one frame partitioned by ``ds``.  Every run writes to a folder of
+    its own, so days of an earlier run under the same name never come back.
     """
     snap = initial
-    root = shared_path(spark, name)
+    root = shared_path(spark, f"{name}-{uuid.uuid4().hex}")
     for ds in days:
         path = f"{root}/ds={ds}"
         step(snap, ds).write.mode("overwrite").parquet(path)

@@ -91,7 +91,8 @@ def scd2_expire_insert(scd: DataFrame, latest: DataFrame, key: str, attrs: Seque
 
     Open rows whose attributes differ from ``latest`` are closed at
     ``as_of - 1 day`` and a new open row starting ``as_of`` is inserted; new
-    keys get an open row; unchanged and closed rows stay.
+    keys get an open row; unchanged and closed rows stay.  A row opened on
+    ``as_of`` itself is replaced, so a second change on one day leaves no empty interval.
     """
     d = F.lit(as_of).cast("date")
     cols = [key, *attrs, start_col, end_col]
@@ -106,7 +107,8 @@ def scd2_expire_insert(scd: DataFrame, latest: DataFrame, key: str, attrs: Seque
                       F.date_sub(d, 1).alias(end_col))
     insert = F.struct(*[F.col(a).alias(a) for a in attrs], d.alias(start_col), null_date.alias(end_col))
     both = F.col("_old").isNotNull() & F.col("_new").isNotNull()
-    rows = (F.when(both & _changed(attrs), F.array(expire, insert))
+    rows = (F.when(both & _changed(attrs) & (F.col("_o_s") == d), F.array(insert))
+             .when(both & _changed(attrs), F.array(expire, insert))
              .when(both, F.array(keep))
              .when(F.col("_new").isNotNull(), F.array(insert))
              .otherwise(F.array(keep)))

@@ -11,9 +11,10 @@ ROLE_CTES = {
                     WHEN 2 THEN 'https://www.google.com/search' WHEN 3 THEN 'https://lnkd.in/abc'
                     WHEN 4 THEN 'https://www.example.com/blog' WHEN 6 THEN 'https://news.ycombinator.com/'
                     WHEN 7 THEN 'https://www.bing.com/' END AS referrer,
-         '10.0.' || CAST(user_id // 256 AS VARCHAR) || '.' || CAST(user_id % 256 AS VARCHAR) AS ip
+         concat_ws('.', spread // 16777216, spread // 65536 % 256, spread // 256 % 256, spread % 256) AS ip
   FROM (SELECT event_id, user_id, ts AS event_time, event_type, value,
-               CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events) e0)""",
+               CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
+               (user_id % 4294967296) * 1640531527 % 4294967296 AS spread FROM events) e0)""",
     "devices": """devices AS (
   SELECT device_id,
          CASE device_id % 5 WHEN 0 THEN 'Chrome' WHEN 1 THEN 'Safari' WHEN 2 THEN 'Firefox' WHEN 3 THEN 'Edge' END AS browser_type,

@@ -3,6 +3,7 @@ streaming operators; the stream form is exercised in tests)."""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cumulus.plans.role_sql import with_roles
@@ -11,8 +12,7 @@ from cumulus.sources.tables import table
 from cumulus.streaming import enrich as EN
 from cumulus.streaming import sessions as SS
 
-IP_BASE = 167772160          # 10.0.0.0
-USERS_PER_RANGE = 60
+ADDRESSES = 1 << 32
 
 
 def _sessions(spark, d):
@@ -36,12 +36,15 @@ def q_session_by_host(spark, d):
 
 
 def geo_ranges(spark, d):
-    """IP ranges per nation (with its region), derived from the nation table."""
+    """IP ranges per nation (with its region): the whole address space cut into one equal range a nation."""
     n = table(spark, d, "nation")
     r = table(spark, d, "region")
-    start = F.lit(IP_BASE) + F.col("n_nationkey").cast("bigint") * USERS_PER_RANGE
-    return (n.join(r, n.n_regionkey == r.r_regionkey)
-             .select(start.alias("ip_start"), (start + USERS_PER_RANGE - 1).alias("ip_end"),
+    whole = Window.partitionBy(F.lit(0))  # nations are a fixed small table
+    ranked = n.withColumn("n", F.count(F.lit(1)).over(whole)).withColumn(
+        "i", F.row_number().over(whole.orderBy("n_nationkey")).cast("bigint"))
+    at = lambda i: F.expr(f"({i}) * {ADDRESSES} div n")
+    return (ranked.join(r, F.col("n_regionkey") == r.r_regionkey)
+             .select(at("i - 1").alias("ip_start"), (at("i") - 1).alias("ip_end"),
                      F.col("n_name").alias("country"), F.col("r_name").alias("region")))
 
 
@@ -74,9 +77,10 @@ ORACLE = {
     "session_by_host": _SESS + """
 SELECT host, round(AVG(num_events), 6) AS avg_events_per_session, COUNT(*) AS num_sessions FROM sess GROUP BY host""",
     "enrich_batch": with_roles("web_events") + """,
-rng AS (SELECT 167772160 + CAST(n.n_nationkey AS BIGINT) * 60 AS ip_start,
-               167772160 + CAST(n.n_nationkey AS BIGINT) * 60 + 59 AS ip_end, n.n_name AS country, r.r_name AS region
-        FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey),
+ranked AS (SELECT *, row_number() OVER (ORDER BY n_nationkey) AS i, count(*) OVER () AS n FROM nation),
+rng AS (SELECT (i - 1) * 4294967296 // n AS ip_start, i * 4294967296 // n - 1 AS ip_end,
+               n_name AS country, r.r_name AS region
+        FROM ranked JOIN region r ON n_regionkey = r.r_regionkey),
 ev AS (SELECT event_id, ip, date_trunc('millisecond', event_time) AS event_timestamp,
               CAST(split_part(ip, '.', 1) AS BIGINT) * 16777216 + CAST(split_part(ip, '.', 2) AS BIGINT) * 65536
               + CAST(split_part(ip, '.', 3) AS BIGINT) * 256 + CAST(split_part(ip, '.', 4) AS BIGINT) AS ipl

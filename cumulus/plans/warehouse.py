@@ -142,7 +142,7 @@ def q_bi_monthly(spark, d):
 
 
 def q_bi_win_rate(spark, d):
-    r = BI.avg_over_top(_md(spark, d), "player_gamertag", "kills", "did_win", 20)
+    r = BI.avg_over_top(_md(spark, d), "player_gamertag", "did_win", "did_win", 20)
     return r.withColumn("avg_did_win", F.round("avg_did_win", 6))
 
 
@@ -247,6 +247,6 @@ ORDER BY total_kills DESC, player_gamertag ASC NULLS LAST LIMIT 20""",
 SELECT CAST(date_trunc('month', m.completion_date) AS DATE) AS month, CAST(SUM(md.kills) AS BIGINT) AS total_kills
 FROM md JOIN matches m ON md.match_id = m.match_id GROUP BY 1""",
     "bi_win_rate": _MD + """
-SELECT player_gamertag, CAST(SUM(kills) AS BIGINT) AS total_kills, round(AVG(did_win), 6) AS avg_did_win
-FROM md GROUP BY 1 ORDER BY total_kills DESC, player_gamertag ASC LIMIT 20""",
+SELECT player_gamertag, CAST(SUM(did_win) AS BIGINT) AS total_did_win, round(AVG(did_win), 6) AS avg_did_win
+FROM md GROUP BY 1 ORDER BY total_did_win DESC, player_gamertag ASC LIMIT 20""",
 }

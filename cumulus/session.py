@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -50,7 +51,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = (spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
                 or sc.getCheckpointDir())
     if not conf_dir:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise ValueError("spark.checkpoint.dir must name a shared folder (e.g. on the cluster file system)")
         conf_dir = tempfile.mkdtemp(prefix="cumulus-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     if sc.getCheckpointDir() is None:

@@ -48,8 +48,13 @@ def web_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.concat(F.lit("site"), (F.col("k") % 3).cast("string"), F.lit(".example.com")).alias("host"),
                      (F.col("k") % 10).alias("device_id"),
                      ref.alias("referrer"),
-                     F.concat(F.lit("10.0."), F.expr("user_id div 256").cast("string"), F.lit("."),
-                              (F.col("user_id") % 256).cast("string")).alias("ip")))
+                     address(F.col("user_id")).alias("ip")))
+
+
+def address(user_id):
+    """A valid IPv4 address for any user id: the id spread over all four octets by an odd factor (one to one below 2**32)."""
+    n = F.pmod(F.pmod(user_id, F.lit(1 << 32)) * F.lit(1640531527), F.lit(1 << 32))
+    return F.concat_ws(".", *[F.shiftright(n, bits).bitwiseAND(255).cast("string") for bits in (24, 16, 8, 0)])
 
 
 def devices(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,27 +7,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cumulus.functions.columns import ipv4_to_long, json_object
-from cumulus.operators.joins import fits
 
 ISO_MILLIS = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
-BUCKET_BITS = 16
+BLOCK_BITS = 16
 
 
 def range_lookup(events: DataFrame, ranges: DataFrame, ip_col: str, start_col: str = "ip_start",
-                 end_col: str = "ip_end", max_range_rows: int = 2_000_000) -> DataFrame:
+                 end_col: str = "ip_end", max_blocks: int = 200_000) -> DataFrame:
     """Left-join every event to the range containing its IP.
 
-    Ranges are exploded over the /16 buckets they cover; events join on
-    their bucket, then the residual ``start <= ip <= end`` picks the range.
-    The range table is broadcast only after its size is checked.
+    Ranges are listed by the /16 blocks they cover, at most one row a block;
+    an event looks its block up and takes the first of the block's ranges that
+    holds its address.  Of overlapping ranges the narrowest wins, then the one
+    that starts first, so an event never comes out twice.  The listing is
+    broadcast only if its size (summed over the ranges' blocks) is bounded.
     """
-    ip = ipv4_to_long(F.col(ip_col))
-    ev = events.withColumn("_ip", ip).withColumn("_b", F.shiftright(F.col("_ip"), BUCKET_BITS))
-    r = ranges.withColumn("_b", F.explode(F.sequence(F.shiftright(F.col(start_col), BUCKET_BITS),
-                                                      F.shiftright(F.col(end_col), BUCKET_BITS))))
-    r = F.broadcast(r) if fits(ranges, max_range_rows) else r
-    cond = (ev["_b"] == r["_b"]) & (ev["_ip"] >= r[start_col]) & (ev["_ip"] <= r[end_col])
-    return ev.join(r, cond, "left").drop(r["_b"]).drop("_b", "_ip")
+    ev = events.withColumn("_ip", ipv4_to_long(F.col(ip_col))).withColumn("_b", F.shiftright(F.col("_ip"), BLOCK_BITS))
+    low, high = F.shiftright(F.col(start_col), BLOCK_BITS), F.shiftright(F.col(end_col), BLOCK_BITS)
+    ordered = F.struct((F.col(end_col) - F.col(start_col)).alias("_w"), F.col(start_col).alias("_s"),
+                       F.struct(*ranges.columns).alias("_range"))
+    blocks = (ranges.select(F.explode(F.sequence(low, high)).alias("_b"), ordered.alias("_o"))
+                    .groupBy("_b").agg(F.sort_array(F.collect_list("_o")).alias("_found")))
+    size = ranges.agg(F.sum(high - low + 1)).first()[0] or 0
+    blocks = F.broadcast(blocks) if size <= max_blocks else blocks
+    holds = F.filter("_found", lambda o: F.col("_ip").between(o["_range"][start_col], o["_range"][end_col]))
+    j = ev.join(blocks, "_b", "left").withColumn("_hit", F.get(holds, 0))
+    return j.select(*events.columns, "_hit._range.*")
 
 
 def enrich(events: DataFrame, ranges: DataFrame, ip_col: str, geo_fields: list[str], time_text_col: str,

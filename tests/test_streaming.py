@@ -13,8 +13,7 @@ from tests.conftest import SF_SMALL
 def _prepare(raw):
     k = F.get_json_object("props", "$.k").cast("bigint")
     return raw.select(F.col("ts").alias("event_time"),
-                      F.concat(F.lit("10.0."), F.expr("user_id div 256").cast("string"), F.lit("."),
-                               (F.col("user_id") % 256).cast("string")).alias("ip"),
+                      roles.address(F.col("user_id")).alias("ip"),
                       F.concat(F.lit("site"), (k % 3).cast("string"), F.lit(".example.com")).alias("host"))
 
 
@@ -68,8 +67,7 @@ def test_stream_enrichment_matches_batch(spark):
     ranges = geo_ranges(spark, SF_SMALL)
 
     def prepare(raw):
-        return raw.select("event_id", F.concat(F.lit("10.0."), F.expr("user_id div 256").cast("string"), F.lit("."),
-                                               (F.col("user_id") % 256).cast("string")).alias("ip"),
+        return raw.select("event_id", roles.address(F.col("user_id")).alias("ip"),
                           F.date_format("ts", EN.ISO_MILLIS).alias("event_time_text"))
 
     stream = prepare(spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(SF_SMALL))
