@@ -42,7 +42,8 @@ def array_metric_step(prev: DataFrame, events: DataFrame, ds, key="user_id", met
     Keys seen today but not before get ``day-1`` padding (0, or NULL with
     ``null_pad``); keys absent today get 0 appended.  An array already
     holding ``ds`` is cut back before appending, so re-running a day is a
-    no-op.
+    no-op.  If ``prev`` has ``first_found_date``, it is carried (``ds`` for
+    new keys), with ``date_partition`` = ``ds``.
     """
     ks = _keys(key)
     d = F.lit(ds).cast("date")
@@ -50,15 +51,17 @@ def array_metric_step(prev: DataFrame, events: DataFrame, ds, key="user_id", met
     day = F.dayofmonth(d)
     today = (daily_counts(events.filter(F.col(date_col) == d), ks, date_col, value)
              .select(*ks, F.col("n").alias("_n")))
+    found = ["first_found_date"] if "first_found_date" in prev.columns else []
     y = (prev.filter((F.col("month_start") == month) & (F.col("metric_name") == metric_name))
-             .select(*ks, F.col("metric_array").alias("_arr")))
+             .select(*ks, F.col("metric_array").alias("_arr"), *found))
     j = y.join(today, ks, "full_outer")
     fill = F.lit(None).cast("bigint") if null_pad else F.lit(0).cast("bigint")
     # NULL stands for days before a key was known; a known key's missed days are 0
     base = (F.when(F.col("_arr").isNull(), _fit(F.array().cast("array<bigint>"), day - 1, fill))
              .otherwise(_fit(F.col("_arr"), day - 1, F.lit(0).cast("bigint"))))
     return j.select(*ks, month.alias("month_start"), F.lit(metric_name).alias("metric_name"),
-                    F.concat(base, F.array(F.coalesce(F.col("_n"), F.lit(0).cast("bigint")))).alias("metric_array"))
+                    F.concat(base, F.array(F.coalesce(F.col("_n"), F.lit(0).cast("bigint")))).alias("metric_array"),
+                    *[c for f in found for c in (F.coalesce(f, d).alias(f), d.alias("date_partition"))])
 
 
 def array_metric_month(events: DataFrame, ds, key="user_id", metric_name: str = "site_hits",

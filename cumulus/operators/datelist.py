@@ -103,6 +103,16 @@ def keyed_date_map(events: DataFrame, entity: str, kind: str, ds, date_col: str
                  .withColumn("date", F.lit(ds).cast("date")))
 
 
+def keyed_date_map_step(prev: DataFrame, events: DataFrame, entity: str, kind: str, ds,
+                        date_col: str = "event_date") -> DataFrame:
+    """Yesterday's ``keyed_date_map`` with ``ds`` appended to the types seen on it."""
+    today = keyed_date_map(events.filter(F.col(date_col) == F.lit(ds).cast("date")), entity, kind, ds, date_col)
+    both = prev.select(entity, F.col("dates_by_type").alias("_old")).join(
+        today.select(entity, F.col("dates_by_type").alias("_new")), entity, "full_outer")
+    return both.select(entity, merge_date_maps(F.col("_old"), F.col("_new")).alias("dates_by_type"),
+                       F.lit(ds).cast("date").alias("date"))
+
+
 def merge_date_maps(prev: Column, today: Column) -> Column:
     """Merge two map(kind -> dates) columns, appending today's dates."""
     empty = F.create_map().cast("map<string,array<date>>")

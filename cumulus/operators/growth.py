@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 from cumulus.functions import constants as K
 from cumulus.functions.columns import distinct_from
 
-GA_COLS = ["user_id", "first_active_date", "last_active_date", "daily_active_state", "weekly_active_state", "date"]
-
 
 def _daily(new: Column, active: Column, prev: Column, d: Column) -> Column:
     return (F.when(new, K.STATE_NEW)
@@ -36,23 +34,28 @@ def _weekly(new: Column, active: Column, prev: Column, d: Column) -> Column:
 
 def growth_accounting_step(prev: DataFrame, events: DataFrame, ds, key: str = "user_id",
                            date_col: str = "event_date") -> DataFrame:
-    """One day's lifecycle states from yesterday's snapshot and today's events."""
+    """One day's lifecycle states from yesterday's snapshot and today's events.
+
+    ``dates_active`` (oldest first) grows by ``ds`` for every key active on it.
+    """
     d = F.lit(ds).cast("date")
     today = (events.filter((F.col(date_col) == d) & F.col(key).isNotNull())
                    .select(key).distinct().withColumn("_t", F.lit(True)))
     y = prev.filter(F.col("date") == F.date_sub(d, 1)).select(
         key, F.col("first_active_date").alias("_first"), F.col("last_active_date").alias("_last"),
-        F.lit(True).alias("_y"))
+        F.col("dates_active").alias("_dates"), F.lit(True).alias("_y"))
     j = y.join(today, key, "full_outer")
     new = F.col("_y").isNull()
     active = F.col("_t").isNotNull()
     prev_last = F.col("_last")
+    none = F.array().cast("array<date>")
     return j.select(
         key,
         F.coalesce(F.col("_first"), d).alias("first_active_date"),
         F.when(active, d).otherwise(prev_last).alias("last_active_date"),
         _daily(new, active, prev_last, d).alias("daily_active_state"),
         _weekly(new, active, prev_last, d).alias("weekly_active_state"),
+        F.concat(F.coalesce("_dates", none), F.when(active, F.array(d)).otherwise(none)).alias("dates_active"),
         d.alias("date"))
 
 
@@ -64,7 +67,9 @@ def growth_accounting_backfill(events: DataFrame, end, key: str = "user_id",
     merges map-side and is bounded by the number of days), sorted, and every
     active day emits itself and the idle days up to the next active day with
     its predecessor read from the array.  Row count = output size, no
-    calendar cross join, no window sort.
+    calendar cross join, no window sort.  ``dates_active`` of a day is a slice
+    of the key's array, cut per emitted row; readers that don't select it
+    don't pay for it.
     """
     e = F.lit(end).cast("date")
     days = (events.filter(F.col(key).isNotNull() & (F.col(date_col) <= e))
@@ -73,9 +78,10 @@ def growth_accounting_backfill(events: DataFrame, end, key: str = "user_id",
                         F.posexplode("_days").alias("_i", "_d"), "_days")
     spans = spans.select(key, "first_active_date", "_d",
                          F.when(F.col("_i") > 0, F.get(F.col("_days"), F.col("_i") - 1)).alias("_prev"),
-                         F.get(F.col("_days"), F.col("_i") + 1).alias("_next"))
+                         F.get(F.col("_days"), F.col("_i") + 1).alias("_next"),
+                         F.slice("_days", F.lit(1), F.col("_i") + 1).alias("dates_active"))
     upto = F.coalesce(F.date_sub(F.col("_next"), 1), e)
-    rows = spans.select(key, "first_active_date", "_d", "_prev",
+    rows = spans.select(key, "first_active_date", "_d", "_prev", "dates_active",
                         F.explode(F.sequence(F.col("_d"), upto)).alias("date"))
     active = F.col("date") == F.col("_d")
     prev = F.when(active, F.col("_prev")).otherwise(F.col("_d"))
@@ -85,7 +91,7 @@ def growth_accounting_backfill(events: DataFrame, end, key: str = "user_id",
                        F.when(active, d).otherwise(F.col("_d")).alias("last_active_date"),
                        _daily(new, active, prev, d).alias("daily_active_state"),
                        _weekly(new, active, prev, d).alias("weekly_active_state"),
-                       "date")
+                       "dates_active", "date")
 
 
 def state_counts(ga: DataFrame, state_col: str = "daily_active_state") -> DataFrame:

@@ -54,6 +54,21 @@ def q_device_datelist(spark, d):
     return _flat_dates(lists, ["user_id", "browser_type"])
 
 
+def q_device_datelist_step(spark, d):
+    ev = _device_events(spark, d)
+    prev = D.active_dates_backfill(ev, PREV_DS, ["user_id", "browser_type"])
+    return _flat_dates(D.active_dates_step(prev, ev, DS, ["user_id", "browser_type"]), ["user_id", "browser_type"])
+
+
+def q_device_date_map(spark, d):
+    ev = _device_events(spark, d)
+    prev = D.keyed_date_map(ev, "user_id", "browser_type", PREV_DS)
+    maps = D.keyed_date_map_step(prev, ev, "user_id", "browser_type", DS)
+    told = F.transform(F.array_sort(F.map_entries("dates_by_type")),
+                       lambda e: F.concat(e["key"], F.lit("="), dates_text(e["value"])))
+    return maps.select("user_id", F.array_join(told, ";").alias("dates_by_type"), "date")
+
+
 def q_device_datelist_int(spark, d):
     lists = D.active_dates_backfill(_device_events(spark, d), DS, ["user_id", "browser_type"])
     return D.activity_flags(D.datelist_int(lists, DS, ["user_id", "browser_type"])).select(
@@ -88,6 +103,14 @@ def q_monthly_hits(spark, d):
                     "first_found_date", "date_partition")
 
 
+def q_monthly_hits_step(spark, d):
+    ev = roles.web_events(spark, d)
+    prev = A.array_metric_month(ev, PREV_DS, null_pad=True)
+    m = A.array_metric_step(prev, ev, DS, null_pad=True)
+    return m.select("user_id", "month_start", ints_text(F.col("metric_array")).alias("hit_array"),
+                    "first_found_date", "date_partition")
+
+
 def q_array_first_days(spark, d):
     m = A.array_metric_month(roles.web_events(spark, d), DS)
     return A.array_first_days(m, 3)
@@ -121,11 +144,14 @@ QUERIES = {
     "datelist_int": q_datelist_int,
     "activity_flags": q_activity_flags,
     "device_datelist": q_device_datelist,
+    "device_datelist_step": q_device_datelist_step,
+    "device_date_map": q_device_date_map,
     "device_datelist_int": q_device_datelist_int,
     "host_datelist": q_host_datelist,
     "array_metric_month": q_array_metric_month,
     "array_metric_step": q_array_metric_step,
     "monthly_hits": q_monthly_hits,
+    "monthly_hits_step": q_monthly_hits_step,
     "array_first_days": q_array_first_days,
     "array_daily": q_array_daily,
     "array_length_hist": q_array_length_hist,
@@ -180,6 +206,17 @@ SELECT h.host, DATE '2024-01-01' AS month,
 FROM hosts h CROSS JOIN cal c LEFT JOIN cnt n ON n.host = h.host AND n.day = c.day
 GROUP BY h.host"""
 
+_DEVICE_LISTS = _DEVICE_DAYS + """
+SELECT user_id, browser_type, COUNT(*) AS n_dates, MIN(d) AS first_active, MAX(d) AS last_active,
+       string_agg(CAST(d AS VARCHAR), ',' ORDER BY d) AS dates, DATE '2024-01-30' AS date
+FROM days GROUP BY user_id, browser_type"""
+
+_HIT_ARRAYS = _MONTH_CTE + """
+SELECT user_id, DATE '2024-01-01' AS month_start,
+       string_agg(CASE WHEN day < first_found_date THEN 'null' ELSE CAST(n AS VARCHAR) END, ',' ORDER BY day) AS hit_array,
+       MIN(first_found_date) AS first_found_date, DATE '2024-01-30' AS date_partition
+FROM grid GROUP BY user_id"""
+
 ORACLE = {
     "active_dates_backfill": _DATES_SQL,
     "active_dates_step": _DATES_SQL,
@@ -194,10 +231,14 @@ SELECT user_id, datelist_int, DATE '2024-01-30' AS date,
        bit_count(datelist_int & 33292288) > 0 AS weekly_active_previous_week,
        (datelist_int & 2147483648) <> 0 AS daily_active
 FROM bits""",
-    "device_datelist": _DEVICE_DAYS + """
-SELECT user_id, browser_type, COUNT(*) AS n_dates, MIN(d) AS first_active, MAX(d) AS last_active,
-       string_agg(CAST(d AS VARCHAR), ',' ORDER BY d) AS dates, DATE '2024-01-30' AS date
-FROM days GROUP BY user_id, browser_type""",
+    "device_datelist": _DEVICE_LISTS,
+    "device_datelist_step": _DEVICE_LISTS,
+    "device_date_map": _DEVICE_DAYS + """,
+lists AS (SELECT user_id, browser_type, string_agg(CAST(d AS VARCHAR), ',' ORDER BY d) AS dates
+          FROM days GROUP BY user_id, browser_type)
+SELECT user_id, string_agg(browser_type || '=' || dates, ';' ORDER BY browser_type) AS dates_by_type,
+       DATE '2024-01-30' AS date
+FROM lists GROUP BY user_id""",
     "device_datelist_int": _DEVICE_DAYS + """,
 bits AS (SELECT user_id, browser_type,
                 CAST(COALESCE(SUM(CASE WHEN date_diff('day', d, DATE '2024-01-30') BETWEEN 0 AND 31
@@ -214,11 +255,8 @@ SELECT host, COUNT(*) AS n_dates, MIN(d) AS first_active, MAX(d) AS last_active,
 FROM days GROUP BY host""",
     "array_metric_month": _MONTH_SQL,
     "array_metric_step": _MONTH_SQL,
-    "monthly_hits": _MONTH_CTE + """
-SELECT user_id, DATE '2024-01-01' AS month_start,
-       string_agg(CASE WHEN day < first_found_date THEN 'null' ELSE CAST(n AS VARCHAR) END, ',' ORDER BY day) AS hit_array,
-       MIN(first_found_date) AS first_found_date, DATE '2024-01-30' AS date_partition
-FROM grid GROUP BY user_id""",
+    "monthly_hits": _HIT_ARRAYS,
+    "monthly_hits_step": _HIT_ARRAYS,
     "array_first_days": _MONTH_CTE + """
 SELECT DATE '2024-01-01' AS month_start,
        CAST(SUM(CASE WHEN day = DATE '2024-01-01' THEN n ELSE 0 END) AS BIGINT) AS num_hits_day_1,

@@ -3,6 +3,7 @@ window analytics."""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cumulus.operators import cubes as CB
@@ -10,7 +11,7 @@ from cumulus.operators import dedupe as DD
 from cumulus.operators import funnel as FN
 from cumulus.operators import growth as GR
 from cumulus.operators import windows as W
-from cumulus.plans.common import DS, PREV_DS
+from cumulus.plans.common import DS, PREV_DS, dates_text
 from cumulus.plans.role_sql import with_roles
 from cumulus.sources import roles
 
@@ -23,12 +24,13 @@ def _ga(spark, d, end=DS):
 
 
 def q_growth_backfill(spark, d):
-    return _ga(spark, d)
+    return _ga(spark, d).withColumn("dates_active", dates_text(F.col("dates_active")))
 
 
 def q_growth_step(spark, d):
     prev = _ga(spark, d, PREV_DS)
-    return GR.growth_accounting_step(prev, roles.web_events(spark, d), DS)
+    return GR.growth_accounting_step(prev, roles.web_events(spark, d), DS).withColumn(
+        "dates_active", dates_text(F.col("dates_active")))
 
 
 def q_growth_state_counts(spark, d):
@@ -58,10 +60,11 @@ HIT_LABELS = {("os_type", "device_type", "browser_type"): "os_type__device_type_
 
 
 def _hits(spark, d):
-    ev = roles.web_events(spark, d).join(roles.devices(spark, d), "device_id")
-    ev = CB.fill_unknown(ev.select("os_type", "device_type", "browser_type", "url", "user_id"),
-                         ["os_type", "device_type", "browser_type"])
-    return CB.grouping_sets(ev, HIT_SETS, [F.count(F.lit(1)).alias("number_of_hits")], HIT_LABELS)
+    # counted per device first, so that only one row a device is joined and expanded
+    dims = ["os_type", "device_type", "browser_type"]
+    per_device = roles.web_events(spark, d).groupBy("device_id").agg(F.count(F.lit(1)).alias("n"))
+    hits = CB.fill_unknown(per_device.join(roles.devices(spark, d), "device_id").select(*dims, "n"), dims)
+    return CB.grouping_sets(hits, HIT_SETS, [F.sum("n").alias("number_of_hits")], HIT_LABELS)
 
 
 def q_hits_grouping_sets(spark, d):
@@ -99,10 +102,14 @@ def _gd(spark, d):
 
 def q_gs_entity_group_period(spark, d):
     x = _gd(spark, d).join(roles.games(spark, d).select("game_id", "season"), "game_id")
+    # a team wins a game that its players leave with a positive total; groups hold one team's rows of one game
+    total = F.sum("plus_minus").over(Window.partitionBy("game_id", "team_abbreviation"))
+    x = x.withColumn("game_won", F.when(F.col("team_abbreviation").isNotNull() & (total > 0), F.col("game_id")))
     sets = [("player_name", "team_abbreviation"), ("player_name", "season"), ("team_abbreviation",)]
     labels = {sets[0]: "player_team", sets[1]: "player_season", sets[2]: "team"}
     return CB.grouping_sets(x, sets, [F.sum("pts").alias("total_points"),
-                                      F.count_distinct("game_id").alias("games")], labels, fill=None)
+                                      F.count_distinct("game_id").alias("games"),
+                                      F.count_distinct("game_won").alias("wins")], labels, fill=None)
 
 
 def q_argmax_group(spark, d):
@@ -175,6 +182,8 @@ ga AS (SELECT user_id, first_active_date, CASE WHEN active THEN date ELSE prev E
               CASE WHEN date = first_active_date THEN 'New' WHEN active AND prev < date - 7 THEN 'Resurrected'
                    WHEN NOT active AND prev = date - 8 THEN 'Churned' WHEN active OR prev >= date - 8 THEN 'Retained'
                    ELSE 'Stale' END AS weekly_active_state,
+              string_agg(CASE WHEN active THEN CAST(date AS VARCHAR) END, ',')
+                OVER (PARTITION BY user_id ORDER BY date) AS dates_active,
               date FROM p)"""
 
 _RET = """ COUNT(*) AS n_users,
@@ -183,15 +192,17 @@ _RET = """ COUNT(*) AS n_users,
 FROM ga"""
 
 _HITS = with_roles("web_events", "devices") + """,
-ea AS (SELECT COALESCE(d.os_type, 'unknown') AS os_type, COALESCE(d.device_type, 'unknown') AS device_type,
-              COALESCE(d.browser_type, 'unknown') AS browser_type, e.url, e.user_id
-       FROM web_events e JOIN devices d ON e.device_id = d.device_id),
+known AS (SELECT device_id, ifnull(os_type, 'unknown') AS os, ifnull(device_type, 'unknown') AS device,
+                 ifnull(browser_type, 'unknown') AS browser FROM devices),
 hits AS (
-SELECT 'os_type__device_type__browser' AS aggregation_level, os_type, device_type, browser_type, COUNT(*) AS number_of_hits
-FROM ea GROUP BY os_type, device_type, browser_type
-UNION ALL SELECT 'browser_type', '(overall)', '(overall)', browser_type, COUNT(*) FROM ea GROUP BY browser_type
-UNION ALL SELECT 'os_type', os_type, '(overall)', '(overall)', COUNT(*) FROM ea GROUP BY os_type
-UNION ALL SELECT 'device_type', '(overall)', device_type, '(overall)', COUNT(*) FROM ea GROUP BY device_type)"""
+SELECT level AS aggregation_level,
+       CASE WHEN level LIKE 'os_type%' THEN os ELSE '(overall)' END AS os_type,
+       CASE WHEN level LIKE '%device_type%' THEN device ELSE '(overall)' END AS device_type,
+       CASE WHEN level LIKE '%browser%' THEN browser ELSE '(overall)' END AS browser_type,
+       COUNT(*) AS number_of_hits
+FROM web_events JOIN known USING (device_id),
+     (VALUES ('os_type__device_type__browser'), ('browser_type'), ('os_type'), ('device_type')) AS levels(level)
+GROUP BY ALL)"""
 
 _CHANNEL = """CASE WHEN referrer LIKE '%linkedin%' THEN 'Linkedin' WHEN referrer LIKE '%t.co%' THEN 'Twitter'
             WHEN referrer LIKE '%google%' THEN 'Google' WHEN referrer LIKE '%lnkd%' THEN 'Linkedin'
@@ -268,14 +279,18 @@ JOIN mon m ON m.referrer = d.referrer AND m.url = d.url AND m.m = date_trunc('mo
 JOIN wk w ON w.referrer = d.referrer AND w.url = d.url AND w.k = d.k
 WHERE t.total > 100 AND d.referrer IS NOT NULL""",
     "gs_entity_group_period": _GD + """,
-x AS (SELECT gd.player_name, gd.team_abbreviation, g.season, gd.pts, gd.game_id FROM gd JOIN games g ON gd.game_id = g.game_id)
+x AS (SELECT gd.player_name, gd.team_abbreviation, g.season, gd.pts, gd.game_id,
+             CASE WHEN tg.won = 1 THEN gd.game_id END AS game_won
+      FROM gd JOIN games g ON gd.game_id = g.game_id
+      LEFT JOIN tg ON tg.game_id = gd.game_id AND tg.team_abbreviation = gd.team_abbreviation)
 SELECT 'player_team' AS aggregation_level, player_name, team_abbreviation, CAST(NULL AS INTEGER) AS season,
-       CAST(SUM(pts) AS BIGINT) AS total_points, COUNT(DISTINCT game_id) AS games FROM x GROUP BY player_name, team_abbreviation
+       CAST(SUM(pts) AS BIGINT) AS total_points, COUNT(DISTINCT game_id) AS games, COUNT(DISTINCT game_won) AS wins
+FROM x GROUP BY player_name, team_abbreviation
 UNION ALL
-SELECT 'player_season', player_name, NULL, season, CAST(SUM(pts) AS BIGINT), COUNT(DISTINCT game_id)
+SELECT 'player_season', player_name, NULL, season, CAST(SUM(pts) AS BIGINT), COUNT(DISTINCT game_id), COUNT(DISTINCT game_won)
 FROM x GROUP BY player_name, season
 UNION ALL
-SELECT 'team', NULL, team_abbreviation, NULL, CAST(SUM(pts) AS BIGINT), COUNT(DISTINCT game_id)
+SELECT 'team', NULL, team_abbreviation, NULL, CAST(SUM(pts) AS BIGINT), COUNT(DISTINCT game_id), COUNT(DISTINCT game_won)
 FROM x GROUP BY team_abbreviation""",
     "argmax_group": _GD + """,
 ptp AS (SELECT player_name, team_abbreviation, CAST(SUM(pts) AS BIGINT) AS total_points FROM gd GROUP BY 1, 2)

@@ -36,6 +36,16 @@ def create_table_as(df: DataFrame, table: str, path: str | None = None,
     w.saveAsTable(table)
 
 
+def insert_overwrite(df: DataFrame, table: str) -> None:
+    """INSERT OVERWRITE into an existing catalogue table, columns matched by name.
+
+    A partitioned table loses only the partitions present in ``df`` if the
+    session's ``spark.sql.sources.partitionOverwriteMode`` is dynamic.
+    """
+    columns = df.sparkSession.table(table).columns
+    df.select(*columns).write.insertInto(table, overwrite=True)
+
+
 def upsert_to(target: DataFrame, updates: DataFrame, keys: Sequence[str], out_path: str) -> None:
     """Upsert written to a new location (never the path being read)."""
     upsert(target, updates, keys).write.mode("overwrite").parquet(out_path)

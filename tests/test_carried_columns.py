@@ -1,0 +1,95 @@
+"""Columns and forms that the day-by-day operators carry, team wins, table overwrite, partition pruning."""
+
+import datetime as dt
+import uuid
+
+from pyspark.sql import functions as F
+
+from cumulus.operators import arrays as A
+from cumulus.operators import datelist as D
+from cumulus.operators import growth as GR
+from cumulus.operators import warehouse as WH
+from cumulus.plans import analytics
+from cumulus.sources import sinks
+
+
+def day(n):
+    return dt.date(2024, 1, n)
+
+
+def _events(spark, *rows):
+    return spark.createDataFrame([(u, day(n)) for u, n in rows], "user_id long, event_date date")
+
+
+def test_growth_step_extends_the_date_list(spark):
+    prev = spark.createDataFrame(
+        [(1, day(1), day(3), "Retained", "Retained", [day(1), day(3)], day(3)),
+         (2, day(2), day(2), "Churned", "Retained", [day(2)], day(3))],
+        "user_id long, first_active_date date, last_active_date date, daily_active_state string, "
+        "weekly_active_state string, dates_active array<date>, date date")
+    got = GR.growth_accounting_step(prev, _events(spark, (1, 4), (1, 4), (9, 4)), "2024-01-04").collect()
+    assert {r.user_id: (r.dates_active, r.daily_active_state) for r in got} == {
+        1: ([day(1), day(3), day(4)], "Retained"), 2: ([day(2)], "Stale"), 9: ([day(4)], "New")}
+
+
+def test_growth_backfill_cuts_the_date_list_at_each_day(spark):
+    got = GR.growth_accounting_backfill(_events(spark, (1, 1), (1, 3)), "2024-01-04").collect()
+    assert {r.date.day: [d.day for d in r.dates_active] for r in got} == {1: [1], 2: [1], 3: [1, 3], 4: [1, 3]}
+
+
+def test_monthly_hits_step_carries_first_found_date(spark):
+    prev = spark.createDataFrame(
+        [(1, day(1), "site_hits", [None, 4], day(2), day(2)), (2, day(1), "site_hits", [1, 0], day(1), day(2))],
+        "user_id long, month_start date, metric_name string, metric_array array<bigint>, "
+        "first_found_date date, date_partition date")
+    got = A.array_metric_step(prev, _events(spark, (1, 3), (5, 3), (5, 3)), "2024-01-03", null_pad=True).collect()
+    assert {r.user_id: (r.metric_array, r.first_found_date, r.date_partition) for r in got} == {
+        1: ([None, 4, 1], day(2), day(3)), 2: ([1, 0, 0], day(1), day(3)), 5: ([None, None, 2], day(3), day(3))}
+
+
+def test_keyed_date_map_fold_equals_backfill(spark):
+    ev = spark.createDataFrame([(1, "a", day(1)), (1, "b", day(2)), (1, "a", day(3)), (2, "b", day(2)), (3, "a", day(3)),
+                                (None, "a", day(2)), (2, None, day(3))], "user_id long, kind string, event_date date")
+    maps = D.keyed_date_map(ev, "user_id", "kind", "2024-01-01")
+    for n in (2, 3, 3):  # a day run twice changes nothing
+        maps = D.keyed_date_map_step(maps, ev, "user_id", "kind", f"2024-01-0{n}")
+    got = {r.user_id: r.dates_by_type for r in maps.collect()}
+    assert got == {1: {"a": [day(1), day(3)], "b": [day(2)]}, 2: {"b": [day(2)]}, 3: {"a": [day(3)]}}
+    assert got == {r.user_id: r.dates_by_type for r in D.keyed_date_map(ev, "user_id", "kind", "2024-01-03").collect()}
+
+
+def test_team_wins_count_games_not_rows(spark, monkeypatch):
+    rows = [(1, 10, "X", 1, "p", 5, 9), (1, 10, "X", 2, "q", 5, -2), (1, 20, "Y", 3, "r", 5, -7),
+            (2, 10, "X", 1, "p", 5, -1), (2, 10, "X", 2, "q", 5, 1), (3, 20, "Y", 3, "r", 5, 3), (3, 0, None, 4, "s", 5, 8)]
+    gd = spark.createDataFrame(rows, "game_id long, team_id long, team_abbreviation string, player_id long, "
+                                     "player_name string, pts long, plus_minus long")
+    games = spark.createDataFrame([(1, 2020), (2, 2020), (3, 2021)], "game_id long, season int")
+    monkeypatch.setattr(analytics.roles, "game_details", lambda *_: gd)
+    monkeypatch.setattr(analytics.roles, "games", lambda *_: games)
+    got = analytics.q_gs_entity_group_period(spark, "").collect()
+    teams = {r.team_abbreviation: (r.games, r.wins) for r in got if r.aggregation_level == "team"}
+    assert teams == {"X": (2, 1), "Y": (2, 1), None: (1, 0)}
+    assert {r.season: r.wins for r in got if r.aggregation_level == "player_season" and r.player_name == "r"} == {
+        2020: 0, 2021: 1}
+
+
+def test_insert_overwrite_replaces_rows_and_matches_columns_by_name(spark):
+    name = f"t_{uuid.uuid4().hex}"
+    spark.createDataFrame([(1, "a"), (2, "b")], "id long, v string").write.format("parquet").saveAsTable(name)
+    try:
+        sinks.insert_overwrite(spark.createDataFrame([("c", 3)], "v string, id long"), name)
+        assert [tuple(r) for r in spark.table(name).collect()] == [(3, "c")]
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_pruned_join_reads_only_the_partitions_in_range(spark, tmp_path):
+    header = spark.range(90).select(F.col("id").alias("k"), F.date_add(F.lit("2024-01-01"), (F.col("id") % 30).cast("int")).alias("d"))
+    header.write.partitionBy("d").parquet(str(tmp_path / "h"))
+    joined = WH.pruned_join(spark.range(90).withColumnRenamed("id", "k"), spark.read.parquet(str(tmp_path / "h")),
+                            "k", "d", "2024-01-03", "2024-01-04")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(d" in plan and "2024-01-03" in plan
+    read = {f.split("d=")[1][:10] for f in joined.select("k", "d", F.input_file_name().alias("f")).select("f").distinct()
+            .toPandas()["f"] if "d=" in f}
+    assert sorted(r.k for r in joined.collect()) == [2, 3, 32, 33, 62, 63] and read <= {"2024-01-03", "2024-01-04"}

@@ -73,7 +73,8 @@ def test_property_growth_and_arrays_fold_equals_backfill(spark, acts):
     ev = spark.createDataFrame([(u, start + dt.timedelta(days=k)) for u, k in acts], "user_id long, event_date date")
     days = [(start + dt.timedelta(days=k)).isoformat() for k in range(10)]
     ga = spark.createDataFrame([], "user_id long, first_active_date date, last_active_date date, "
-                                   "daily_active_state string, weekly_active_state string, date date")
+                                   "daily_active_state string, weekly_active_state string, "
+                                     "dates_active array<date>, date date")
     am = spark.createDataFrame([], "user_id long, month_start date, metric_name string, metric_array array<bigint>")
     ad = spark.createDataFrame([], "user_id long, dates_active array<date>, date date")
     folded = []

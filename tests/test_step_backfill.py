@@ -24,7 +24,8 @@ def _random_activity(spark, users=12, days=14, seed=7):
 def test_growth_step_fold_equals_backfill(spark):
     ev, start, days = _random_activity(spark)
     snap = spark.createDataFrame([], "user_id long, first_active_date date, last_active_date date, "
-                                     "daily_active_state string, weekly_active_state string, date date")
+                                     "daily_active_state string, weekly_active_state string, "
+                                     "dates_active array<date>, date date")
     folded = []
     for k in range(days):
         ds = (start + dt.timedelta(days=k)).isoformat()
@@ -77,7 +78,8 @@ def test_fold_days_writes_and_matches_backfill(spark):
     ev = roles.web_events(spark, SF_SMALL)
     days = [(dt.date(2024, 1, 1) + dt.timedelta(days=k)).isoformat() for k in range(10)]
     empty = spark.createDataFrame([], "user_id long, first_active_date date, last_active_date date, "
-                                      "daily_active_state string, weekly_active_state string, date date")
+                                      "daily_active_state string, weekly_active_state string, "
+                                     "dates_active array<date>, date date")
     name = f"test_growth_{random.randrange(10**9)}"
     last = fold_days(spark, lambda s, ds: GR.growth_accounting_step(s, ev, ds), empty, days, name)
     back = GR.growth_accounting_backfill(ev, days[-1]).filter(F.col("date") == days[-1])
