@@ -17,16 +17,11 @@ def d(s):
 
 
 def test_scd2_backfill_single_attr(spark):
-    df = spark.createDataFrame(
-        [("Michael Jordan", 2001, "Good"), ("Michael Jordan", 2002, "Good"),
-         ("Michael Jordan", 2003, "Bad"), ("Someone Else", 2003, "Bad")],
-        "player_name string, current_season long, scoring_class string")
-    out = S.scd2_backfill(df, "player_name", ["scoring_class"], "current_season")
-    exp = spark.createDataFrame(
-        [("Michael Jordan", "Good", 2001, 2002), ("Michael Jordan", "Bad", 2003, 2003),
-         ("Someone Else", "Bad", 2003, 2003)],
-        "player_name string, scoring_class string, start_date long, end_date long")
-    assertDataFrameEqual(out, exp)
+    rated = [("amber", p, "high" if p in (10, 11, 14) else "low") for p in range(10, 15)] + [("birch", 12, "low")]
+    df = spark.createDataFrame(rated, "tree string, visit int, grade string")
+    spans = S.scd2_backfill(df, "tree", ["grade"], "visit").select("tree", "grade", "start_date", "end_date")
+    assert sorted(map(tuple, spans.collect())) == [
+        ("amber", "high", 10, 11), ("amber", "high", 14, 14), ("amber", "low", 12, 13), ("birch", "low", 12, 12)]
 
 
 def test_scd2_null_attribute_is_a_value(spark):
@@ -36,19 +31,13 @@ def test_scd2_null_attribute_is_a_value(spark):
     assert [(r.c, r.start_date, r.end_date) for r in out] == [(None, 1, 2), ("x", 3, 3)]
 
 
-def test_team_vertex_dedupe(spark):
-    rows = [(1, "GSW", "Warriors", "San Francisco", "Chase Center", 1900),
-            (1, "GSW", "Bad Warriors", "San Francisco", "Chase Center", 1900)]
-    df = spark.createDataFrame(rows, "team_id long, abbreviation string, nickname string, city string, "
-                                     "arena string, yearfounded long")
-    v = G.vertices_deduped(df, "team_id", "team",
-                           [("abbreviation", "abbreviation"), ("nickname", "nickname"), ("city", "city"),
-                            ("arena", "arena"), ("year_founded", "yearfounded")],
-                           order=["nickname"], descending=True).collect()
-    assert len(v) == 1
-    assert v[0].identifier == "1" and v[0].type == "team"
-    assert v[0].properties == {"abbreviation": "GSW", "nickname": "Warriors", "city": "San Francisco",
-                               "arena": "Chase Center", "year_founded": "1900"}
+def test_vertices_keep_the_last_of_repeated_rows(spark):
+    shops = [(40, "alder lane", 3), (41, "quay", None), (40, "zinc yard", 8), (40, "mill", 5)]
+    df = spark.createDataFrame(shops, "shop_id long, street string, floors long")
+    v = G.vertices_deduped(df, "shop_id", "shop", [("street", "street"), ("n_floors", "floors")],
+                           order=["street"], descending=True)
+    assert {r.identifier: (r.type, r.properties) for r in v.collect()} == {
+        "40": ("shop", {"street": "zinc yard", "n_floors": "8"}), "41": ("shop", {"street": "quay", "n_floors": None})}
 
 
 def test_dedupe_keeps_first_by_order(spark):
@@ -58,16 +47,11 @@ def test_dedupe_keeps_first_by_order(spark):
 
 
 def test_first_days_sums(spark):
-    df = spark.createDataFrame(
-        [("2023-03-01", [0, 1, 3], "2023-03-01"), ("2023-03-01", [1, 2, 3], "2023-03-01"),
-         ("2023-04-01", [], "2023-03-01"), ("2023-04-01", [], "")],
-        "month_start string, metric_array array<long>, date_partition string")
-    out = A.array_first_days(df.filter(F.col("date_partition") == "2023-03-01"), 3,
-                             names=["num_hits_first_day", "num_hits_second_day", "num_hits_third_day"])
-    exp = spark.createDataFrame([("2023-03-01", 1, 3, 6), ("2023-04-01", 0, 0, 0)],
-                                "month_start string, num_hits_first_day long, num_hits_second_day long, "
-                                "num_hits_third_day long")
-    assertDataFrameEqual(out, exp)
+    may, june = d("2022-05-01"), d("2022-06-01")
+    df = spark.createDataFrame([(may, [7]), (may, [2, None, 9]), (may, [0, 5, 1, 90]), (june, []), (june, [4, 4])],
+                               "month_start date, metric_array array<long>")
+    sums = A.array_first_days(df, 2, names=["day_1", "day_2"])
+    assert {r.month_start: (r.day_1, r.day_2) for r in sums.collect()} == {may: (9, 5), june: (4, 4)}
 
 
 STATE = "user_id long, month_start date, metric_name string, metric_array array<long>"
@@ -81,18 +65,39 @@ def _step(spark, state_rows, event_rows, ds):
 
 
 def test_array_metric_step_cases(spark):
-    jan = d("2023-01-01")
-    assert _step(spark, [(1, jan, "site_hits", [0, 0])], [(1, d("2023-01-03"))], "2023-01-03") == {1: [0, 0, 1]}
-    assert _step(spark, [], [(2, d("2023-01-03"))], "2023-01-03") == {2: [0, 0, 1]}
-    assert _step(spark, [], [(1, d("2023-01-01"))], "2023-01-01") == {1: [1]}
-    assert _step(spark, [(1, jan, "site_hits", [4, 2])], [(9, d("2023-01-02"))], "2023-01-03") == {1: [4, 2, 0]}
+    may, before = d("2022-05-01"), [(5, d("2022-05-01"), "site_hits", [6, 0, 1])]
+    fourth = d("2022-05-04")
+    # known and active twice; known and absent; new in mid-month; first day of a month
+    assert _step(spark, before, [(5, fourth), (5, fourth)], "2022-05-04") == {5: [6, 0, 1, 2]}
+    assert _step(spark, before, [(8, d("2022-05-03"))], "2022-05-04") == {5: [6, 0, 1, 0]}
+    assert _step(spark, before, [(8, fourth)], "2022-05-04") == {5: [6, 0, 1, 0], 8: [0, 0, 0, 1]}
+    assert _step(spark, [], [(8, may), (8, may), (9, may)], "2022-05-01") == {8: [2], 9: [1]}
 
 
 def test_array_metric_step_is_idempotent(spark):
-    jan = d("2023-01-01")
-    first = _step(spark, [(1, jan, "site_hits", [0, 0])], [(1, d("2023-01-03"))], "2023-01-03")
-    again = _step(spark, [(1, jan, "site_hits", first[1])], [(1, d("2023-01-03"))], "2023-01-03")
-    assert again == first
+    before, today = [(5, d("2022-05-01"), "site_hits", [6])], [(5, d("2022-05-02"))]
+    first = _step(spark, before, today, "2022-05-02")
+    again = _step(spark, [(5, d("2022-05-01"), "site_hits", first[5])], today, "2022-05-02")
+    assert again == first == {5: [6, 1]}
+
+
+def _bit(days_ago: int) -> int:
+    return 1 << (31 - days_ago)
+
+
+def test_datelist_bits_and_flags(spark):
+    today = d("2022-08-20")
+    ago = {11: [0, 6], 12: [7, 13, 31], 13: [14], 14: [32]}
+    df = spark.createDataFrame([(u, sorted(today - dt.timedelta(days=n) for n in days)) for u, days in ago.items()],
+                               "user_id long, dates_active array<date>")
+    out = {r.user_id: r for r in D.activity_flags(D.datelist_int(df, "2022-08-20")).collect()}
+    seen = {u: [n for n in days if n < 32] for u, days in ago.items()}
+    assert {u: r.datelist_int for u, r in out.items()} == {u: sum(map(_bit, days)) for u, days in seen.items()}
+    assert {u: r.l32 for u, r in out.items()} == {11: 2, 12: 3, 13: 1, 14: 0}
+    assert {u: r.l7 for u, r in out.items()} == {11: 2, 12: 0, 13: 0, 14: 0}
+    assert [u for u in ago if out[u].weekly_active] == [11]
+    assert [u for u in ago if out[u].weekly_active_previous_week] == [12]
+    assert [u for u in ago if out[u].monthly_active] == [11, 12, 13]
 
 
 def test_datelist_bits_and_flags(spark):
@@ -109,9 +114,9 @@ def test_datelist_bits_and_flags(spark):
 
 
 def test_datelist_today_is_msb(spark):
-    df = spark.createDataFrame([(1, [d("2023-03-31")]), (2, [])], "user_id long, dates_active array<date>")
-    out = {r.user_id: r for r in D.activity_flags(D.datelist_int(df, "2023-03-31")).collect()}
-    assert out[1].datelist_int == 2147483648 and out[1].daily_active
+    df = spark.createDataFrame([(1, [d("2022-08-20")]), (2, [])], "user_id long, dates_active array<date>")
+    out = {r.user_id: r for r in D.activity_flags(D.datelist_int(df, "2022-08-20")).collect()}
+    assert out[1].datelist_int == _bit(0) and out[1].daily_active
     assert out[2].datelist_int == 0 and not out[2].monthly_active
 
 
