@@ -57,8 +57,9 @@ def cumulate_backfill(facts: DataFrame, key: str, statics: Sequence[str], struct
                       period_col: str, start: int, end: int, metric: str,
                       history_col: str = "seasons", class_col: str = "scoring_class",
                       current_col: str = "current_season", thresholds=K.SCORING_THRESHOLDS,
-                      default_class: str = K.SCORING_DEFAULT) -> DataFrame:
-    """All snapshots from each entity's first period through ``end`` in one pass.
+                      default_class: str = K.SCORING_DEFAULT, since: int | None = None) -> DataFrame:
+    """All snapshots from each entity's first period (or ``since``, if that is
+    later) through ``end`` in one pass; ``since = end`` gives one row an entity.
 
     One shuffle: facts grouped by entity (history sorted by period), then
     each entity's periods are generated with ``sequence`` and every snapshot
@@ -70,8 +71,8 @@ def cumulate_backfill(facts: DataFrame, key: str, statics: Sequence[str], struct
         *[F.max(s).alias(s) for s in statics],
         F.sort_array(F.collect_list(F.struct(period_col, *struct_cols))).alias("_all"),
         F.min(period_col).alias("_first"))
-    snap = g.select(key, *statics, "_all",
-                    F.explode(F.sequence(F.col("_first"), F.lit(end))).alias(current_col))
+    opening = F.col("_first") if since is None else F.greatest("_first", F.lit(since))
+    snap = g.select(key, *statics, "_all", F.explode(F.sequence(opening, F.lit(end))).alias(current_col))
     hist = F.filter(F.col("_all"), lambda x: x[period_col] <= F.col(current_col))
     last = F.try_element_at(F.col(history_col), F.lit(-1))
     return (snap.select(key, *statics, hist.alias(history_col), current_col)
@@ -130,11 +131,11 @@ def entity_history(rows: DataFrame, key: str, name_col: str, period_col: str, ra
 def entity_history_backfill(rows: DataFrame, key: str, period_col: str, rating_col: str,
                             start: int, end: int, thresholds=K.RATING_THRESHOLDS,
                             default_class: str = K.RATING_DEFAULT, class_col: str = "quality_class",
-                            units_per_point: float | None = None) -> DataFrame:
+                            units_per_point: float | None = None, since: int | None = None) -> DataFrame:
     """Snapshots of ``entity_history``'s class and activity for every period
-    (one row per entity and period from its first period)."""
+    (one row per entity and period from its first period, or ``since`` if later)."""
     per = (rows.groupBy(key, period_col)
                .agg(_mean(rating_col, units_per_point).alias("avg_rating"), F.count(F.lit(1)).alias("n_items")))
     return cumulate_backfill(per, key, [], ["avg_rating", "n_items"], period_col, start, end, "avg_rating",
                              history_col="history", class_col=class_col, current_col="current_period",
-                             thresholds=thresholds, default_class=default_class)
+                             thresholds=thresholds, default_class=default_class, since=since)

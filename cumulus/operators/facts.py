@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from cumulus.functions import constants as K
 from cumulus.operators.dedupe import deduplicate
-from cumulus.operators.joins import join_small
 
 
 def contains_text(c, needle: str):
@@ -57,11 +56,12 @@ def flag_rate(df: DataFrame, key: str, flag: str, name: str = "flagged") -> Data
 
 
 def lookup_dimension(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-                     cols: Sequence[str], max_dim_rows: int = 1_000_000) -> DataFrame:
+                     cols: Sequence[str]) -> DataFrame:
     """Fetch dimension columns for each fact row (left join).
 
-    The dimension is broadcast only after its row count is checked against
-    ``max_dim_rows``; a larger dimension is joined by shuffle.
+    The planner broadcasts the dimension if its bytes are below
+    ``spark.sql.autoBroadcastJoinThreshold`` (by file size, or at runtime by
+    the shuffled size) and joins by shuffle otherwise.
     """
     d = dim.select(F.col(dim_key).alias("_dk"), *cols)
-    return join_small(fact, d, F.col(fact_key) == F.col("_dk"), "left", max_dim_rows).drop("_dk")
+    return fact.join(d, F.col(fact_key) == F.col("_dk"), "left").drop("_dk")

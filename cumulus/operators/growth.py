@@ -60,8 +60,9 @@ def growth_accounting_step(prev: DataFrame, events: DataFrame, ds, key: str = "u
 
 
 def growth_accounting_backfill(events: DataFrame, end, key: str = "user_id",
-                               date_col: str = "event_date") -> DataFrame:
-    """Every (key, day) from the key's first active day through ``end``.
+                               date_col: str = "event_date", since=None) -> DataFrame:
+    """Every (key, day) from the key's first active day (or ``since``, if that
+    is later) through ``end``; ``since = end`` gives one row a key.
 
     One shuffle: each key's distinct active days are collected (a set that
     merges map-side and is bounded by the number of days), sorted, and every
@@ -81,8 +82,13 @@ def growth_accounting_backfill(events: DataFrame, end, key: str = "user_id",
                          F.get(F.col("_days"), F.col("_i") + 1).alias("_next"),
                          F.slice("_days", F.lit(1), F.col("_i") + 1).alias("dates_active"))
     upto = F.coalesce(F.date_sub(F.col("_next"), 1), e)
+    spans = spans.withColumn("_upto", upto)
+    opening = F.col("_d")
+    if since is not None:
+        spans = spans.filter(F.col("_upto") >= F.lit(since).cast("date"))
+        opening = F.greatest("_d", F.lit(since).cast("date"))
     rows = spans.select(key, "first_active_date", "_d", "_prev", "dates_active",
-                        F.explode(F.sequence(F.col("_d"), upto)).alias("date"))
+                        F.explode(F.sequence(opening, F.col("_upto"))).alias("date"))
     active = F.col("date") == F.col("_d")
     prev = F.when(active, F.col("_prev")).otherwise(F.col("_d"))
     new = F.col("date") == F.col("first_active_date")

@@ -1,6 +1,6 @@
 """Physical layout and join-strategy operators: bucketed tables, local vs
-global sort, file-layout statistics, load-time validation, shared
-aggregates and dimension joins."""
+global sort, file-layout statistics, load-time validation and shared
+aggregates."""
 
 from __future__ import annotations
 
@@ -9,8 +9,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cumulus.operators.joins import join_small
-
 
 def bucketed_save(df: DataFrame, table: str, key: str, buckets: int = 16, sort: bool = True,
                   mode: str = "overwrite", path: str | None = None) -> None:
@@ -56,19 +54,13 @@ def layout_stats(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
 
 def shared_aggregate(events: DataFrame, key: str, by: str, set_col: str, cache: bool = False) -> DataFrame:
     """(key, by) -> event count and the sorted distinct ``set_col`` values;
-    optionally cached because several reports reuse it."""
+    optionally cached because several reports reuse it.  A (key, by) holds at
+    most as many values as ``set_col`` has: choose one with few (hosts)."""
     agg = events.groupBy(key, by).agg(F.count(F.lit(1)).alias("n_events"),
                                       F.sort_array(F.collect_set(set_col)).alias(f"{set_col}s"))
     return agg.cache() if cache else agg
 
 
-def dimension_join(fact: DataFrame, dim: DataFrame, on: Sequence[str] | str, how: str = "inner",
-                   max_dim_rows: int = 1_000_000) -> DataFrame:
-    """Fact-to-dimension join, broadcasting the dimension when its row count
-    is within ``max_dim_rows``."""
-    return join_small(fact, dim, on, how, max_dim_rows)
-
-
 def pruned_join(fact: DataFrame, header: DataFrame, key: str, date_col: str, start, end) -> DataFrame:
     """Join with a date predicate on the header side; the predicate reaches
     the header scan (and partition pruning when the table is partitioned by

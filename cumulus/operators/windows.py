@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cumulus.functions import constants as K
-from cumulus.operators.ordered import running_totals
+
+# ids per bucket of the ordered operators: one task sorts the rows of one group and bucket
+BUCKET_IDS = 1 << 16
 
 
 def referrer_channel(ref, rules: Sequence[tuple[str, str]] = K.REFERRER_RULES,
@@ -54,14 +56,16 @@ def rolling_counts(daily: DataFrame, keys: Sequence[str], date_col: str, count_c
 def argmax_per_group(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
     """Rows whose ``value`` equals their group's maximum (ties kept).
 
-    Group maxima come from a partial aggregation and are joined back, the
-    decorrelated form of ``value = (SELECT MAX(value) ... same group)``; no
-    window has to sort a whole group in one task.  As with that correlated
-    subquery, rows whose group is NULL match no group and are left out.
+    ``rank() = 1``, which the planner cuts to the best rows of each input
+    partition before the shuffle (partial WindowGroupLimit), so no task sees a
+    whole group.  Rows whose group or value is NULL match no maximum and are
+    left out.
     """
-    group = list(group)
-    m = df.groupBy(*group).agg(F.max(value).alias("_max"))
-    return (df.join(m, group).filter(F.col(value) == F.col("_max")).drop("_max"))
+    known = df.filter(F.col(value).isNotNull())
+    for g in group:
+        known = known.filter(F.col(g).isNotNull())
+    place = F.rank().over(Window.partitionBy(*group).orderBy(F.col(value).desc()))
+    return known.withColumn("_place", place).filter(F.col("_place") == 1).drop("_place")
 
 
 def top_n(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
@@ -69,36 +73,79 @@ def top_n(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+def _bucket(order_col: str) -> Column:
+    return F.floor(F.col(order_col) / F.lit(BUCKET_IDS))
+
+
 def best_stretch(df: DataFrame, group: str, order_col: str, flag: str, n: int = 90,
                  bucket: Column | None = None) -> DataFrame:
-    """Per group, the largest sum of ``flag`` over any ``n`` consecutive rows.
+    """Per group, the largest sum of ``flag`` (not negative, NULL counts 0) over
+    any ``n`` consecutive rows.
 
-    Running sums S(k) per row number k come from ``running_totals`` (bucketed
-    by ``bucket``, default ``order_col div 1024``); the window over rows
-    k-n+1..k is S(k) - S(k-n), an equi-join on (group, k - n).
+    Rows are windowed inside (group, bucket); ``bucket`` must not decrease as
+    ``order_col`` grows (default ``order_col div BUCKET_IDS``).  A bucket keeps
+    its best sum and its first and last n - 1 rows, over which the stretches
+    that cross buckets are summed by position.  One task sees the rows of one
+    bucket, then 2 (n - 1) rows a bucket: wider buckets shift work to the first.
+
+    Plan: one Exchange of the rows on (group, bucket), one of the buckets on group.
     """
-    b = bucket if bucket is not None else F.floor(F.col(order_col) / F.lit(1024))
-    r = running_totals(df.select(F.struct(group).alias("_g"), order_col, flag), ["_g"], [order_col], b,
-                       F.col(flag).cast("bigint"))
-    back = r.select("_g", (F.col("_rn") + n).alias("_rn"), F.col("_cum").alias("_cum_back"))
-    j = r.join(back, ["_g", "_rn"], "left")
-    s = F.col("_cum") - F.coalesce(F.col("_cum_back"), F.lit(0))
-    g = j.groupBy("_g").agg(F.max(s).cast("bigint").alias(f"max_in_{n}"))
-    return g.select(F.col("_g")[group].alias(group), f"max_in_{n}")
+    b = bucket if bucket is not None else _bucket(order_col)
+    rows = df.select(F.col(group), b.alias("_b"), F.col(order_col).alias("_o"),
+                     F.coalesce(F.col(flag).cast("bigint"), F.lit(0)).alias("_f"))
+    inner = Window.partitionBy(group, "_b")
+    rows = rows.select(group, "_b", "_f", F.row_number().over(inner.orderBy("_o")).alias("_rn"),
+                       F.sum("_f").over(inner.orderBy("_o").rowsBetween(1 - n, 0)).alias("_sum"),
+                       F.count(F.lit(1)).over(inner).alias("_n"))
+    edge = max(n - 1, 1)
+    at_edge = (F.col("_rn") <= edge) | (F.col("_rn") > F.col("_n") - edge)
+    per = rows.groupBy(group, "_b").agg(
+        F.max("_sum").alias("_best"), F.max("_n").alias("_n"),
+        F.sort_array(F.collect_list(F.when(at_edge, F.struct("_rn", "_f")))).alias("_edge"))
+    earlier = F.sum("_n").over(Window.partitionBy(group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1))
+    edges = per.withColumn("_before", F.coalesce(earlier, F.lit(0))).select(
+        group, "_best", "_before", F.explode("_edge").alias("_e"))
+    edges = edges.select(group, "_best", (F.col("_before") + F.col("_e._rn")).alias("_pos"), F.col("_e._f").alias("_f"))
+    across = F.sum("_f").over(Window.partitionBy(group).orderBy("_pos").rangeBetween(1 - n, 0))
+    return (edges.withColumn("_across", across).groupBy(group)
+                 .agg(F.greatest(F.max("_best"), F.max("_across")).alias(f"max_in_{n}")))
 
 
 def longest_streak(df: DataFrame, group: str, order_cols: Sequence[str], cond: Column,
-                   bucket: Column | None = None) -> DataFrame:
-    """Per group, the longest run of consecutive rows satisfying ``cond``.
-
-    Gaps and islands: row number minus the running count of satisfied rows
-    is constant inside a run.  Row numbers and counts come from
-    ``running_totals`` (bucketed by ``bucket``, default ``first order
-    column div 1024``), so a hot group is not sorted in one task.
+                   bucket: Column | None = None, coarser: Sequence[Column] = ()) -> DataFrame:
+    """Per group, the longest run of consecutive rows satisfying ``cond`` (NULL:
+    not satisfied); groups without such a row are left out.
+
+    A stretch of rows is summed up as its length, the runs it starts and ends
+    with, and its longest run; neighbouring stretches add up to one.  Rows are
+    summed up inside (group, bucket), buckets inside the next of ``coarser``
+    (each level constant within the one before), the last level inside the
+    group.  Buckets must not decrease in the order; the default is the first
+    order column ``div BUCKET_IDS``.  One Exchange a level.
     """
-    b = bucket if bucket is not None else F.floor(F.col(order_cols[0]) / F.lit(1024))
-    t = df.select(group, *order_cols, cond.cast("bigint").alias("_ok"))
-    r = running_totals(t, [group], list(order_cols), b, F.col("_ok"))
-    runs = (r.filter("_ok = 1").groupBy(group, (F.col("_rn") - F.col("_cum")).alias("_grp"))
-             .agg(F.count(F.lit(1)).alias("_len")))
-    return runs.groupBy(group).agg(F.max("_len").alias("longest_streak"))
+    levels = [bucket if bucket is not None else _bucket(order_cols[0]), *coarser]
+    names = [f"_b{i}" for i in range(len(levels))]
+    ok = F.coalesce(cond, F.lit(False)).cast("bigint")
+    part = df.select(group, *[c.alias(n) for c, n in zip(levels, names)],
+                     *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_cols)],
+                     F.lit(1).cast("bigint").alias("_n"), ok.alias("_lead"), ok.alias("_trail"), ok.alias("_best"))
+    order = [f"_o{i}" for i in range(len(order_cols))]
+    for i in range(len(names) + 1):
+        part = _joined_runs(part, [group, *names[i:]], order)
+        order = names[i:i + 1]
+    return part.filter("_best > 0").select(group, F.col("_best").alias("longest_streak"))
+
+
+def _joined_runs(part: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Stretches (_n rows, run at the start, run at the end, longest run) that follow one another, as one a key."""
+    upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    broken = F.col("_lead") < F.col("_n")
+    p = part.withColumn("_end", F.sum("_n").over(upto)).withColumn("_begin", F.col("_end") - F.col("_n"))
+    # position of the last row so far that breaks a run, before this stretch
+    breaks = F.max(F.when(broken, F.col("_end") - F.col("_trail")))
+    since = F.coalesce(breaks.over(upto.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    p = p.withColumn("_run", F.col("_begin") + F.col("_lead") - since)
+    total, first = F.max("_end"), F.min(F.when(broken, F.col("_begin") + F.col("_lead")))
+    return p.groupBy(*keys).agg(
+        total.alias("_n"), F.coalesce(first, total).alias("_lead"), (total - F.coalesce(breaks, F.lit(0))).alias("_trail"),
+        F.greatest(F.max("_best"), F.max("_run")).alias("_best"))

@@ -20,7 +20,7 @@ ROLE_CTES = {
          CASE device_id % 5 WHEN 0 THEN 'Chrome' WHEN 1 THEN 'Safari' WHEN 2 THEN 'Firefox' WHEN 3 THEN 'Edge' END AS browser_type,
          CASE WHEN device_id = 7 THEN NULL WHEN device_id % 3 = 0 THEN 'Windows' WHEN device_id % 3 = 1 THEN 'Mac OS X' ELSE 'Linux' END AS os_type,
          CASE device_id % 4 WHEN 0 THEN 'Desktop' WHEN 1 THEN 'Mobile' WHEN 2 THEN 'Tablet' END AS device_type
-  FROM (SELECT DISTINCT device_id FROM web_events) d0)""",
+  FROM (SELECT CAST(n_nationkey AS BIGINT) AS device_id FROM nation) d0)""",
     "seasons": """seasons AS (
   SELECT c.c_name AS player_name, n.n_name AS country, c.c_mktsegment AS college, a.season, a.gp, a.pts, a.ast, a.reb
   FROM (SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS season, COUNT(*) AS gp,
@@ -85,7 +85,7 @@ ROLE_CTES = {
 }
 
 # roles that read other roles
-ROLE_DEPS = {"devices": ["web_events"]}
+ROLE_DEPS: dict[str, list[str]] = {}
 
 
 def with_roles(*names: str) -> str:

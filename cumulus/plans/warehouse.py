@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from cumulus.operators import bi as BI
 from cumulus.operators import warehouse as WH
-from cumulus.operators.joins import join_small
 from cumulus.plans.role_sql import with_roles
 from cumulus.sources import roles
 from cumulus.sources.tables import table
@@ -22,17 +21,20 @@ def _md(spark, d):
 
 
 def _mmp(spark, d):
-    return roles.medals_matches_players(spark, d).groupBy("match_id", "player_gamertag").agg(
-        F.sum("count").alias("medals"))
+    """Medals of a (match, player), and their difficulty by the medal dimension."""
+    medals = roles.medals(spark, d).select("medal_id", "difficulty")
+    return (roles.medals_matches_players(spark, d).join(medals, "medal_id", "left")
+            .groupBy("match_id", "player_gamertag")
+            .agg(F.sum("count").alias("medals"), F.sum(F.col("count") * F.col("difficulty")).alias("medal_difficulty")))
 
 
 def q_star_join(spark, d):
     maps = roles.maps(spark, d).select("mapid", F.col("name").alias("map_name"))
     m = roles.matches(spark, d).select("match_id", "mapid", "playlist_id")
     j = _md(spark, d).join(m, "match_id").join(_mmp(spark, d), ["match_id", "player_gamertag"], "left")
-    j = join_small(j, maps, "mapid", "left", 100_000)
+    j = j.join(maps, "mapid", "left")
     return j.select("match_id", "player_gamertag", "kills", "did_win", "playlist_id", "map_name",
-                    F.coalesce("medals", F.lit(0).cast("bigint")).alias("medals"))
+                    F.coalesce("medals", F.lit(0).cast("bigint")).alias("medals"), "medal_difficulty")
 
 
 def q_avg_kills(spark, d):
@@ -46,7 +48,7 @@ def q_most_played_playlist(spark, d):
 def q_most_played_map(spark, d):
     maps = roles.maps(spark, d).select("mapid", F.col("name").alias("map_name"))
     g = roles.matches(spark, d).groupBy("mapid").agg(F.count(F.lit(1)).alias("n_matches"))
-    return join_small(g, maps, "mapid", "left", 100_000)
+    return g.join(maps, "mapid", "left")
 
 
 def q_medal_by_map(spark, d):
@@ -56,7 +58,7 @@ def q_medal_by_map(spark, d):
          .groupBy("match_id").agg(F.sum("count").alias("_c"))
          .join(roles.matches(spark, d).select("match_id", "mapid"), "match_id"))
     g = x.groupBy("mapid").agg(F.sum("_c").alias("total_medals"))
-    return join_small(g, maps, "mapid", "left", 100_000).select("mapid", "map_name", "total_medals")
+    return g.join(maps, "mapid", "left").select("mapid", "map_name", "total_medals")
 
 
 def q_clean_load(spark, d):
@@ -72,19 +74,21 @@ def q_user_device_agg(spark, d):
 
 
 def q_users_devices(spark, d):
-    return _uda(spark, d).groupBy("user_id").agg(F.count(F.lit(1)).alias("n_devices"),
-                                                 F.sum("n_events").alias("n_events"))
+    """Users joined with the shared aggregate: hits on the most used device, number of devices."""
+    users = table(spark, d, "customer").select(F.col("c_custkey").alias("user_id"))
+    return users.join(_uda(spark, d), "user_id").groupBy("user_id").agg(
+        F.max("n_events").alias("total_hits"), F.count(F.lit(1)).alias("n_devices"))
 
 
 def q_devices_users(spark, d):
-    return _uda(spark, d).groupBy("device_id").agg(F.count(F.lit(1)).alias("n_users"),
-                                                   F.sum("n_events").alias("n_events"))
+    """Devices joined with the shared aggregate: users (counted, not listed) and events of each."""
+    devices = roles.devices(spark, d).select("device_id", "device_type")
+    return devices.join(_uda(spark, d), "device_id").groupBy("device_id", "device_type").agg(
+        F.count(F.lit(1)).alias("n_users"), F.sum("n_events").alias("n_events"))
 
 
 def q_typed_join(spark, d):
     ev = roles.web_events(spark, d).filter(F.col("user_id").isNotNull())
-    # devices is derived from events: no pre-check (it would rescan events);
-    # AQE broadcasts it at runtime once its shuffled size is known
     j = ev.join(roles.devices(spark, d), "device_id")
     return j.select("event_id", "user_id", "device_id",
                     F.upper(F.coalesce("browser_type", F.lit("unknown"))).alias("browser"))
@@ -108,7 +112,7 @@ def q_pruned_join(spark, d):
 def q_broadcast_join(spark, d):
     li = table(spark, d, "lineitem").select("l_partkey", "l_quantity", "l_shipdate")
     p = table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
-    j = join_small(li, p, "l_partkey", "inner", 1_000_000)
+    j = li.join(p, "l_partkey")
     ds = F.split(F.col("l_shipdate").cast("string"), " ").getItem(0)
     return j.groupBy("p_type", F.substring(ds, 1, 7).alias("ship_month")).agg(
         F.count(F.lit(1)).alias("n_lines"), F.sum("l_quantity").cast("bigint").alias("total_qty"))
@@ -186,7 +190,9 @@ QUERIES = {
 _MD = with_roles("match_details", "matches", "medals_matches_players", "medals", "maps") + """,
 md AS (SELECT match_id, player_gamertag, CAST(SUM(player_total_kills) AS BIGINT) AS kills, MAX(did_win) AS did_win
        FROM match_details GROUP BY 1, 2),
-mmp AS (SELECT match_id, player_gamertag, CAST(SUM("count") AS BIGINT) AS medals FROM medals_matches_players GROUP BY 1, 2),
+mmp AS (SELECT match_id, player_gamertag, CAST(SUM("count") AS BIGINT) AS medals,
+               CAST(SUM("count" * p_size) AS BIGINT) AS medal_difficulty
+        FROM medals_matches_players LEFT JOIN part ON p_partkey = medal_id GROUP BY 1, 2),
 mm AS (SELECT x.*, m.name, m.classification, m.difficulty FROM medals_matches_players x JOIN medals m ON x.medal_id = m.medal_id)"""
 
 _UDA = with_roles("web_events") + """,
@@ -198,7 +204,7 @@ ORACLE = {
     "layout_global_sort": "SELECT event_id, user_id, ts, event_type FROM events",
     "star_join": _MD + """
 SELECT md.match_id, md.player_gamertag, md.kills, md.did_win, m.playlist_id, p.name AS map_name,
-       COALESCE(mmp.medals, 0) AS medals
+       COALESCE(mmp.medals, 0) AS medals, mmp.medal_difficulty
 FROM md JOIN matches m ON md.match_id = m.match_id
 LEFT JOIN mmp ON mmp.match_id = md.match_id AND mmp.player_gamertag = md.player_gamertag
 LEFT JOIN maps p ON p.mapid = m.mapid""",
@@ -215,8 +221,12 @@ GROUP BY m.mapid, p.name""",
     "clean_load": _MD + """
 SELECT DISTINCT * FROM match_details WHERE match_id IS NOT NULL AND player_gamertag IS NOT NULL""",
     "user_device_agg": _UDA + "\nSELECT * FROM uda",
-    "users_devices": _UDA + "\nSELECT user_id, COUNT(*) AS n_devices, CAST(SUM(n_events) AS BIGINT) AS n_events FROM uda GROUP BY 1",
-    "devices_users": _UDA + "\nSELECT device_id, COUNT(*) AS n_users, CAST(SUM(n_events) AS BIGINT) AS n_events FROM uda GROUP BY 1",
+    "users_devices": _UDA + """
+SELECT user_id, MAX(n_events) AS total_hits, COUNT(*) AS n_devices FROM uda
+WHERE user_id IN (SELECT c_custkey FROM customer) GROUP BY user_id""",
+    "devices_users": with_roles("web_events", "devices") + """
+SELECT device_id, device_type, COUNT(DISTINCT user_id) AS n_users, COUNT(*) AS n_events
+FROM web_events JOIN devices USING (device_id) GROUP BY ALL""",
     "typed_join": with_roles("web_events", "devices") + """
 SELECT e.event_id, e.user_id, e.device_id, upper(COALESCE(d.browser_type, 'unknown')) AS browser
 FROM web_events e JOIN devices d ON e.device_id = d.device_id WHERE e.user_id IS NOT NULL""",

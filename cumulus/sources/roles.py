@@ -58,7 +58,8 @@ def address(user_id):
 
 
 def devices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = web_events(spark, sf_dir).select("device_id").distinct()
+    """The device dimension: a nation's key is the id of a device (events name ids 0 to 9)."""
+    d = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("bigint").alias("device_id"))
     i = F.col("device_id")
     return d.select(
         "device_id",

@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from cumulus.operators.dedupe import upsert
 
@@ -55,12 +56,25 @@ def write_csv(df: DataFrame, path: str, header: bool = True) -> None:
     df.write.mode("overwrite").option("header", str(header).lower()).csv(path)
 
 
+def epoch_sink(path: str) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function keeping each micro-batch in a partition ``epoch``
+    of its own below ``path`` (one path per checkpoint): a batch that is
+    replayed after a failure replaces what it wrote before."""
+
+    def sink(batch: DataFrame, epoch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/epoch={epoch_id}")
+
+    return sink
+
+
 def jdbc_batch_sink(url: str, table: str, properties: dict | None = None) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function appending each micro-batch to a JDBC table
-    (the driver jar for the target database must be on the classpath)."""
+    """``foreachBatch`` function appending each micro-batch, with its ``epoch``,
+    to a JDBC table (the driver jar for the target database must be on the
+    classpath).  Delivery is at least once: a replayed batch repeats its rows
+    under the same epoch."""
     props = dict(properties or {})
 
     def sink(batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode("append").jdbc(url, table, properties=props)
+        batch.withColumn("epoch", F.lit(epoch_id)).write.mode("append").jdbc(url, table, properties=props)
 
     return sink

@@ -15,8 +15,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cumulus.operators.ordered import running_totals
-
 
 def sessionize(events: DataFrame, keys: Sequence[str], time_col: str = "event_time",
                gap: str = "5 minutes", watermark: str | None = None) -> DataFrame:
@@ -38,20 +36,22 @@ def _seconds(ts) -> F.Column:
 
 def sessionize_sliced(events: DataFrame, keys: Sequence[str], time_col: str = "event_time",
                       gap_seconds: int = 300, slice_seconds: int = 3600) -> DataFrame:
-    """Batch sessionization that does not sort a whole key in one task.
-
-    Sessions are first found inside (key, time slice) groups; the first
-    local session of a slice continues the previous slice's last session
-    when the gap to that slice's last event is at most ``gap_seconds``.
-    Global session ids are a bucketed running count over local sessions,
-    and the final sessions are a partial aggregation.  Same result as
-    ``sessionize`` (end = last event + gap; an event exactly one gap later
-    joins the session).
+    """Batch sessionization that does not sort a whole key's events in one task.
+
+    Sessions are first found inside (key, time slice) groups; a slice keeps
+    the list of its sessions, at most slice_seconds / gap_seconds + 1 of them
+    however many events it holds.  The first session of a slice continues the
+    one before when the gap to the previous slice's last event is at most
+    ``gap_seconds``, so a running count over the slices of a key numbers its
+    sessions and a partial aggregation joins their parts.  What one task sees
+    of a key after the first step is bounded by the time span, not by events.
+    Same result as ``sessionize`` (end = last event + gap; an event exactly
+    one gap later joins the session).
+
+    Plan: one Exchange of the events on (key, slice), one of the slices on key.
     """
     keys = list(keys)
     gap = F.make_interval(secs=F.lit(gap_seconds))
-    # keys as one struct: NULL key values form their own group (as in a
-    # GROUP BY) and every join below is a plain equi-join on it
     e = events.filter(F.col(time_col).isNotNull()).select(
         F.struct(*[F.col(k) for k in keys]).alias("_gk"), F.col(time_col).alias("_t"))
     e = e.withColumn("_slice", F.floor(_seconds(F.col("_t")) / F.lit(slice_seconds)))
@@ -61,17 +61,17 @@ def sessionize_sliced(events: DataFrame, keys: Sequence[str], time_col: str = "e
               .withColumn("_lid", F.sum("_brk").over(w.rowsBetween(Window.unboundedPreceding, 0)))
               .groupBy("_gk", "_slice", "_lid")
               .agg(F.min("_t").alias("_start"), F.max("_t").alias("_last"), F.count(F.lit(1)).alias("_n")))
-    slices = local.groupBy("_gk", "_slice").agg(F.max("_last").alias("_slice_last"))
+    slices = local.groupBy("_gk", "_slice").agg(
+        F.sort_array(F.collect_list(F.struct("_start", "_last", "_n"))).alias("_found"))
     ws = Window.partitionBy("_gk").orderBy("_slice")
-    prev = slices.select("_gk", "_slice", F.lag("_slice_last").over(ws).alias("_prev_last"))
-    j = local.join(prev, ["_gk", "_slice"])
-    new = ((F.col("_lid") > 1) | F.col("_prev_last").isNull()
-           | (F.col("_start") > F.col("_prev_last") + gap)).cast("bigint")
-    r = running_totals(j.withColumn("_new", new), ["_gk"], ["_slice", "_lid"], F.col("_slice"), F.col("_new"),
-                       cum_col="_gid")
-    out = (r.groupBy("_gk", "_gid")
-            .agg(F.min("_start").alias("session_start"), (F.max("_last") + gap).alias("session_end"),
-                 F.sum("_n").alias("num_events")))
+    first, last = F.col("_found")[0]["_start"], F.element_at("_found", -1)["_last"]
+    slices = slices.withColumn("_joins", F.coalesce(first <= F.lag(last).over(ws) + gap, F.lit(False)).cast("int"))
+    earlier = F.sum(F.size("_found") - F.col("_joins")).over(ws.rowsBetween(Window.unboundedPreceding, -1))
+    parts = slices.select("_gk", (F.coalesce(earlier, F.lit(0)) - F.col("_joins")).alias("_base"),
+                          F.posexplode("_found").alias("_k", "_part"))
+    out = (parts.groupBy("_gk", (F.col("_base") + F.col("_k")).alias("_gid"))
+                .agg(F.min("_part._start").alias("session_start"), (F.max("_part._last") + gap).alias("session_end"),
+                     F.sum("_part._n").alias("num_events")))
     return out.select(*[F.col("_gk")[k].alias(k) for k in keys], "session_start", "session_end", "num_events")
 
 
@@ -87,8 +87,8 @@ def stream_sessions(spark: SparkSession, source_dir: str, schema: T.StructType,
                     prepare=None):
     """Start a streaming sessionization from a Parquet folder.
 
-    ``sink`` is a ``foreachBatch`` function (e.g. an append to a table or a
-    JDBC write).  ``prepare`` maps the raw stream to the event shape.
+    ``sink`` is a ``foreachBatch`` function (``sinks.epoch_sink`` writes every
+    batch once, also when it is replayed).  ``prepare`` maps the raw stream to the event shape.
     Recovery comes from ``checkpoint`` (a folder on shared storage).
     """
     raw = (spark.readStream.schema(schema).option("pathGlobFilter", glob).parquet(source_dir))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cumulus.operators import datelist as D
 from cumulus.operators import warehouse as WH
-from cumulus.operators.joins import join_small
+from cumulus.operators.facts import lookup_dimension
 from cumulus.plans import activity, analytics
 from cumulus.sources import roles
 from tests.conftest import SF_SMALL
@@ -33,17 +33,35 @@ def test_bucketed_join_has_no_exchange(spark):
         spark.sql("DROP TABLE IF EXISTS t_m")
 
 
-def test_broadcast_only_when_small(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def test_dimension_is_broadcast_by_its_bytes_only(spark):
+    fact = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").select("l_partkey")
+    part = spark.read.parquet(f"{SF_SMALL}/part.parquet")
+    small = plan(lookup_dimension(fact, part, "l_partkey", "p_partkey", ["p_type"]))
+    assert "BroadcastHashJoin" in small
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
     try:
-        big = spark.range(1000).withColumn("k", F.col("id") % 10)
-        small = spark.range(10).withColumnRenamed("id", "k")
-        assert "BroadcastHashJoin" in plan(join_small(big, small, "k", max_rows=100))
-        assert "BroadcastHashJoin" not in plan(join_small(big, small, "k", max_rows=5))
+        assert "BroadcastHashJoin" not in plan(lookup_dimension(fact, part, "l_partkey", "p_partkey", ["p_type"]))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_layout_sorts_order_their_rows(spark):
+    from cumulus.plans import warehouse
+    key = lambda r: (r.user_id, r.ts)
+    rows = warehouse.q_layout_global_sort(spark, SF_SMALL).collect()
+    assert [key(r) for r in rows] == sorted(map(key, rows))
+    parts = {}
+    placed = warehouse.q_layout_local_sort(spark, SF_SMALL).withColumn("part", F.spark_partition_id())
+    for r in placed.collect():
+        parts.setdefault(r.part, []).append(r)
+    assert all([key(r) for r in p] == sorted(map(key, p)) for p in parts.values())
+    homes = {}
+    for n, p in parts.items():
+        for r in p:
+            homes.setdefault(r.user_id, set()).add(n)
+    assert all(len(h) == 1 for h in homes.values())
+
+
 def test_datelist_bits_need_no_shuffle(spark):
     cum = spark.createDataFrame([(1, [])], "user_id long, dates_active array<date>")
     p = plan(D.datelist_int(cum, "2024-01-30"))
