@@ -35,6 +35,7 @@ FAMILIES = {
     "malayic": ("id", "ms", "jv", "su"),
 }
 SAMPLE_ROWS = 1200
+RANK_PARTS = 64
 DIMS = 1 << 12
 CHUNK = 1 << 20
 UNKNOWN = "und"
@@ -148,8 +149,14 @@ def fit(docs: DataFrame, learn: Column, id_col="doc_id", text_col="text", lang_c
     n_langs = able.select(F.count_distinct("lang")).first()[0]
     if not n_langs:
         return LanguageModel(np.empty((0, DIMS)), [])
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
-    chosen = able.withColumn("r", rank).where(F.col("r") <= max(1, sample_rows // n_langs)).select("id").distinct()
+    # ranked within groups of input partitions first: each partition ships at most ``each`` rows a language,
+    # and the last ranking sees at most RANK_PARTS * each of them, however many rows the language has
+    each = max(1, sample_rows // n_langs)
+    able = able.select("*", F.xxhash64("id").alias("h"), (F.spark_partition_id() % RANK_PARTS).alias("part"))
+    for keys in (["lang", "part"], ["lang"]):
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy("h", "id"))
+        able = able.withColumn("r", rank).where(F.col("r") <= each)
+    chosen = able.select("id").distinct()
     # at most sample_rows ids, so the broadcast is bounded
     sample = (named.join(F.broadcast(chosen), "id", "left_semi").where(F.col("lang").isNotNull())
               .mapInArrow(_featured, "id long, lang string, x binary").dropDuplicates(["id"]).orderBy("id").collect())
