@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from cumulus.llm import langid, line_dedup, minhash, packing, pii
 from cumulus.llm.common import materialize, read_table
+from cumulus.llm.queries import VOCABULARY
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 ORACLE_SQL = None  # SQL expresses neither the trained language model nor best-fit packing; tested by brute force
@@ -48,8 +49,10 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in training sequences of the permitted lengths."""
-    return packing.pack_documents(docs)
+    """Pieces of documents in training sequences of the permitted lengths, in tokens."""
+    import public_tokenizers as P
+
+    return packing.pack_tokens(docs, P.path(VOCABULARY), P.PATTERN)
 
 
 STAGES = [

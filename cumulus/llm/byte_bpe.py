@@ -93,6 +93,7 @@ class ByteBpe:
         self.chars = {i: c for i, c in enumerate(byte_characters())}
         self.model = sentencepiece.SentencePieceProcessor(model_proto=model_bytes(self.tokens))
         self.cache: dict[str, tuple[int, str, bytes]] = {}
+        self.counts: dict[str, int] = {}
 
     def encode_piece(self, piece: bytes) -> list[int]:
         whole = self.rank.get(piece)
@@ -128,6 +129,21 @@ class ByteBpe:
         return n, ids.hexdigest(), decoded.hexdigest()
 
 
+    def count(self, text: str) -> int:
+        """Number of tokens."""
+        total, get = 0, self.counts.get
+        for s in [text] if OTHER_SPACE.search(text) else STRETCHES.findall(text):
+            n = get(s)
+            if n is None:
+                n = len(self.encode(s))
+                if len(s) < 64:
+                    if len(self.counts) >= CACHE_ENTRIES:
+                        self.counts.clear()
+                    self.counts[s] = n
+            total += n
+        return total
+
+
 @lru_cache(maxsize=2)
 def coder(path: str, pattern: str) -> ByteBpe:
     """One coder per Python worker and vocabulary."""
@@ -161,6 +177,20 @@ def digest_tokens(docs: DataFrame, path: str, pattern: str, text_col="text") ->
     return got.select(*[F.col("doc")[c].alias(c) for c in keep], *OWN)
 
 
+def count_tokens(docs: DataFrame, path: str, pattern: str, text_col="text") -> DataFrame:
+    """Columns of ``docs`` but the text, and n_tokens (replaced if it exists)."""
+    rows, keep, kind = _rows(docs, text_col, ["n_tokens"])
+
+    def run(batches):
+        bpe = coder(path, pattern)
+        for b in batches:
+            n = [bpe.count(t.as_py() or "") for t in b.column("text")]
+            yield pa.RecordBatch.from_arrays([b.column("doc"), pa.array(n, pa.int64())], ["doc", "n_tokens"])
+
+    got = rows.mapInArrow(run, f"doc {kind}, n_tokens long")
+    return got.select(*[F.col("doc")[c].alias(c) for c in keep], "n_tokens")
+
+
 def encode_texts(docs: DataFrame, path: str, pattern: str, text_col="text") -> DataFrame:
     """Columns of ``docs`` but the text, and token_ids (array of int)."""
     rows, keep, kind = _rows(docs, text_col, ["token_ids"])

@@ -12,7 +12,10 @@ length that holds its contents.
 A shard's memory is bounded by SHARD_ROWS rows of three numbers, whatever the
 input; what a shard's last bins waste is a fixed number of sequences a shard.
 
-Defined cases: a null text is empty; a text without words gets one row with
+Lengths are tokens of a byte-level vocabulary in ``pack_tokens``, any given
+column or the number of words in ``pack_documents``.
+
+Defined cases: a null text is empty; a text of length 0 gets one row with
 length 0, no bin and no capacity; repeated rows are packed each; rows with a
 null id too; an empty table gives no rows.
 """
@@ -25,6 +28,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cumulus.llm.byte_bpe import count_tokens
+from cumulus.llm.common import materialize
+
 CAPACITIES = (512, 1024, 2048, 4096, 8192)
 SHARD_ROWS = 1 << 15
 SEQUENCE_COST = 64.0
@@ -71,9 +77,17 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit("[^ \\t\\n\\x0B\\f\\r]+")).cast("long")
 
 
+def pack_tokens(docs: DataFrame, path: str, pattern: str, id_col="doc_id", text_col="text",
+                capacities=CAPACITIES, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """``pack_documents`` by the tokens that ``byte_bpe`` makes of the whole text; counted once, as the
+    row count and the packing both read the written counts."""
+    counted = materialize(count_tokens(docs.select(id_col, text_col), path, pattern, text_col), "counted")
+    return pack_documents(counted, id_col, F.col("n_tokens"), capacities=capacities, shard_rows=shard_rows)
+
+
 def pack_documents(docs: DataFrame, id_col="doc_id", length: Column | None = None, text_col="text",
                    capacities=CAPACITIES, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """One row per piece: id, piece (from 0), start and length (in tokens of the document), bin_id,
+    """One row per piece: id, piece (from 0), start and length (in the unit of ``length``), bin_id,
     bin_offset, capacity.  ``length`` defaults to the number of words of the whole text."""
     top = max(capacities)
     n = docs.count()

@@ -76,7 +76,9 @@ def op9_langid(spark, sf_dir):
 
 
 def op10_best_fit_packing(spark, sf_dir):
-    return packing.pack_documents(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    import public_tokenizers as P
+
+    return packing.pack_tokens(read_table(spark, sf_dir, "documents"), P.path(VOCABULARY), P.PATTERN)
 
 
 def pipeline(spark, sf_dir):

@@ -1,0 +1,41 @@
+"""Cases of the third round's review."""
+
+from collections import Counter
+
+import corpus_pipeline as cp
+from cumulus.llm import packing
+from cumulus.llm.byte_bpe import ByteBpe
+from cumulus.llm.queries import VOCABULARY, op10_best_fit_packing
+from tests.conftest import SF_SMALL
+
+
+def token_lengths(texts):
+    import public_tokenizers as P
+
+    bpe = ByteBpe(P.path(VOCABULARY), P.PATTERN)
+    return {i: len(bpe.encode(t or "")) for i, t in texts.items()}
+
+
+def packed(rows):
+    """Length by document; no bin holds more than its capacity."""
+    out, filled, ends = Counter(), Counter(), {}
+    for r in rows:
+        out[r["doc_id"]] += r["length"]
+        if r["bin_id"] is not None:
+            filled[r["bin_id"]] += r["length"]
+            ends[r["bin_id"]] = r["capacity"]
+    assert all(filled[b] <= c for b, c in ends.items())
+    return dict(out)
+
+
+def test_packing_query_counts_tokens(spark, texts):
+    assert packed(op10_best_fit_packing(spark, SF_SMALL).collect()) == token_lengths(texts)
+
+
+def test_packing_stage_cuts_texts_without_blanks(spark, make_docs):
+    rows = {1: "一二三四五六七八九十" * 4000, 2: "a1b2" * 9000, 3: "two words", 4: " \t ", 5: None, 6: ""}
+    got = cp.pack_sequences(spark, make_docs(list(rows.items())), SF_SMALL).collect()
+    want = token_lengths(rows)
+    assert packed(got) == want and want[1] > 8192 and want[2] > 8192
+    assert all(r["length"] <= max(packing.CAPACITIES) for r in got)
+    assert {r["doc_id"] for r in got if r["capacity"] is None} == {5, 6}
