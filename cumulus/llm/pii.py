@@ -15,8 +15,17 @@ dropped without a retry:
 
 Added kinds: url (a scheme and a host with a dot, to the next blank or quote)
 and secret (a cue, ``:`` or ``=``, an optional quote and 8 or more characters
-of ``[A-Za-z0-9_/+=.-]``, a digit among them).  Offsets are code points, ends
-exclusive.
+of ``[A-Za-z0-9_/+=.-]``, a digit among them).  After the cues ``iban``, ``ssn``
+and ``account`` words such as ``number`` or ``no.`` may follow, the separator
+may be missing and the value may be grouped:
+
+* iban, account: an IBAN of its country's length that passes mod 97;
+* ssn: 3, 2 and 4 digits, as issued (no 000, 666 or 9xx, no 00, no 0000);
+* account: digits, single blanks or hyphens between: 6 or more after such a
+  word, 8 or more otherwise, without a separator in groups of 3 or more.
+
+What these do not accept is still a secret by the rule of all cues.  Offsets
+are code points, ends exclusive.
 
 Defined cases: a null text is empty and has no spans; repeated rows are
 answered alike, each; an empty table gives no rows.
@@ -25,6 +34,7 @@ answered alike, each; an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+import re
 import string
 from functools import lru_cache
 
@@ -40,12 +50,23 @@ KINDS = (*BASE_KINDS, "url", "secret")
 ORDER = {k: i for i, k in enumerate(KINDS)}
 SCHEMES = ("http://", "https://", "ftp://")
 CUES = ("token", "password", "passwd", "secret", "api_key", "apikey", "access_key", "iban", "ssn", "account")
+NUMBER_CUES = frozenset(("iban", "ssn", "account"))
 DIGITS = frozenset("0123456789")
+ALNUM = frozenset(string.ascii_letters + string.digits)
 LOCAL = frozenset(string.ascii_letters + string.digits + "._%+-")
 LABEL = frozenset(string.ascii_letters + string.digits + "-")
 PHONE = frozenset(" ().0123456789-")
 URL_END = frozenset(string.whitespace + "\"'<>|`")
 VALUE = frozenset(string.ascii_letters + string.digits + "_/+=.-")
+ASSIGN = re.compile(r"[ \t\"':=]*+")
+NAMES = re.compile(r"((?:[ \t_-]*+(?:(?:numbers?|nummer|num|nr|no|code|id|is)(?![A-Za-z])\.?|#))*+)([ \t\"'():=-]*+)", re.I | re.A)
+SSN = re.compile(r"(?!000|666|9)[0-9]{3}([ -]?)(?!00)[0-9]{2}\1(?!0000)[0-9]{4}(?![0-9])")
+IBAN_LENGTHS = {c[:2]: int(c[2:]) for c in (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29 "
+    "ES24 FI18 FK18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HN28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 "
+    "LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 "
+    "PT25 QA29 RO24 RS22 RU33 SA24 SC31 SD18 SE24 SI19 SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 "
+    "YE30").split()}
 
 
 @lru_cache(maxsize=1)
@@ -155,13 +176,59 @@ def url_from(text: str, start: int, host: int) -> int | None:
     return end if "." in text[host:name].strip(".") else None
 
 
+def iban_from(text: str, start: int) -> int | None:
+    """End of the IBAN that starts at ``start``, single blanks or hyphens between its characters."""
+    size = IBAN_LENGTHS.get(text[start:start + 2].upper()) if text[start:start + 2].isascii() else None
+    n, end, chars = len(text), start, ""
+    while size and end < n and len(chars) < size:
+        if text[end] in " \xa0-" and chars:
+            end += 1
+        if end == n or text[end] not in ALNUM:
+            return None
+        chars += text[end]
+        end += 1
+    if not size or len(chars) < size or (end < n and text[end] in ALNUM) or not DIGITS.issuperset(chars[2:4]):
+        return None
+    return end if int("".join(str(int(c, 36)) for c in chars[4:] + chars[:4])) % 97 == 1 else None
+
+
+def account_from(text: str, start: int, named: bool, parted: bool) -> int | None:
+    """End of the account number that starts at ``start``; ``named``: a word such as number is before it,
+    ``parted``: a colon or equals sign."""
+    if start == len(text) or text[start] not in DIGITS:
+        return None
+    end = card_from(text, start)
+    groups = re.split("[ -]", text[start:end])
+    if sum(map(len, groups)) < (6 if named else 8):
+        return None
+    return end if named or parted or min(map(len, groups)) > 2 else None
+
+
+def number_after(text: str, cue: int, word: str) -> tuple[int, int] | None:
+    """The IBAN, social security or account number after the cue ``word`` that ends at ``cue``."""
+    lead = NAMES.match(text, cue)
+    i, parted = lead.end(), any(c in lead[2] for c in ":=")
+    if i == cue:
+        return None
+    if word == "ssn":
+        found = SSN.match(text, i)
+        end = found and found.end()
+    else:
+        end = iban_from(text, i)
+        if word == "account" and not end:
+            end = account_from(text, i, bool(lead[1]), parted)
+    return (i, end) if end else value_at(text, i, parted)
+
+
 def secret_after(text: str, cue: int) -> tuple[int, int] | None:
     """The value assigned after a cue that ends at ``cue``."""
-    n, i, assigned = len(text), cue, False
-    while i < n and text[i] in " \t\"':=" and i < cue + 8:
-        assigned |= text[i] in ":="
-        i += 1
-    end = i
+    lead = ASSIGN.match(text, cue)
+    return value_at(text, lead.end(), any(c in lead[0] for c in ":="))
+
+
+def value_at(text: str, i: int, assigned: bool) -> tuple[int, int] | None:
+    """The unbroken value that starts at ``i``."""
+    n, end = len(text), i
     while end < n and text[end] in VALUE:
         end += 1
     while end > i and text[end - 1] in ".-=":
@@ -203,10 +270,11 @@ def find_spans(text: str) -> list[tuple[int, str, int]]:
             if first >= done["url"] and (end := url_from(text, first, last + 1)):
                 spans.append((first, "url", end))
                 done["url"] = end
-        elif last >= done["secret"] and (first == 0 or not text[first - 1].isalnum()) and (
-                found := secret_after(text, last + 1)):
-            spans.append((found[0], "secret", found[1]))
-            done["secret"] = found[1]
+        elif last >= done["secret"] and (first == 0 or not text[first - 1].isalnum()):
+            word = text[first:last + 1].lower()
+            if found := number_after(text, last + 1, word) if word in NUMBER_CUES else secret_after(text, last + 1):
+                spans.append((found[0], "secret", found[1]))
+                done["secret"] = found[1]
     spans.sort(key=lambda s: (s[0], ORDER[s[1]], s[2]))
     return spans
 

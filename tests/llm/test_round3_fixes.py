@@ -2,8 +2,10 @@
 
 from collections import Counter
 
+import pytest
+
 import corpus_pipeline as cp
-from cumulus.llm import packing
+from cumulus.llm import packing, pii
 from cumulus.llm.byte_bpe import ByteBpe
 from cumulus.llm.queries import VOCABULARY, op10_best_fit_packing
 from tests.conftest import SF_SMALL
@@ -39,3 +41,33 @@ def test_packing_stage_cuts_texts_without_blanks(spark, make_docs):
     assert packed(got) == want and want[1] > 8192 and want[2] > 8192
     assert all(r["length"] <= max(packing.CAPACITIES) for r in got)
     assert {r["doc_id"] for r in got if r["capacity"] is None} == {5, 6}
+
+
+@pytest.mark.parametrize("text,value", [
+    ("IBAN: DE89 3704 0044 0532 0130 00 thanks", "DE89 3704 0044 0532 0130 00"),
+    ("IBAN DE89370400440532013000.", "DE89370400440532013000"),
+    ("iban no. GB82-WEST-1234-5698-7654-32", "GB82-WEST-1234-5698-7654-32"),
+    ("Account: NL91 ABNA 0417 1643 00", "NL91 ABNA 0417 1643 00"),
+    ("IBAN DE88 3704 0044 0532 0130 00", None),  # fails mod 97
+    ("IBAN DE89 3704 0044 0532 0130 001", None),  # too long
+    ("SSN 123-45-6789", "123-45-6789"),
+    ("My SSN is 123 45 6789,", "123 45 6789"),
+    ("SSN 666-45-6789", None),
+    ("SSN 123-45-67890", None),
+    ("Account number: 12345678", "12345678"),
+    ("account_no=1234 5678 90", "1234 5678 90"),
+    ("account no. 123456", "123456"),
+    ("account 12345678", "12345678"),
+    ("an account of 12345678 things, account 2024-01-02, account 42", None),
+    ("accounting 12345678", None),
+    ("password         = hunter2hunter2", "hunter2hunter2"),
+    ('"account": "AB12345678"', "AB12345678"),
+])
+def test_account_numbers(text, value):
+    found = [text[a:b] for a, k, b in pii.find_spans(text) if k == "secret"]
+    assert found == ([value] if value else [])
+
+
+def test_account_numbers_are_masked_in_the_pipeline(spark, make_docs):
+    docs = make_docs([(1, "pay IBAN DE89 3704 0044 0532 0130 00 or SSN 123-45-6789 now")])
+    assert cp.mask_personal_data(spark, docs, SF_SMALL).first()["text"] == "pay IBAN <SECRET> or SSN <SECRET> now"
