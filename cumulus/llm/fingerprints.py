@@ -90,7 +90,8 @@ def with_next_text(docs: DataFrame, id_col="doc_id", text_col="text", next_name=
     """
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     base = base.withColumn("ord", F.coalesce("id", F.lit(MIN_LONG)))
-    bounds = quantile_bounds(base, F.col("ord"), RANGES_PER_PARTITION * shuffle_partitions(docs.sparkSession)) or [0]
+    bounds = quantile_bounds(base, F.col("ord"), RANGES_PER_PARTITION * shuffle_partitions(docs.sparkSession))
+    bounds = largest_ids(base, bounds) or [0]
     own = range_of(F.col("ord"), bounds)
     cuts = F.array(*[F.lit(b).cast("long") for b in bounds])
     place = lambda r, copy: F.struct(r.cast("int").alias("r"), F.lit(copy).alias("copy"))
@@ -104,6 +105,15 @@ def with_next_text(docs: DataFrame, id_col="doc_id", text_col="text", next_name=
     return placed.withColumn(next_name, F.lead("text").over(w))
 
 
+def largest_ids(base: DataFrame, bounds: list[int]) -> list[int]:
+    """The largest id of each range that has one: quantiles pass through double, so beyond 2^53 a bound
+    need not be an id that occurs."""
+    if not bounds:
+        return []
+    tops = base.groupBy(range_of(F.col("ord"), bounds).alias("r")).agg(F.max("ord").alias("top"))
+    return sorted(r["top"] for r in tops.collect())
+
+
 def descending() -> Window:
     """Window of ``with_next_text``: within a range by descending id, copied rows last."""
     return Window.partitionBy("r").orderBy("copy", F.desc("ord"), "text")

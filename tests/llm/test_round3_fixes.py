@@ -9,6 +9,7 @@ from cumulus.llm import packing, pii
 from cumulus.llm.byte_bpe import ByteBpe
 from cumulus.llm.queries import VOCABULARY, op10_best_fit_packing
 from tests.conftest import SF_SMALL
+from tests.llm.test_fingerprints import expected, rows_of, word_hash
 
 
 def token_lengths(texts):
@@ -71,3 +72,9 @@ def test_account_numbers(text, value):
 def test_account_numbers_are_masked_in_the_pipeline(spark, make_docs):
     docs = make_docs([(1, "pay IBAN DE89 3704 0044 0532 0130 00 or SSN 123-45-6789 now")])
     assert cp.mask_personal_data(spark, docs, SF_SMALL).first()["text"] == "pay IBAN <SECRET> or SSN <SECRET> now"
+
+
+def test_fingerprints_of_64_bit_ids(make_docs):
+    ids = [h - 2**64 if h >= 2**63 else h for h in (word_hash(f"doc{i}") for i in range(400))]
+    t = {d: " ".join(f"w{i}_{j}" for j in range(i % 9 + 3)) for i, d in enumerate(ids)}
+    assert rows_of(make_docs(list(t.items()))) == expected(t)
