@@ -5,8 +5,9 @@ least value.  An empty bin borrows from the bin that a hash of (bin, attempt)
 names, attempt after attempt, until that one is not empty.  ``ROWS`` bins make
 a band; documents with an equal band share a bucket.
 
-Documents with equal shingle sets are one class, represented by the smallest
-id; only representatives are banded.  Candidate edges of a bucket are a star:
+Documents with equal shingle sets are one class, a node named by 64 bits of its
+set's key; one row of each class, one of its smallest id, is banded.  Classes
+that share an id are linked.  Candidate edges of a bucket are a star:
 one centre against the others.  A link is confirmed on the full shingle sets.
 
 Shingles that no other banded candidate has (``lone``) bound what a document
@@ -111,9 +112,15 @@ def _sets(words: int):
         for whole in batches:
             for b in slices(whole, "text"):
                 ends, hashes = shingle_sets(b.column("text"), words)
+                some = np.flatnonzero(np.diff(ends))
+                if not len(some):
+                    continue
+                ends = np.concatenate([[0], ends[some + 1]])
+                k1, k2 = _set_keys(ends, hashes)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("id"), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)),
-                                                              pa.array(hashes.view(np.int64)))], ["id", "shingles"])
+                    [b.column("id").take(pa.array(some)), pa.array(k1), pa.array(k2),
+                     pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(hashes.view(np.int64)))],
+                    ["doc", "k1", "k2", "shingles"])
     return run
 
 
@@ -144,32 +151,51 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col="
     signed = materialize(
         base.mapInArrow(_sign(words, bands, rows), "id long, n long, k1 long, k2 long, bands array<long>"), "signed")
     able = signed.where("n > 0 AND id IS NOT NULL")
-    classes = materialize(able.groupBy("k1", "k2", "n").agg(F.min("id").alias("rep")), "classes")
-    reps = able.join(classes.select(F.col("rep").alias("id"), "k1", "k2"), ["id", "k1", "k2"], "left_semi")
+    classes = materialize(able.groupBy("k1", "k2", "n").agg(F.min("id").alias("rep"))
+                          .withColumn("node", F.xxhash64("k1", "k2")), "classes")
+    named = classes.select("k1", "k2", F.col("rep").alias("doc"), F.col("node").alias("id"))
+    reps = able.withColumnRenamed("id", "doc").join(named, ["doc", "k1", "k2"])
     members = reps.select("id", "n", F.posexplode("bands").alias("band", "key")).distinct()
     sigs = reps.select("id", "n", F.transform("bands", lambda b: b.bitwiseAND(2**31 - 1).cast("int")).alias("sig"))
     members = materialize(_in_shared_buckets(members), "members")
-    linked = _linked(base, members, sigs, words, percent)
-    parts = classes.select("k1", "k2", "rep")
-    if linked is not None:
-        parts = materialize(parts.join(linked.select(F.col("id").alias("rep"), F.col("part").alias("component")),
-                                       "rep", "left"), "parts")
-    else:
-        parts = parts.withColumn("component", F.lit(None).cast("long"))
-    parts = parts.select("k1", "k2", F.coalesce("component", "rep").alias("of_class"))
+    of_id = able.select("id", F.xxhash64("k1", "k2").alias("node")).groupBy("id").agg(
+        F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b")
+    shared = (able.select("id", F.xxhash64("k1", "k2").alias("b")).join(of_id.select("id", "a"), "id")
+              .where("a <> b").select("a", "b").distinct())
+    shared = materialize(shared, "shared")
+    links = _linked(base, named, members, sigs, words, percent)
+    links = shared if links is None else links.unionByName(shared)
+    parts = connected_components(links).withColumnRenamed("id", "node")
+    parts = materialize(classes.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node")),
+                        "parts")
+    least = parts.groupBy("component").agg(F.min("rep").alias("of_class"))
+    parts = parts.join(least, "component").select("k1", "k2", "of_class")
     out = signed.select("id", "n", "k1", "k2").join(parts, ["k1", "k2"], "left")
-    component = F.when(F.col("id").isNotNull(), F.coalesce("of_class", "id"))
+    # a row without words goes with the other texts of its id
+    bare = signed.where("n = 0 AND id IS NOT NULL").select("id").distinct()
+    of_bare = (able.select("id", "k1", "k2").join(bare, "id", "left_semi").join(parts, ["k1", "k2"])
+               .groupBy("id").agg(F.min("of_class").alias("of_id")))
+    out = out.join(of_bare, "id", "left")
+    component = F.when(F.col("id").isNotNull(), F.coalesce("of_class", "of_id", "id"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
                       F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"))
 
 
-def _linked(base: DataFrame, members: DataFrame, sigs: DataFrame, words: int, percent: int) -> DataFrame | None:
-    """(id, part) of every representative with a confirmed link; None if there is no link."""
+def _linked(base: DataFrame, named: DataFrame, members: DataFrame, sigs: DataFrame, words: int,
+            percent: int) -> DataFrame | None:
+    """The confirmed links (a, b) of nodes; None if there is none.  ``named``: (k1, k2, doc, id), the row of a node."""
     if members.isEmpty():
         return None
-    asked = members.select("id").distinct()
-    sets = materialize(base.join(asked, "id", "left_semi").mapInArrow(_sets(words), "id long, shingles array<long>"),
-                       "sets")
+    asked = materialize(named.join(members.select("id").distinct(), "id", "left_semi"), "asked")
+    found = (base.join(asked.select(F.col("doc").alias("id")), "id", "left_semi")
+             .mapInArrow(_sets(words), "doc long, k1 long, k2 long, shingles array<long>"))
+    sets = materialize(found.join(asked, ["doc", "k1", "k2"]).select("id", "doc", "shingles"), "sets")
+    # only the rows of repeated nodes are shuffled to keep one of each
+    again = materialize(sets.groupBy("id").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("id"), "again")
+    if not again.isEmpty():
+        sets = materialize(sets.join(again, "id", "left_anti").unionByName(
+            sets.join(again, "id", "left_semi").dropDuplicates(["id"])), "sets")
+    sets = sets.select("id", "shingles")
     members = materialize(_in_shared_buckets(
         members.join(_lone(sets), ["id", "n"], "left").withColumn("lone", F.coalesce("lone", F.lit(0)))
         .where((F.col("n") - F.col("lone")) * 100 >= F.col("n") * percent)), "members")
@@ -212,7 +238,7 @@ def _linked(base: DataFrame, members: DataFrame, sigs: DataFrame, words: int, pe
                 _rarest(sets.join(left.select("id").distinct(), "id", "left_semi"), percent), ["id", "n"])
         members = materialize(left, "members")
         centres *= CENTRES
-    return parts
+    return links
 
 
 def _lone(sets: DataFrame) -> DataFrame:

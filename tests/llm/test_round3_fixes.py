@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 
 import corpus_pipeline as cp
-from cumulus.llm import packing, pii
+from cumulus.llm import minhash, packing, pii
 from cumulus.llm.byte_bpe import ByteBpe
 from cumulus.llm.queries import VOCABULARY, op10_best_fit_packing
 from tests.conftest import SF_SMALL
@@ -78,3 +78,15 @@ def test_fingerprints_of_64_bit_ids(make_docs):
     ids = [h - 2**64 if h >= 2**63 else h for h in (word_hash(f"doc{i}") for i in range(400))]
     t = {d: " ".join(f"w{i}_{j}" for j in range(i % 9 + 3)) for i, d in enumerate(ids)}
     assert rows_of(make_docs(list(t.items()))) == expected(t)
+
+
+def test_an_id_on_two_texts_is_one_document(make_docs):
+    a, b = [f"a{i}" for i in range(60)], [f"b{i}" for i in range(60)]
+    near = lambda words, i: " ".join([*words[:-1], f"x{i}"])
+    rows = [(5, " ".join(a)), (5, " ".join(b)), (5, " ".join(b)), (3, near(a, 1)), (9, near(b, 2)), (7, near(b, 3)),
+            (8, "another text of its own"), (8, "and its other one"), (10, "quite alone"),
+            (9, ""), (11, None)]
+    got = minhash.near_duplicates(make_docs(rows), 3, 85).collect()
+    assert {(r["doc_id"], r["component_id"], r["kept"]) for r in got} == {
+        (3, 3, True), (5, 3, False), (9, 3, False), (7, 3, False), (8, 8, True), (10, 10, True), (11, 11, True)}
+    assert len(got) == len(rows)
