@@ -51,6 +51,8 @@ ORDER = {k: i for i, k in enumerate(KINDS)}
 SCHEMES = ("http://", "https://", "ftp://")
 CUES = ("token", "password", "passwd", "secret", "api_key", "apikey", "access_key", "iban", "ssn", "account")
 NUMBER_CUES = frozenset(("iban", "ssn", "account"))
+LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
+UPPER = frozenset(string.ascii_uppercase)
 DIGITS = frozenset("0123456789")
 ALNUM = frozenset(string.ascii_letters + string.digits)
 LOCAL = frozenset(string.ascii_letters + string.digits + "._%+-")
@@ -71,7 +73,7 @@ IBAN_LENGTHS = {c[:2]: int(c[2:]) for c in (
 
 @lru_cache(maxsize=1)
 def automaton():
-    """Anchors with their kind; letters are given in both cases, as cues and schemes ignore case."""
+    """Anchors with their kind, for a text whose A-Z are lower-cased: cues and schemes ignore case."""
     import ahocorasick
 
     a = ahocorasick.Automaton()
@@ -82,8 +84,7 @@ def automaton():
     a.add_word("@", ("at", 1))
     for words, kind in ((SCHEMES, "scheme"), (CUES, "cue")):
         for w in words:
-            for form in {w, w.upper(), w.capitalize()}:
-                a.add_word(form, (kind, len(w)))
+            a.add_word(w, (kind, len(w)))
     a.make_automaton()
     return a
 
@@ -242,7 +243,8 @@ def find_spans(text: str) -> list[tuple[int, str, int]]:
     """(start, kind, end) of every span, by start, then kind as listed."""
     spans = []
     done = dict.fromkeys(KINDS, 0)  # where a kind's scan goes on
-    for last, (anchor, size) in automaton().iter(text):
+    # offsets stay: only A-Z change
+    for last, (anchor, size) in automaton().iter(text.lower() if text.isascii() else text.translate(LOWER)):
         first = last - size + 1
         if anchor == "digit":
             if first >= done["card"]:
@@ -270,7 +272,8 @@ def find_spans(text: str) -> list[tuple[int, str, int]]:
             if first >= done["url"] and (end := url_from(text, first, last + 1)):
                 spans.append((first, "url", end))
                 done["url"] = end
-        elif last >= done["secret"] and (first == 0 or not text[first - 1].isalnum()):
+        elif last >= done["secret"] and (
+                first == 0 or not text[first - 1].isalnum() or (text[first] in UPPER and text[first - 1] not in UPPER)):
             word = text[first:last + 1].lower()
             if found := number_after(text, last + 1, word) if word in NUMBER_CUES else secret_after(text, last + 1):
                 spans.append((found[0], "secret", found[1]))

@@ -90,3 +90,15 @@ def test_an_id_on_two_texts_is_one_document(make_docs):
     assert {(r["doc_id"], r["component_id"], r["kept"]) for r in got} == {
         (3, 3, True), (5, 3, False), (9, 3, False), (7, 3, False), (8, 8, True), (10, 10, True), (11, 11, True)}
     assert len(got) == len(rows)
+
+
+@pytest.mark.parametrize("text,want", [
+    ("apiKey=abcd1234", "secret:7:15"),
+    ("Api_Key: abcd1234", "secret:9:17"),
+    ("é accessToken=abcd1234", "secret:14:22"),
+    ("xtoken=abcd1234", ""),
+    ("HTtp://a.example.com", "url:0:20"),
+    ("İ IbAn DE89370400440532013000", "secret:7:29"),
+])
+def test_mixed_case_anchors(text, want):
+    assert pii.as_text(pii.find_spans(text)) == want
