@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cumulus.llm import byte_bpe, chat, fingerprints, langid, line_dedup, minhash, packing, pii, rabitq, token_count
+from cumulus.llm import (
+    byte_bpe, chat, fingerprints, interpolated_lm, laesa, langid, line_dedup, minhash, packing, pii, rabitq,
+    token_count, whitening)
 from cumulus.llm.common import read_table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -81,6 +83,26 @@ def op10_best_fit_packing(spark, sf_dir):
     return packing.pack_tokens(read_table(spark, sf_dir, "documents"), P.path(VOCABULARY), P.PATTERN)
 
 
+def op11_deleted_interpolation(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = lambda of: F.coalesce(F.crc32(of.cast("string").cast("binary")) % 7 == 2, F.lit(False))
+    scored = interpolated_lm.score_documents(docs, ~held(F.col("id")))
+    return scored.select("doc_id", held(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                         "base_score", "score")
+
+
+def op12_whitening(spark, sf_dir):
+    white = whitening.whiten(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return white.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op13_laesa_clusters(spark, sf_dir):
+    got = laesa.cluster(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    digest = F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256)
+    return got.select("vec_id", "cluster", "distance", F.col("cluster_inertia").cast("long").alias("cluster_inertia"),
+                      F.col("inertia").cast("long").alias("inertia"), digest.alias("centroid_sha256"))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -89,7 +111,8 @@ def pipeline(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_ann_rabitq, op2_fingerprints, op3_line_dedup, op4_pii, op5_chat_format, op6_byte_bpe, op7_token_count,
-    op8_minhash_dedup, op9_langid, op10_best_fit_packing, pipeline)}
+    op8_minhash_dedup, op9_langid, op10_best_fit_packing, op11_deleted_interpolation, op12_whitening,
+    op13_laesa_clusters, pipeline)}
 
 ORACLE = {}
 
@@ -168,3 +191,39 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(component_id, d.doc_id
   coalesce(component_id, d.doc_id) = d.doc_id AS kept
 FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)
 """
+
+
+def _kmeans_sql(rounds: int = laesa.ROUNDS, clusters: int = laesa.CLUSTERS, dim: int = laesa.DIM) -> str:
+    """Every distance of every round by brute force."""
+    sql = f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding::DOUBLE[], lambda e: floor(64 * e)::BIGINT) AS x
+  FROM embeddings WHERE len(embedding) = {dim} AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), x) - 1 AS c, x FROM v WHERE vec_id IS NOT NULL
+  QUALIFY c < {clusters})"""
+    for i in range(rounds + 1):
+        sql += f""",
+a{i} AS MATERIALIZED (
+  SELECT r, min((d, c)) AS best FROM (
+    SELECT r, c, list_sum(list_transform(list_zip(v.x, c{i}.x), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d
+    FROM v CROSS JOIN c{i}) GROUP BY r)"""
+        if i < rounds:
+            sql += f""",
+s{i} AS (
+  SELECT best[2] AS c, generate_subscripts(x, 1) AS at, unnest(x) AS e FROM v JOIN a{i} USING (r)),
+m{i} AS (
+  SELECT c, at, sum(e) AS t, count(*) AS n FROM s{i} GROUP BY c, at),
+n{i} AS (
+  SELECT c, list(((t - ((t % n) + n) % n) // n)::BIGINT ORDER BY at) AS x FROM m{i} GROUP BY c),
+c{i + 1} AS MATERIALIZED (
+  SELECT c, coalesce(n{i}.x, c{i}.x) AS x FROM c{i} LEFT JOIN n{i} USING (c))"""
+    return sql + f"""
+SELECT vec_id, best[2]::INT AS cluster, best[1] AS distance,
+  (sum(best[1]) OVER (PARTITION BY best[2]))::BIGINT AS cluster_inertia, (sum(best[1]) OVER ())::BIGINT AS inertia,
+  sha256(array_to_string(c{rounds}.x, ',')) AS centroid_sha256
+FROM v JOIN a{rounds} USING (r) JOIN c{rounds} ON c{rounds}.c = best[2]
+"""
+
+
+ORACLE["op13_laesa_clusters"] = _kmeans_sql()
