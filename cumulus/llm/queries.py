@@ -211,11 +211,11 @@ a{i} AS MATERIALIZED (
         if i < rounds:
             sql += f""",
 s{i} AS (
-  SELECT best[2] AS c, generate_subscripts(x, 1) AS at, unnest(x) AS e FROM v JOIN a{i} USING (r)),
+  SELECT best[2] AS c, generate_subscripts(x, 1) AS pos, unnest(x) AS e FROM v JOIN a{i} USING (r)),
 m{i} AS (
-  SELECT c, at, sum(e) AS t, count(*) AS n FROM s{i} GROUP BY c, at),
+  SELECT c, pos, sum(e) AS t, count(*) AS n FROM s{i} GROUP BY c, pos),
 n{i} AS (
-  SELECT c, list(((t - ((t % n) + n) % n) // n)::BIGINT ORDER BY at) AS x FROM m{i} GROUP BY c),
+  SELECT c, list(((t - ((t % n) + n) % n) // n)::BIGINT ORDER BY pos) AS x FROM m{i} GROUP BY c),
 c{i + 1} AS MATERIALIZED (
   SELECT c, coalesce(n{i}.x, c{i}.x) AS x FROM c{i} LEFT JOIN n{i} USING (c))"""
     return sql + f"""
