@@ -58,8 +58,10 @@ ALNUM = frozenset(string.ascii_letters + string.digits)
 LOCAL = frozenset(string.ascii_letters + string.digits + "._%+-")
 LABEL = frozenset(string.ascii_letters + string.digits + "-")
 PHONE = frozenset(" ().0123456789-")
-URL_END = frozenset(string.whitespace + "\"'<>|`")
-VALUE = frozenset(string.ascii_letters + string.digits + "_/+=.-")
+URL_RUN = re.compile(r"""[^ \t\n\r\x0b\x0c"'<>|`]*+""")
+HOST_END, DOT, NO_DOT = re.compile("[/?#:]"), re.compile(r"\."), re.compile(r"[^.]")
+VALUE = re.compile(r"[A-Za-z0-9_/+=.-]*+")
+DIGIT = re.compile("[0-9]")
 ASSIGN = re.compile(r"[ \t\"':=]*+")
 NAMES = re.compile(r"((?:[ \t_-]*+(?:(?:numbers?|nummer|num|nr|no|code|id|is)(?![A-Za-z])\.?|#))*+)([ \t\"'():=-]*+)", re.I | re.A)
 SSN = re.compile(r"(?!000|666|9)[0-9]{3}([ -]?)(?!00)[0-9]{2}\1(?!0000)[0-9]{4}(?![0-9])")
@@ -165,16 +167,41 @@ def phone_from(text: str, plus: int) -> int | None:
     return end if end > plus + 3 else None
 
 
-def url_from(text: str, start: int, host: int) -> int | None:
-    n, end = len(text), host
-    while end < n and text[end] not in URL_END:
-        end += 1
-    while end > host and text[end - 1] in ".,;:!?)]}":
-        end -= 1
-    name = host
-    while name < end and text[name] not in "/?#:":
-        name += 1
-    return end if "." in text[host:name].strip(".") else None
+class Runs:
+    """Ends of the unbroken runs that parsers scan: a run is walked once, however many anchors lie inside it."""
+
+    def __init__(self, text: str):
+        self.text, self.known = text, {}
+
+    def ends(self, name: str, pattern: re.Pattern, trimmed: str, start: int) -> tuple[int, int]:
+        """End of the run of ``pattern`` from ``start`` on, as it is and without ``trimmed`` at its end."""
+        first, last, end = self.known.get(name, (1, 0, 0))
+        if not first <= start < last:
+            last = pattern.match(self.text, start).end()
+            end = last
+            while end > start and self.text[end - 1] in trimmed:
+                end -= 1
+            self.known[name] = start, last, end
+        return last, max(start, end)
+
+    def next(self, name: str, pattern: re.Pattern, start: int) -> int:
+        """Start of the first match of ``pattern`` at or after ``start``; the text's length if there is none."""
+        first, at = self.known.get(name, (1, 0))
+        if not first <= start <= at:
+            found = pattern.search(self.text, start)
+            at = found.start() if found else len(self.text)
+            self.known[name] = start, at
+        return at
+
+
+def url_from(runs: Runs, host: int) -> int | None:
+    """End of the URL whose host starts at ``host``; the host's dot is not at its ends."""
+    end = runs.ends("url", URL_RUN, ".,;:!?)]}", host)[1]
+    name = min(end, runs.next("host", HOST_END, host))
+    first = runs.next("no dot", NO_DOT, host)
+    dot = runs.next("dot", DOT, first)
+    # a dot between two other characters of the host
+    return end if dot < name and runs.next("no dot", NO_DOT, dot) < name else None
 
 
 def iban_from(text: str, start: int) -> int | None:
@@ -205,8 +232,9 @@ def account_from(text: str, start: int, named: bool, parted: bool) -> int | None
     return end if named or parted or min(map(len, groups)) > 2 else None
 
 
-def number_after(text: str, cue: int, word: str) -> tuple[int, int] | None:
+def number_after(runs: Runs, cue: int, word: str) -> tuple[int, int] | None:
     """The IBAN, social security or account number after the cue ``word`` that ends at ``cue``."""
+    text = runs.text
     lead = NAMES.match(text, cue)
     i, parted = lead.end(), any(c in lead[2] for c in ":=")
     if i == cue:
@@ -218,30 +246,26 @@ def number_after(text: str, cue: int, word: str) -> tuple[int, int] | None:
         end = iban_from(text, i)
         if word == "account" and not end:
             end = account_from(text, i, bool(lead[1]), parted)
-    return (i, end) if end else value_at(text, i, parted)
+    return (i, end) if end else value_at(runs, i, parted)
 
 
-def secret_after(text: str, cue: int) -> tuple[int, int] | None:
+def secret_after(runs: Runs, cue: int) -> tuple[int, int] | None:
     """The value assigned after a cue that ends at ``cue``."""
-    lead = ASSIGN.match(text, cue)
-    return value_at(text, lead.end(), any(c in lead[0] for c in ":="))
+    lead = ASSIGN.match(runs.text, cue)
+    return value_at(runs, lead.end(), any(c in lead[0] for c in ":="))
 
 
-def value_at(text: str, i: int, assigned: bool) -> tuple[int, int] | None:
+def value_at(runs: Runs, i: int, assigned: bool) -> tuple[int, int] | None:
     """The unbroken value that starts at ``i``."""
-    n, end = len(text), i
-    while end < n and text[end] in VALUE:
-        end += 1
-    while end > i and text[end - 1] in ".-=":
-        end -= 1
-    if not assigned or end - i < 8 or not any(c in DIGITS for c in text[i:end]):
+    if not assigned:
         return None
-    return i, end
+    end = runs.ends("value", VALUE, ".-=", i)[1]
+    return (i, end) if end - i >= 8 and runs.next("digit", DIGIT, i) < end else None
 
 
 def find_spans(text: str) -> list[tuple[int, str, int]]:
     """(start, kind, end) of every span, by start, then kind as listed."""
-    spans = []
+    spans, runs = [], Runs(text)
     done = dict.fromkeys(KINDS, 0)  # where a kind's scan goes on
     # offsets stay: only A-Z change
     for last, (anchor, size) in automaton().iter(text.lower() if text.isascii() else text.translate(LOWER)):
@@ -269,13 +293,13 @@ def find_spans(text: str) -> list[tuple[int, str, int]]:
                 if 10 <= sum(c in DIGITS for c in text[first:end]) <= 15:
                     spans.append((first, "phone", end))
         elif anchor == "scheme":
-            if first >= done["url"] and (end := url_from(text, first, last + 1)):
+            if first >= done["url"] and (end := url_from(runs, last + 1)):
                 spans.append((first, "url", end))
                 done["url"] = end
         elif last >= done["secret"] and (
                 first == 0 or not text[first - 1].isalnum() or (text[first] in UPPER and text[first - 1] not in UPPER)):
             word = text[first:last + 1].lower()
-            if found := number_after(text, last + 1, word) if word in NUMBER_CUES else secret_after(text, last + 1):
+            if found := number_after(runs, last + 1, word) if word in NUMBER_CUES else secret_after(runs, last + 1):
                 spans.append((found[0], "secret", found[1]))
                 done["secret"] = found[1]
     spans.sort(key=lambda s: (s[0], ORDER[s[1]], s[2]))

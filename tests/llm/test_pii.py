@@ -1,6 +1,7 @@
 """Personal data: the base kinds against their patterns, added kinds, redaction."""
 
 import re
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -96,3 +97,21 @@ def test_nulls_repeats_empty_tables_and_clashing_columns(spark):
     assert pii.find_personal_data(df.limit(0)).count() == 0
     long = "x" * 300_000 + " a@b.co " + "1" * 5000 + ".1.1.1"
     assert of_base(long) == base(long[:300_007]) + []
+
+
+@pytest.mark.parametrize("piece", ["http://", "http://a", "https://..", "password=", "ssn-", "ssn=", "iban ", "account no ", "secret: '",
+                                   "a@", "+1(", "1.", "1-", "token=x.", "account#", "http://x.", "@a."])
+def test_hostile_texts_take_time_in_proportion(piece):
+    long = piece * (800_000 // len(piece))
+    start = time.process_time()
+    pii.find_spans(long)
+    assert time.process_time() - start < 6  # some 0.5 s; with a scan a run for every anchor it would be hours
+
+
+def test_runs_with_spans_at_their_ends():
+    long = "http://" * 1000 + "a.b"
+    assert pii.as_text(pii.find_spans(long)) == f"url:{len(long) - 10}:{len(long)}"
+    long = "password=" * 1000 + "hunter22"
+    assert pii.as_text(pii.find_spans(long)) == f"secret:9:{len(long)}"
+    assert pii.find_spans("password=" * 1000 + "hunter") == []
+    assert pii.as_text(pii.find_spans("http://...a.../x http://.a.b./x.")) == "url:17:31"
