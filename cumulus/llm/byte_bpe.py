@@ -22,15 +22,20 @@ import base64
 import hashlib
 import re
 from functools import lru_cache
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cumulus.llm.common import carried
+from cumulus.llm.shingles import slices
 
 CACHE_ENTRIES = 1 << 18
 STRETCHES = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
+# letters (U+00C0 to U+024F are letters but for two signs), then marks that never start a contraction:
+# the pattern cuts such a stretch into these two
+PLAIN = re.compile(r"( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?*$&()]*)")
 OTHER_SPACE = re.compile(r"[^\S \n]")
 
 
@@ -128,20 +133,26 @@ class ByteBpe:
             decoded.update(b"".join(raw))
         return n, ids.hexdigest(), decoded.hexdigest()
 
-
-    def count(self, text: str) -> int:
-        """Number of tokens."""
-        total, get = 0, self.counts.get
-        for s in [text] if OTHER_SPACE.search(text) else STRETCHES.findall(text):
-            n = get(s)
-            if n is None:
-                n = len(self.encode(s))
-                if len(s) < 64:
-                    if len(self.counts) >= CACHE_ENTRIES:
-                        self.counts.clear()
-                    self.counts[s] = n
-            total += n
-        return total
+    def counts_of(self, texts: list[str]) -> list[int]:
+        """Number of tokens of each text: every distinct stretch of all texts is counted once."""
+        parts = [[t] if OTHER_SPACE.search(t) else STRETCHES.findall(t) for t in texts]
+        seen = set().union(*parts)
+        new = list(seen.difference(self.counts))
+        plain = [PLAIN.fullmatch(s) for s in new]
+        pieces = [self.split(s) if m is None else m.groups() if m[2] else (s,) for s, m in zip(new, plain, strict=True)]
+        size = dict.fromkeys(chain.from_iterable(pieces), 1)
+        unknown = [p for p in size if p.encode() not in self.rank]  # no tokens themselves
+        ids = self.model.encode([p.encode().decode("latin-1").translate(self.chars) for p in unknown], num_threads=1)
+        size.update(zip(unknown, map(len, ids), strict=True))
+        self.counts.update(zip(new, [sum(map(size.__getitem__, p)) for p in pieces], strict=True))
+        out = [sum(map(self.counts.__getitem__, p)) for p in parts]
+        if len(self.counts) > CACHE_ENTRIES:  # short stretches of the latest texts stay
+            self.counts = {s: self.counts[s] for s in seen if len(s) < 64}
+        else:
+            for s in new:
+                if len(s) >= 64:
+                    del self.counts[s]
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -183,9 +194,10 @@ def count_tokens(docs: DataFrame, path: str, pattern: str, text_col="text") -> D
 
     def run(batches):
         bpe = coder(path, pattern)
-        for b in batches:
-            n = [bpe.count(t.as_py() or "") for t in b.column("text")]
-            yield pa.RecordBatch.from_arrays([b.column("doc"), pa.array(n, pa.int64())], ["doc", "n_tokens"])
+        for whole in batches:
+            for b in slices(whole, "text"):  # bounds the distinct stretches held at once
+                n = bpe.counts_of([t or "" for t in b.column("text").to_pylist()])
+                yield pa.RecordBatch.from_arrays([b.column("doc"), pa.array(n, pa.int64())], ["doc", "n_tokens"])
 
     got = rows.mapInArrow(run, f"doc {kind}, n_tokens long")
     return got.select(*[F.col("doc")[c].alias(c) for c in keep], "n_tokens")

@@ -9,8 +9,8 @@ fixed cost a sequence plus a cost that grows with the square of its length,
 as attention does).  At the end each bin is cut down to the smallest permitted
 length that holds its contents.
 
-A shard's memory is bounded by SHARD_ROWS rows of three numbers, whatever the
-input; what a shard's last bins waste is a fixed number of sequences a shard.
+Shards are counted by pieces, so a shard's memory is bounded by about SHARD_ROWS
+rows of three numbers, whatever the number and length of the documents; what a shard's last bins waste is a fixed number of sequences a shard.
 
 Lengths are tokens of a byte-level vocabulary in ``pack_tokens``, any given
 column or the number of words in ``pack_documents``.
@@ -90,10 +90,11 @@ def pack_documents(docs: DataFrame, id_col="doc_id", length: Column | None = Non
     """One row per piece: id, piece (from 0), start and length (in the unit of ``length``), bin_id,
     bin_offset, capacity.  ``length`` defaults to the number of words of the whole text."""
     top = max(capacities)
-    n = docs.count()
-    shards = max(1, -(-n // shard_rows))
     sized = docs.select(F.col(id_col).cast("long").alias("id"),
                         (word_count(F.col(text_col)) if length is None else length.cast("long")).alias("n"))
+    # a document is as many rows as pieces
+    n = sized.agg(F.sum(F.greatest(F.lit(1), F.ceil(F.col("n") / top)))).first()[0] or 0
+    shards = max(1, -(-n // shard_rows))
     pieces = sized.withColumn("piece", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.col("n") / top) - 1).cast("int"))))
     pieces = pieces.select("id", "piece", (F.col("piece") * F.lit(top).cast("long")).alias("start"),
                            F.least(F.lit(top).cast("long"), F.col("n") - F.col("piece") * F.lit(top).cast("long")).alias("length"))
