@@ -69,3 +69,38 @@ def running_totals(df: DataFrame, group: Sequence[str], order: Sequence[str], bu
     return (j.withColumn(rn_col, F.col("_rt_pn") + F.col("_rt_rn_in"))
              .withColumn(cum_col, F.col("_rt_ps") + F.col("_rt_cum_in"))
              .drop("_rt_gk", "_rt_bk", "_rt_v", "_rt_pn", "_rt_ps", "_rt_rn_in", "_rt_cum_in", "_rt_nb", "_rt_sb", "_rt_first"))
+
+
+def running_max(df: DataFrame, group: Sequence[str], order: Sequence[str], value: str, levels: Sequence[Column],
+                name: str = "_max_before") -> DataFrame:
+    """Add ``name``: the largest ``value`` of all earlier rows in ``order`` within ``group`` (NULL if there is none).
+
+    ``levels``: buckets of the order from fine to coarse, each constant within
+    the next and never decreasing in the order.  A window runs inside a
+    finest bucket only; the maxima of buckets are carried over windows inside
+    the next coarser bucket, level by level, and joined back down: no task sees
+    more rows than a bucket has, or buckets than a coarser one has.
+    """
+    group, names = list(group), [f"_l{i}" for i in range(len(levels))]
+    # one struct key: a NULL group or bucket still matches itself in the joins
+    keys = [F.struct(*[F.col(g) for g in group], *[F.col(n) for n in names[i:]], F.lit(0)).alias(f"_k{i}")
+            for i in range(len(names) + 1)]
+    rows = df.select("*", *[c.alias(n) for c, n in zip(levels, names, strict=True)]).select("*", *keys)
+    ks = [f"_k{i}" for i in range(len(keys))]
+
+    def before(part: DataFrame, key: str, by: Sequence[str], v: str, out: str) -> DataFrame:
+        w = Window.partitionBy(key).orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+        return part.withColumn(out, F.max(v).over(w))
+
+    # per level the maximum of each bucket, then the maximum of the buckets before it
+    tops = rows.select(*ks, *names, F.col(value).alias("_v0")).groupBy("_k0", *ks[1:], *names).agg(F.max("_v0").alias("_v"))
+    carried = []
+    for i in range(len(names)):
+        here = before(tops, ks[i + 1], [names[i]], "_v", "_b")
+        carried.append(here.select(ks[i], F.col("_b").alias(f"_b{i}")))
+        tops = tops.groupBy(*ks[i + 1:], *names[i + 1:]).agg(F.max("_v").alias("_v"))
+    out = before(rows, "_k0", order, value, "_b")
+    for i, c in enumerate(carried):
+        out = out.join(c, ks[i])
+    return out.withColumn(name, F.greatest("_b", *[f"_b{i}" for i in range(len(carried))])).drop(
+        *ks, *names, "_b", *[f"_b{i}" for i in range(len(carried))])

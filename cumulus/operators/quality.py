@@ -1,5 +1,5 @@
 """Pipeline checks and multi-grain reports: freshness, NULL counts,
-outliers, roll-up reports, unit-level vs aggregate metrics."""
+outliers, late rows, roll-up reports, unit-level vs aggregate metrics."""
 
 from __future__ import annotations
 
@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cumulus.operators.ordered import running_max
+
 
 def freshness(df: DataFrame, by: Sequence[str], time_col: str, stale_before) -> DataFrame:
     """Latest timestamp and row count per group, flagged stale when older
@@ -59,3 +61,29 @@ def day_over_day(daily: DataFrame, date_col: str, measure: str) -> DataFrame:
     j = daily.join(prev, date_col, "left")
     return j.withColumn("growth", F.try_divide((F.col(measure) - F.col(f"prev_{measure}")).cast("double"),
                                                 F.col(f"prev_{measure}").cast("double")))
+
+
+def lateness(df: DataFrame, arrival: str, time_col: str, levels: Sequence[Column], group: Sequence[str] = ()) -> DataFrame:
+    """Add ``late_seconds``: how far ``time_col`` lies behind the largest event time that arrived before, 0 if it does not.
+
+    ``levels``: buckets of the arrival order, see ``ordered.running_max``.  Rows without an event time have NULL.
+    """
+    seen = running_max(df, group, [arrival], time_col, levels)
+    gap = F.greatest(_micros("_max_before") - _micros(time_col), F.lit(0)) / F.lit(1e6)
+    late = F.when(F.col(time_col).isNotNull(), F.coalesce(gap, F.lit(0.0)))
+    return seen.withColumn("late_seconds", late).drop("_max_before")
+
+
+def _micros(time_col: str) -> Column:
+    """Microseconds on the clock of the column itself, whatever the session's time zone."""
+    c = F.col(time_col)
+    seconds = F.datediff(c, F.lit("1970-01-01").cast("date")).cast("long") * 86400 + F.hour(c) * 3600 + F.minute(c) * 60
+    return seconds * 1_000_000 + (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("long")
+
+
+def late_report(late: DataFrame, by: Sequence[Column], allowed_seconds: float) -> DataFrame:
+    """Per group: n_rows, n_late (behind at all), n_dropped (a watermark of ``allowed_seconds`` would drop them), max_late_seconds."""
+    return late.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("late_seconds") > 0).alias("n_late"),
+        F.count_if(F.col("late_seconds") > allowed_seconds).alias("n_dropped"),
+        F.max("late_seconds").alias("max_late_seconds"))

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from cumulus.functions.columns import bit_string
 from cumulus.operators import arrays as A
 from cumulus.operators import datelist as D
-from cumulus.plans.common import DS, PREV_DS, dates_text, ints_text
+from cumulus.operators import distinct_counts as DC
+from cumulus.plans.common import DS, PREV_DS, dates_text, ints_text, stored
 from cumulus.plans.role_sql import with_roles
 from cumulus.sources import roles
 
@@ -138,7 +139,15 @@ def q_host_reduced_step(spark, d):
     return _flat_host(A.host_reduced_step(A.host_reduced_month(ev, PREV_DS), ev, DS))
 
 
+def q_host_unique_visitors(spark, d):
+    """Visitors of a host and month from the daily states alone, each day stored as it is loaded."""
+    days = DC.distinct_state(roles.web_events(spark, d), ["host", "event_date"], "user_id")
+    state = stored(days, "visitors").withColumn("month", F.trunc("event_date", "MM"))
+    return DC.count_distinct(state, ["host", "month"], "unique_visitors")
+
+
 QUERIES = {
+    "host_unique_visitors": q_host_unique_visitors,
     "active_dates_backfill": q_active_dates_backfill,
     "active_dates_step": q_active_dates_step,
     "datelist_int": q_datelist_int,
@@ -270,3 +279,7 @@ SELECT CAST(30 AS BIGINT) AS array_length, COUNT(*) AS n_rows FROM users""",
     "host_reduced": _HOST_SQL,
     "host_reduced_step": _HOST_SQL,
 }
+
+ORACLE["host_unique_visitors"] = with_roles("web_events") + """
+SELECT host, CAST(date_trunc('month', event_date) AS DATE) AS month, COUNT(DISTINCT user_id) AS unique_visitors
+FROM web_events GROUP BY 1, 2"""

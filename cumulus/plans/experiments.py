@@ -90,6 +90,18 @@ def q_dq_outliers(spark, d):
     return r.withColumn("z", F.round("z", 6))
 
 
+LATE_LEVELS = (1 << 12, 1 << 20)  # buckets of the arrival order: 4,096 rows, 256 of those
+ALLOWED_LATE = 6 * 3600.0
+
+
+def q_dq_late(spark, d):
+    """Rows behind the event times that arrived before them, by day and type; events arrive by id."""
+    ev = table(spark, d, "events").select("event_id", "ts", "event_type")
+    levels = [F.floor(F.col("event_id") / n) for n in LATE_LEVELS]
+    return Q.late_report(Q.lateness(ev, "event_id", "ts", levels), [F.to_date("ts").alias("day"), F.col("event_type")],
+                         ALLOWED_LATE)
+
+
 def q_unit_profit(spark, d):
     li = table(spark, d, "lineitem")
     cents = F.round(F.col("l_extendedprice") * (F.lit(1) - F.col("l_discount")) * 100).cast("bigint")
@@ -115,6 +127,7 @@ QUERIES = {
     "dq_freshness": q_dq_freshness,
     "dq_nulls": q_dq_nulls,
     "dq_outliers": q_dq_outliers,
+    "dq_late": q_dq_late,
     "unit_profit": q_unit_profit,
     "daily_growth": q_daily_growth,
 }
@@ -191,6 +204,12 @@ SELECT COUNT(*) AS n_rows, COUNT(*) FILTER (WHERE ts IS NULL) AS null_ts, COUNT(
 WITH st AS (SELECT event_type, AVG(value) AS mu, stddev_samp(value) AS sd FROM events GROUP BY 1)
 SELECT e.event_id, e.event_type, e.value, round((e.value - st.mu) / st.sd, 6) AS z
 FROM events e JOIN st ON e.event_type = st.event_type WHERE abs((e.value - st.mu) / st.sd) > 3.0""",
+    "dq_late": """
+WITH o AS (SELECT ts, event_type, max(ts) OVER (ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM events),
+g AS (SELECT CAST(ts AS DATE) AS day, event_type,
+             CASE WHEN ts IS NOT NULL THEN greatest(coalesce((epoch_us(seen) - epoch_us(ts)) / 1e6, 0.0), 0.0) END AS late FROM o)
+SELECT day, event_type, COUNT(*) AS n_rows, COUNT(*) FILTER (WHERE late > 0) AS n_late,
+       COUNT(*) FILTER (WHERE late > 21600) AS n_dropped, MAX(late) AS max_late_seconds FROM g GROUP BY 1, 2""",
     "unit_profit": """
 SELECT l_orderkey, CAST(SUM(CAST(round(l_extendedprice * (1 - l_discount) * 100) AS BIGINT)) AS BIGINT) AS revenue_cents,
        COUNT(*) AS n_lines FROM lineitem GROUP BY 1""",

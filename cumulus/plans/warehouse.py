@@ -5,40 +5,72 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+import uuid
+
 from cumulus.operators import bi as BI
+from cumulus.operators import layout as LY
+from cumulus.operators import stored as ST
 from cumulus.operators import warehouse as WH
+from cumulus.plans.common import scratch_table, stored
 from cumulus.plans.role_sql import with_roles
 from cumulus.sources import roles
+from cumulus.session import shared_path
 from cumulus.sources.tables import table
 
 MEDAL_CLASS = "ECONOMY"
 
 
-def _md(spark, d):
+def _md(details):
     """Match details at (match, player) grain."""
-    return roles.match_details(spark, d).groupBy("match_id", "player_gamertag").agg(
+    return details.groupBy("match_id", "player_gamertag").agg(
         F.sum("player_total_kills").alias("kills"), F.max("did_win").alias("did_win"))
 
 
-def _mmp(spark, d):
+def _mmp(won, medals):
     """Medals of a (match, player), and their difficulty by the medal dimension."""
-    medals = roles.medals(spark, d).select("medal_id", "difficulty")
-    return (roles.medals_matches_players(spark, d).join(medals, "medal_id", "left")
+    medals = medals.select("medal_id", "difficulty")
+    return (won.join(medals, "medal_id", "left")
             .groupBy("match_id", "player_gamertag")
             .agg(F.sum("count").alias("medals"), F.sum(F.col("count") * F.col("difficulty")).alias("medal_difficulty")))
 
 
-def q_star_join(spark, d):
-    maps = roles.maps(spark, d).select("mapid", F.col("name").alias("map_name"))
-    m = roles.matches(spark, d).select("match_id", "mapid", "playlist_id")
-    j = _md(spark, d).join(m, "match_id").join(_mmp(spark, d), ["match_id", "player_gamertag"], "left")
+def _star(details, matches, won, medals, maps):
+    maps = maps.select("mapid", F.col("name").alias("map_name"))
+    m = matches.select("match_id", "mapid", "playlist_id")
+    j = _md(details).join(m, "match_id").join(_mmp(won, medals), ["match_id", "player_gamertag"], "left")
     j = j.join(maps, "mapid", "left")
     return j.select("match_id", "player_gamertag", "kills", "did_win", "playlist_id", "map_name",
                     F.coalesce("medals", F.lit(0).cast("bigint")).alias("medals"), "medal_difficulty")
 
 
+def q_star_join(spark, d):
+    return _star(roles.match_details(spark, d), roles.matches(spark, d), roles.medals_matches_players(spark, d),
+                 roles.medals(spark, d), roles.maps(spark, d))
+
+
+STAR_BUCKETS = 16
+# tables that are bucketed by one of two join keys are joined in place
+SUBSET_OF_KEYS = ("spark.sql.requireAllClusterKeysForCoPartition", "false")
+
+
+def bucketed_star(spark, d, names):
+    """Match details, matches and medals won as tables bucketed by match, and their star join: all that is
+    joined or grouped by match is in place already."""
+    frames = (roles.match_details(spark, d), roles.matches(spark, d), roles.medals_matches_players(spark, d))
+    for df, name in zip(frames, names, strict=True):
+        WH.bucketed_save(df.repartition(STAR_BUCKETS, "match_id"), name, "match_id", STAR_BUCKETS)
+    details, matches, won = map(spark.table, names)
+    return _star(details, matches, won, roles.medals(spark, d), roles.maps(spark, d))
+
+
+def q_star_join_bucketed(spark, d):
+    with scratch_table(spark, "details") as a, scratch_table(spark, "matches") as b, scratch_table(spark, "won") as c:
+        with ST.setting(spark, *SUBSET_OF_KEYS):
+            return stored(bucketed_star(spark, d, (a, b, c)), "star")
+
+
 def q_avg_kills(spark, d):
-    return _md(spark, d).groupBy("player_gamertag").agg(F.round(F.avg("kills"), 6).alias("avg_kills"))
+    return _md(roles.match_details(spark, d)).groupBy("player_gamertag").agg(F.round(F.avg("kills"), 6).alias("avg_kills"))
 
 
 def q_most_played_playlist(spark, d):
@@ -109,6 +141,24 @@ def q_pruned_join(spark, d):
         F.count(F.lit(1)).alias("n_lines"), F.sum(cents).alias("revenue_cents"))
 
 
+def month_pruned_join(spark, d, path):
+    """Lines stored by the month of their order; a date range of the orders prunes months, by the range
+    translated to the derived column and, when it runs, by the months of the orders that are left."""
+    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_extendedprice", "l_discount")
+    ST.write_by_month(li.join(o, "l_orderkey"), path, "o_orderdate", "order_month")
+    header = o.withColumn("order_month", ST.month_of("o_orderdate")).where(
+        ST.between_days("o_orderdate", "order_month", "1998-01-01", "1998-12-31"))
+    return spark.read.parquet(path).drop("o_orderdate").join(header, ["l_orderkey", "order_month"])
+
+
+def q_pruned_join_months(spark, d):
+    j = month_pruned_join(spark, d, shared_path(spark, f"lines-{uuid.uuid4().hex}"))
+    cents = F.round(F.col("l_extendedprice") * (F.lit(1) - F.col("l_discount")) * 100).cast("bigint")
+    return j.groupBy(F.col("order_month").alias("month")).agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum(cents).alias("revenue_cents"))
+
+
 def q_broadcast_join(spark, d):
     li = table(spark, d, "lineitem").select("l_partkey", "l_quantity", "l_shipdate")
     p = table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
@@ -141,12 +191,12 @@ def q_bi_top_sum_entity(spark, d):
 
 
 def q_bi_monthly(spark, d):
-    j = _md(spark, d).join(roles.matches(spark, d).select("match_id", "completion_date"), "match_id")
+    j = _md(roles.match_details(spark, d)).join(roles.matches(spark, d).select("match_id", "completion_date"), "match_id")
     return BI.monthly(j, "completion_date", "kills", "total_kills")
 
 
 def q_bi_win_rate(spark, d):
-    r = BI.avg_over_top(_md(spark, d), "player_gamertag", "did_win", "did_win", 20)
+    r = BI.avg_over_top(_md(roles.match_details(spark, d)), "player_gamertag", "did_win", "did_win", 20)
     return r.withColumn("avg_did_win", F.round("avg_did_win", 6))
 
 
@@ -160,7 +210,34 @@ def q_layout_global_sort(spark, d):
     return WH.global_sort(ev, ["user_id", "ts"])
 
 
+ZONE_FILES = 16
+ZONE_RANGES = {"user_id": (20, 29), "ts": ("2024-01-10", "2024-01-12")}
+
+
+def q_zone_map_read(spark, d):
+    """Events of a few users and days, from a layout sorted by user and from one dealt at random: equal rows,
+    but only the sorted one has files that need not be opened."""
+    ev = table(spark, d, "events").select("event_id", "user_id", "ts", "event_type")
+    layouts = {"sorted": ev.repartitionByRange(ZONE_FILES, "user_id", "ts").sortWithinPartitions("user_id", "ts"),
+               "dealt": ev.repartition(ZONE_FILES, F.xxhash64("event_id"))}
+    ranges = {"user_id": ZONE_RANGES["user_id"],
+              "ts": tuple(F.lit(t).cast("timestamp_ntz") for t in ZONE_RANGES["ts"])}
+    out = None
+    for name, df in layouts.items():
+        path = shared_path(spark, f"events-{name}-{uuid.uuid4().hex}")
+        df.write.parquet(path)
+        zones = stored(LY.zone_map(spark, path, list(ranges)), "zones")
+        opened, n_files = len(LY.matching_files(zones, ranges)), zones.count()
+        rows = LY.read_matching(spark, path, zones, ranges).select(
+            F.lit(name).alias("layout"), F.lit(opened < n_files).alias("skips_files"), "event_id", "user_id", "ts", "event_type")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 QUERIES = {
+    "star_join_bucketed": q_star_join_bucketed,
+    "pruned_join_months": q_pruned_join_months,
+    "zone_map_read": q_zone_map_read,
     "layout_local_sort": q_layout_local_sort,
     "layout_global_sort": q_layout_global_sort,
     "star_join": q_star_join,
@@ -260,3 +337,11 @@ FROM md JOIN matches m ON md.match_id = m.match_id GROUP BY 1""",
 SELECT player_gamertag, CAST(SUM(did_win) AS BIGINT) AS total_did_win, round(AVG(did_win), 6) AS avg_did_win
 FROM md GROUP BY 1 ORDER BY total_did_win DESC, player_gamertag ASC LIMIT 20""",
 }
+
+# the stored forms give the rows of the plain ones
+ORACLE["star_join_bucketed"] = ORACLE["star_join"]
+ORACLE["pruned_join_months"] = ORACLE["pruned_join"]
+ORACLE["zone_map_read"] = """
+SELECT layout, layout = 'sorted' AS skips_files, event_id, user_id, ts, event_type
+FROM events CROSS JOIN (VALUES ('sorted'), ('dealt')) l(layout)
+WHERE user_id BETWEEN 20 AND 29 AND ts BETWEEN TIMESTAMP '2024-01-10' AND TIMESTAMP '2024-01-12'"""
