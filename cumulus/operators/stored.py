@@ -9,6 +9,7 @@ partition that ends up without rows is dropped after the write; if the job is
 lost in between, running the same change again completes it.
 
 * ``upsert_partitions``   INSERT ... ON CONFLICT (keys) DO UPDATE
+* ``replace_partitions``  a day, or any other set of partitions, loaded anew
 * ``create_history`` / ``merge_history`` / ``history_rows``   SCD type 2 whose
   open rows are one partition and whose closed rows are partitioned by the
   period that closed them
@@ -117,6 +118,23 @@ def upsert_partitions(table: str, updates: DataFrame, keys: Sequence[str], keys_
     return sorted(touched, key=str)
 
 
+def replace_partitions(table: str, rows: DataFrame, scope: Column) -> None:
+    """``rows`` become the content of all partitions in ``scope`` (a condition on the partition columns):
+    partitions that get rows are overwritten, the others of the scope are dropped.
+
+    ``rows`` are computed once; how many went to each partition that was there is counted as they are written.
+    """
+    spark, parts = rows.sparkSession, partition_columns(rows.sparkSession, table)
+    target = spark.table(table)
+    old = [tuple(r) for r in target.where(scope).select(*parts).distinct().collect()]
+    made = Observation()
+    rows = rows.select(*target.columns).observe(
+        made, F.count(F.lit(1)).alias("all"), *[F.count_if(in_partitions(parts, [p])).alias(f"p{i}") for i, p in enumerate(old)])
+    with dynamic_overwrite(spark):
+        rows.write.insertInto(table, overwrite=True)
+    drop_partitions(spark, table, parts, [p for i, p in enumerate(old) if not made.get[f"p{i}"]])
+
+
 # --- slowly changing dimensions with open and closed partitions ---------------
 
 def create_history(spark: SparkSession, table: str, snapshot: DataFrame, key: str, attrs: Sequence[str], period,

@@ -78,37 +78,48 @@ def _bucket(order_col: str) -> Column:
 
 
 def best_stretch(df: DataFrame, group: str, order_col: str, flag: str, n: int = 90,
-                 bucket: Column | None = None) -> DataFrame:
+                 bucket: Column | None = None, coarser: Sequence[Column] = ()) -> DataFrame:
     """Per group, the largest sum of ``flag`` (not negative, NULL counts 0) over
     any ``n`` consecutive rows.
 
-    Rows are windowed inside (group, bucket); ``bucket`` must not decrease as
-    ``order_col`` grows (default ``order_col div BUCKET_IDS``).  A bucket keeps
-    its best sum and its first and last n - 1 rows, over which the stretches
-    that cross buckets are summed by position.  One task sees the rows of one
-    bucket, then 2 (n - 1) rows a bucket: wider buckets shift work to the first.
-
-    Plan: one Exchange of the rows on (group, bucket), one of the buckets on group.
+    A stretch of rows is summed up as its length, its best sum and its first
+    and last n - 1 rows.  Rows are summed up inside (group, bucket), buckets
+    inside the next of ``coarser`` (each level constant within the one
+    before), the last level inside the group: stretches that cross an edge are
+    summed over the kept rows by position.  Buckets must not decrease as
+    ``order_col`` grows; the default is ``order_col div BUCKET_IDS``.  One task
+    sees the rows of a bucket, then 2 (n - 1) rows for each bucket of the next
+    level.  One Exchange a level.
     """
-    b = bucket if bucket is not None else _bucket(order_col)
-    rows = df.select(F.col(group), b.alias("_b"), F.col(order_col).alias("_o"),
+    levels = [bucket if bucket is not None else _bucket(order_col), *coarser]
+    names = [f"_b{i}" for i in range(len(levels))]
+    edge = max(n - 1, 1)
+    rows = df.select(F.col(group), *[c.alias(b) for c, b in zip(levels, names, strict=True)], F.col(order_col).alias("_o"),
                      F.coalesce(F.col(flag).cast("bigint"), F.lit(0)).alias("_f"))
-    inner = Window.partitionBy(group, "_b")
-    rows = rows.select(group, "_b", "_f", F.row_number().over(inner.orderBy("_o")).alias("_rn"),
+    inner = Window.partitionBy(group, *names)
+    rows = rows.select(group, *names, "_f", F.row_number().over(inner.orderBy("_o")).cast("bigint").alias("_pos"),
                        F.sum("_f").over(inner.orderBy("_o").rowsBetween(1 - n, 0)).alias("_sum"),
                        F.count(F.lit(1)).over(inner).alias("_n"))
-    edge = max(n - 1, 1)
-    at_edge = (F.col("_rn") <= edge) | (F.col("_rn") > F.col("_n") - edge)
-    per = rows.groupBy(group, "_b").agg(
+    part = _stretch(rows, [group, *names], edge)
+    for i in range(len(names)):
+        keys, by = [group, *names[i + 1:]], names[i]
+        w = Window.partitionBy(*keys).orderBy(by)
+        before = F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        total = F.sum("_n").over(Window.partitionBy(*keys))
+        placed = part.select(*keys, "_best", "_edge", before.alias("_before"), total.alias("_n"))
+        edges = placed.select(*keys, "_best", "_before", "_n", F.explode("_edge").alias("_e"))
+        edges = edges.select(*keys, "_best", "_n", (F.col("_before") + F.col("_e._pos")).alias("_pos"), F.col("_e._f").alias("_f"))
+        across = F.sum("_f").over(Window.partitionBy(*keys).orderBy("_pos").rangeBetween(1 - n, 0))
+        part = _stretch(edges.withColumn("_sum", F.greatest("_best", across)), keys, edge)
+    return part.select(group, F.col("_best").alias(f"max_in_{n}"))
+
+
+def _stretch(rows: DataFrame, keys: Sequence[str], edge: int) -> DataFrame:
+    """Rows (position, flag, best sum so far) of each stretch of _n rows as one: its best sum and the rows at its edges."""
+    at_edge = (F.col("_pos") <= edge) | (F.col("_pos") > F.col("_n") - edge)
+    return rows.groupBy(*keys).agg(
         F.max("_sum").alias("_best"), F.max("_n").alias("_n"),
-        F.sort_array(F.collect_list(F.when(at_edge, F.struct("_rn", "_f")))).alias("_edge"))
-    earlier = F.sum("_n").over(Window.partitionBy(group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1))
-    edges = per.withColumn("_before", F.coalesce(earlier, F.lit(0))).select(
-        group, "_best", "_before", F.explode("_edge").alias("_e"))
-    edges = edges.select(group, "_best", (F.col("_before") + F.col("_e._rn")).alias("_pos"), F.col("_e._f").alias("_f"))
-    across = F.sum("_f").over(Window.partitionBy(group).orderBy("_pos").rangeBetween(1 - n, 0))
-    return (edges.withColumn("_across", across).groupBy(group)
-                 .agg(F.greatest(F.max("_best"), F.max("_across")).alias(f"max_in_{n}")))
+        F.sort_array(F.collect_list(F.when(at_edge, F.struct("_pos", "_f")))).alias("_edge"))
 
 
 def longest_streak(df: DataFrame, group: str, order_cols: Sequence[str], cond: Column,

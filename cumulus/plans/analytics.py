@@ -11,7 +11,7 @@ from cumulus.operators import dedupe as DD
 from cumulus.operators import funnel as FN
 from cumulus.operators import growth as GR
 from cumulus.operators import windows as W
-from cumulus.plans.common import DS, PREV_DS, dates_text
+from cumulus.plans.common import DS, PREV_DS, dates_text, scratch_table, stored
 from cumulus.plans.role_sql import with_roles
 from cumulus.sources import roles
 
@@ -75,6 +75,19 @@ def q_hits_slice(spark, d):
     return _hits(spark, d).filter(F.col("aggregation_level") == "device_type")
 
 
+def q_hits_cube(spark, d):
+    """``hits_slice`` from a stored cube: the day is loaded into a cube of the days before, one level is read back."""
+    dims = ["os_type", "device_type", "browser_type"]
+    per_device = roles.web_events(spark, d).groupBy("event_date", "device_id").agg(F.count(F.lit(1)).alias("number_of_hits"))
+    facts = CB.fill_unknown(per_device.join(roles.devices(spark, d), "device_id").select(*dims, "event_date", "number_of_hits"), dims)
+    rows = lambda df: CB.cube_rows(df, HIT_SETS, ["number_of_hits"], "event_date", HIT_LABELS)
+    today = F.col("event_date").eqNullSafe(F.lit(DS).cast("date"))
+    with scratch_table(spark, "hits_cube") as name:
+        CB.create_cube(rows(facts.where(~today)), name)
+        CB.load_cube_day(name, rows(facts.where(today)), DS)
+        return stored(CB.cube_slice(spark.table(name), "device_type", dims, ["number_of_hits"]), "hits")
+
+
 def q_referrer_bucket(spark, d):
     ev = roles.web_events(spark, d)
     return ev.select("event_id", "referrer", W.referrer_channel("referrer").alias("referrer_channel"))
@@ -154,6 +167,7 @@ QUERIES = {
     "funnel_user": q_funnel_user,
     "hits_grouping_sets": q_hits_grouping_sets,
     "hits_slice": q_hits_slice,
+    "hits_cube": q_hits_cube,
     "referrer_bucket": q_referrer_bucket,
     "rolling_counts": q_rolling_counts,
     "gs_entity_group_period": q_gs_entity_group_period,
@@ -320,3 +334,5 @@ u AS (SELECT *, MAX(CASE WHEN NOT ok THEN rn END) OVER (PARTITION BY player_name
                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last_miss FROM t)
 SELECT player_name, MAX(rn - COALESCE(last_miss, 0)) AS longest_streak FROM u WHERE ok GROUP BY player_name""",
 }
+
+ORACLE["hits_cube"] = ORACLE["hits_slice"]

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from cumulus.operators import constraints as CT
 from cumulus.operators import experiments as X
 from cumulus.operators import quality as Q
 from cumulus.plans.role_sql import with_roles
+from cumulus.session import shared_path
 from cumulus.sources import roles
 from cumulus.sources.tables import table
 
@@ -102,6 +106,29 @@ def q_dq_late(spark, d):
                          ALLOWED_LATE)
 
 
+LINE_KEY = ["l_orderkey", "l_linenumber"]
+
+
+def line_rules():
+    """Rules of a load of order lines, some of which test rows break."""
+    return {"quantity_given": CT.not_null("l_quantity"), "discount_in_range": CT.check(F.col("l_discount") < 0.1),
+            "flag_known": CT.one_of("l_returnflag", ["A", "R"])}
+
+
+def q_dq_constraints(spark, d):
+    """Rows of a load that break each rule, and those accepted; both kinds are written in one pass."""
+    lines = table(spark, d, "lineitem")
+    have = table(spark, d, "orders").where("o_orderstatus = 'F'").join(
+        lines.select("l_orderkey", "l_linenumber"), F.col("o_orderkey") == F.col("l_orderkey")).select(*LINE_KEY)
+    judged = CT.judge(lines, line_rules(), LINE_KEY, have.where("l_linenumber = 1"))
+    path = shared_path(spark, f"lines-{uuid.uuid4().hex}")
+    told = CT.write_judged(judged, path, [*line_rules(), "duplicate_key", "known_key"])
+    broken = CT.rule_counts(spark.read.parquet(path).where(F.col(CT.ACCEPTED) == 0))
+    accepted = spark.read.parquet(path).where(F.col(CT.ACCEPTED) == 1).agg(F.count(F.lit(1)).alias("n_rows"))
+    return broken.unionByName(accepted.select(F.lit("(accepted)").alias("rule"), "n_rows")).withColumn(
+        "observed", F.create_map(*[F.lit(x).cast("string" if isinstance(x, str) else "long") for k, v in told.items() for x in ("(accepted)" if k == "n_accepted" else k, v)])[F.col("rule")])
+
+
 def q_unit_profit(spark, d):
     li = table(spark, d, "lineitem")
     cents = F.round(F.col("l_extendedprice") * (F.lit(1) - F.col("l_discount")) * 100).cast("bigint")
@@ -128,6 +155,7 @@ QUERIES = {
     "dq_nulls": q_dq_nulls,
     "dq_outliers": q_dq_outliers,
     "dq_late": q_dq_late,
+    "dq_constraints": q_dq_constraints,
     "unit_profit": q_unit_profit,
     "daily_growth": q_daily_growth,
 }
@@ -204,6 +232,22 @@ SELECT COUNT(*) AS n_rows, COUNT(*) FILTER (WHERE ts IS NULL) AS null_ts, COUNT(
 WITH st AS (SELECT event_type, AVG(value) AS mu, stddev_samp(value) AS sd FROM events GROUP BY 1)
 SELECT e.event_id, e.event_type, e.value, round((e.value - st.mu) / st.sd, 6) AS z
 FROM events e JOIN st ON e.event_type = st.event_type WHERE abs((e.value - st.mu) / st.sd) > 3.0""",
+    "dq_constraints": """
+WITH have AS (SELECT DISTINCT l_orderkey, l_linenumber FROM orders JOIN lineitem ON o_orderkey = l_orderkey
+              WHERE o_orderstatus = 'F' AND l_linenumber = 1),
+j AS (SELECT l_quantity IS NOT NULL AS a, coalesce(l_discount < 0.1, true) AS b, coalesce(l_returnflag IN ('A', 'R'), true) AS c,
+             l_orderkey IS NULL OR l_linenumber IS NULL
+               OR row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_quantity,
+                 l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) = 1 AS d,
+             h.l_orderkey IS NULL AS e
+      FROM lineitem LEFT JOIN have h USING (l_orderkey, l_linenumber)),
+r AS (SELECT '(accepted)' AS rule, COUNT(*) FILTER (WHERE a AND b AND c AND d AND e) AS n_rows FROM j
+      UNION ALL SELECT 'quantity_given', COUNT(*) FILTER (WHERE NOT a) FROM j
+      UNION ALL SELECT 'discount_in_range', COUNT(*) FILTER (WHERE NOT b) FROM j
+      UNION ALL SELECT 'flag_known', COUNT(*) FILTER (WHERE NOT c) FROM j
+      UNION ALL SELECT 'duplicate_key', COUNT(*) FILTER (WHERE NOT d) FROM j
+      UNION ALL SELECT 'known_key', COUNT(*) FILTER (WHERE NOT e) FROM j)
+SELECT rule, n_rows, n_rows AS observed FROM r WHERE n_rows > 0 OR rule = '(accepted)'""",
     "dq_late": """
 WITH o AS (SELECT ts, event_type, max(ts) OVER (ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM events),
 g AS (SELECT CAST(ts AS DATE) AS day, event_type,
