@@ -2,7 +2,23 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
 as Parquet and read again as the next stage's ``docs``.  All but the last
-return the columns of documents.
+return the columns of documents; columns beside these, also ones with names
+that a stage uses itself, are dropped by the first.
+
+Defined cases, stage by stage:
+
+* language_id: a null, empty or letterless text goes; a null id or label stays;
+  rows that repeat a document are judged alike, each.
+* line_dedup: rows with one id are one document, a line that it owns stays in
+  each of them; a row with a null id keeps its lines; a null text counts as one
+  empty line and becomes an empty text; a text may become empty.
+* near_dedup: rows with a null id, and texts without words, stay; rows with one
+  id stay or go together, so rows that repeat a kept document stay, each.
+* personal_data: null ids and repeated rows are masked like any other.
+* packing: an empty text has one row without a bin; repeated rows are packed each.
+
+An empty table stays one through all stages.  ``n_chars`` is counted anew
+whenever a text may have changed.
 """
 
 from __future__ import annotations
@@ -15,6 +31,7 @@ from cumulus.llm.common import materialize, read_table
 from cumulus.llm.queries import VOCABULARY
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+CONFIDENT = 0.9  # a prediction of this score or more replaces the label
 ORACLE_SQL = None  # SQL expresses neither the trained language model nor best-fit packing; tested by brute force
 
 
@@ -24,11 +41,13 @@ def _documents(df: DataFrame) -> DataFrame:
 
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a recognisable language (null, empty or letterless text) go; a missing lang is
-    filled in.  The model learns from the labelled documents."""
+    """Documents without a recognisable language (null, empty or letterless text) go.  ``lang`` becomes the
+    prediction where that is confident or no label was given.  A low score alone rejects nothing: clean documents
+    of a word or two have the lowest.  The model learns from the labelled documents."""
     model = langid.fit(docs, F.lit(True))
     known = langid.predict(docs.select(*COLUMNS), model, keep_text=True).where(F.col("lang_pred") != langid.UNKNOWN)
-    return _documents(known.withColumn("lang", F.coalesce("lang", "lang_pred")))
+    told = F.when(F.col("score") >= CONFIDENT, F.col("lang_pred")).otherwise(F.coalesce("lang", "lang_pred"))
+    return _documents(known.withColumn("lang", told))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
