@@ -7,12 +7,15 @@ the rest) picks the family; within a family, one machine for each pair of its
 languages votes.  Machines are trained here by dual coordinate descent.
 
 Training reads at most ``SAMPLE_ROWS`` labelled documents, the same number for
-each language (those of the smallest id hash), their whole texts.
+each language (those of the smallest id hash), their whole texts.  Of more
+than ``LANGUAGES`` labels the most frequent are learned, ties by name, so that
+a noisy label column bounds neither sample nor model from above.
 
 Defined cases: a text that is null, empty or without a letter is ``und`` with
 score 0, as is every text if nothing is labelled; rows with a null id are
-predicted but never learned from; repeated rows are answered alike, each; an
-empty table gives no rows.
+predicted but never learned from; repeated rows are answered alike, each, and
+learned from once; of different texts under one id the smallest is learned
+from; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -35,6 +38,7 @@ FAMILIES = {
     "malayic": ("id", "ms", "jv", "su"),
 }
 SAMPLE_ROWS = 1200
+LANGUAGES = 64
 RANK_PARTS = 64
 DIMS = 1 << 12
 CHUNK = 1 << 20
@@ -142,24 +146,28 @@ def _featured(batches):
 
 
 def fit(docs: DataFrame, learn: Column, id_col="doc_id", text_col="text", lang_col="lang",
-        sample_rows: int = SAMPLE_ROWS) -> LanguageModel:
-    """Train on at most ``sample_rows`` documents where ``learn`` (a condition on ``id``) holds."""
+        sample_rows: int = SAMPLE_ROWS, languages: int = LANGUAGES) -> LanguageModel:
+    """Train on at most ``sample_rows`` documents where ``learn`` (a condition on ``id``) holds, of at most
+    ``languages`` labels."""
     named = docs.select(F.col(id_col).cast("long").alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     able = named.select("id", "lang").where(F.col("id").isNotNull() & F.col("lang").isNotNull() & learn)
-    n_langs = able.select(F.count_distinct("lang")).first()[0]
-    if not n_langs:
+    often = able.groupBy("lang").agg(F.count(F.lit(1)).alias("c")).orderBy(F.desc("c"), "lang").limit(languages).collect()
+    if not often:
         return LanguageModel(np.empty((0, DIMS)), [])
+    known = F.col("lang").isin([r["lang"] for r in often])
+    able = able.where(known)
     # ranked within groups of input partitions first: each partition ships at most ``each`` rows a language,
     # and the last ranking sees at most RANK_PARTS * each of them, however many rows the language has
-    each = max(1, sample_rows // n_langs)
+    each = max(1, sample_rows // len(often))
     able = able.select("*", F.xxhash64("id").alias("h"), (F.spark_partition_id() % RANK_PARTS).alias("part"))
     for keys in (["lang", "part"], ["lang"]):
         rank = F.row_number().over(Window.partitionBy(*keys).orderBy("h", "id"))
         able = able.withColumn("r", rank).where(F.col("r") <= each)
     chosen = able.select("id").distinct()
     # at most sample_rows ids, so the broadcast is bounded
-    sample = (named.join(F.broadcast(chosen), "id", "left_semi").where(F.col("lang").isNotNull())
-              .mapInArrow(_featured, "id long, lang string, x binary").dropDuplicates(["id"]).orderBy("id").collect())
+    texts = (named.join(F.broadcast(chosen), "id", "left_semi").where(known & F.col("text").isNotNull())
+             .groupBy("id").agg(F.min(F.struct("text", "lang")).alias("of")).select("id", "of.lang", "of.text"))
+    sample = texts.mapInArrow(_featured, "id long, lang string, x binary").orderBy("id").collect()
     x = np.array([np.frombuffer(r["x"], np.float32) for r in sample], float).reshape(len(sample), DIMS)
     return LanguageModel(x, [r["lang"] for r in sample])
 

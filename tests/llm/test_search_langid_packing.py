@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from cumulus.llm import langid, packing, rabitq
-from cumulus.llm.queries import op9_langid, op10_best_fit_packing
+from cumulus.llm.byte_bpe import ByteBpe
+from cumulus.llm.queries import VOCABULARY, op9_langid, op10_best_fit_packing
 from tests.conftest import SF_SMALL
 
 VECS = "vec_id long, embedding array<float>, score int"
@@ -84,6 +85,19 @@ def test_language_of_odd_texts(spark):
     assert langid.predict(df.limit(0), model).count() == 0
 
 
+def test_noisy_labels_bound_sample_and_model(spark):
+    """More labels than are learned: the most frequent, ties by name; a hot id is learned from once, by its smallest text."""
+    rows = [(i, f"text number {i} of its own label", f"l{i:04d}") for i in range(300)]
+    rows += [(1000 + i, "the cat and the dog", "en") for i in range(9)] + [(2000 + i, "der hund und die katze", "de") for i in range(9)]
+    rows += [(5000, f"the house {i}", "en") for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(df, F.lit(True), sample_rows=40, languages=4)
+    assert model.langs == ["de", "en", "l0000", "l0001"]
+    assert len(model.pairs) == 1 and len(model.families) == 3
+    many = langid.fit(df, F.lit(True), sample_rows=40, languages=1000)
+    assert len(many.langs) == 302
+
+
 def test_features_do_not_depend_on_chunks(monkeypatch):
     whole = langid.features("the cat — and der Hund! " * 50)
     monkeypatch.setattr(langid, "CHUNK", 17)
@@ -128,9 +142,29 @@ def test_packing_against_a_plain_version():
     assert packing.pack([]) == ([], [], [])
 
 
+def token_lengths(texts):
+    import public_tokenizers as P
+
+    bpe = ByteBpe(P.path(VOCABULARY), P.PATTERN)
+    return {i: len(bpe.encode(t or "")) for i, t in texts.items()}
+
+
+def packed(rows):
+    """Length by document; no bin holds more than its capacity."""
+    out, filled, ends = Counter(), Counter(), {}
+    for r in rows:
+        out[r["doc_id"]] += r["length"]
+        if r["bin_id"] is not None:
+            filled[r["bin_id"]] += r["length"]
+            ends[r["bin_id"]] = r["capacity"]
+    assert all(filled[b] <= c for b, c in ends.items())
+    return dict(out)
+
+
 def test_packing_query_over_whole_documents(spark, texts):
-    words = {i: len(t.encode().split()) for i, t in texts.items()}
+    words = token_lengths(texts)
     rows = op10_best_fit_packing(spark, SF_SMALL).collect()
+    assert packed(rows) == words
     filled, ends = Counter(), {}
     for r in rows:
         if r["bin_id"] is not None:
