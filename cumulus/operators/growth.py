@@ -70,17 +70,18 @@ def growth_accounting_backfill(events: DataFrame, end, key: str = "user_id",
     its predecessor read from the array.  Row count = output size, no
     calendar cross join, no window sort.  ``dates_active`` of a day is a slice
     of the key's array, cut per emitted row; readers that don't select it
-    don't pay for it.
+    don't pay for it: a day is exploded with its neighbours, so the array
+    itself goes along only where the slice is asked for.
     """
     e = F.lit(end).cast("date")
     days = (events.filter(F.col(key).isNotNull() & (F.col(date_col) <= e))
                   .groupBy(key).agg(F.sort_array(F.collect_set(date_col)).alias("_days")))
-    spans = days.select(key, F.col("_days")[0].alias("first_active_date"),
-                        F.posexplode("_days").alias("_i", "_d"), "_days")
-    spans = spans.select(key, "first_active_date", "_d",
-                         F.when(F.col("_i") > 0, F.get(F.col("_days"), F.col("_i") - 1)).alias("_prev"),
-                         F.get(F.col("_days"), F.col("_i") + 1).alias("_next"),
-                         F.slice("_days", F.lit(1), F.col("_i") + 1).alias("dates_active"))
+    day = lambda d, i: F.struct(
+        i.alias("i"), d.alias("d"), F.when(i > 0, F.get("_days", i - 1)).alias("prev"), F.get("_days", i + 1).alias("next"))
+    spans = days.select(key, F.col("_days")[0].alias("first_active_date"), "_days",
+                        F.explode(F.transform("_days", day)).alias("_s"))
+    spans = spans.select(key, "first_active_date", F.col("_s.d").alias("_d"), F.col("_s.prev").alias("_prev"),
+                         F.col("_s.next").alias("_next"), F.slice("_days", F.lit(1), F.col("_s.i") + 1).alias("dates_active"))
     upto = F.coalesce(F.date_sub(F.col("_next"), 1), e)
     spans = spans.withColumn("_upto", upto)
     opening = F.col("_d")

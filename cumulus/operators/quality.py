@@ -25,10 +25,20 @@ def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
                   *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in cols])
 
 
-def outliers(df: DataFrame, by: Sequence[str], value: str, z_max: float = 3.0, id_cols: Sequence[str] = ()) -> DataFrame:
+def group_stats(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+    """Mean and sample standard deviation per group, one row each."""
+    return df.groupBy(*by).agg(F.avg(value).alias("_mu"), F.stddev_samp(value).alias("_sd"))
+
+
+def outliers(df: DataFrame, by: Sequence[str], value: str, z_max: float = 3.0, id_cols: Sequence[str] = (),
+             stats: DataFrame | None = None) -> DataFrame:
     """Rows whose value lies more than ``z_max`` sample standard deviations
-    from their group mean (group stats by partial aggregation, joined back)."""
-    stats = df.groupBy(*by).agg(F.avg(value).alias("_mu"), F.stddev_samp(value).alias("_sd"))
+    from their group mean.
+
+    ``stats``: the ``group_stats``, stored beforehand; their size is known then,
+    and few groups are joined without a shuffle of the rows on few keys.
+    """
+    stats = group_stats(df, by, value) if stats is None else stats
     z = (F.col(value) - F.col("_mu")) / F.col("_sd")
     j = df.join(stats, list(by)).withColumn("z", z)
     return j.filter(F.abs(F.col("z")) > z_max).select(*id_cols, *by, value, "z")

@@ -28,10 +28,12 @@ def clean_load(df: DataFrame, keys: Sequence[str], dedupe_on: Sequence[str] | No
     return out.dropDuplicates(list(dedupe_on)) if dedupe_on else out.dropDuplicates()
 
 
-def local_sort(df: DataFrame, n: int, key: str, sort_cols: Sequence[str]) -> DataFrame:
-    """Cluster rows by ``key`` into ``n`` partitions, sorted inside each
-    partition (no global sort) - better compression for written files."""
-    return df.repartition(n, F.col(key)).sortWithinPartitions(*sort_cols)
+def local_sort(df: DataFrame, key: str, sort_cols: Sequence[str], n: int | None = None) -> DataFrame:
+    """Cluster rows by ``key`` into ``n`` partitions (default: as many as AQE
+    finds their bytes need), sorted inside each partition (no global sort) -
+    better compression for written files."""
+    by_key = df.repartition(F.col(key)) if n is None else df.repartition(n, F.col(key))
+    return by_key.sortWithinPartitions(*sort_cols)
 
 
 def global_sort(df: DataFrame, sort_cols: Sequence[str]) -> DataFrame:

@@ -120,9 +120,12 @@ def q_gs_entity_group_period(spark, d):
     x = x.withColumn("game_won", F.when(F.col("team_abbreviation").isNotNull() & (total > 0), F.col("game_id")))
     sets = [("player_name", "team_abbreviation"), ("player_name", "season"), ("team_abbreviation",)]
     labels = {sets[0]: "player_team", sets[1]: "player_season", sets[2]: "team"}
-    return CB.grouping_sets(x, sets, [F.sum("pts").alias("total_points"),
-                                      F.count_distinct("game_id").alias("games"),
-                                      F.count_distinct("game_won").alias("wins")], labels, fill=None)
+    # one row per group and game first: then games and wins are plain counts, with a single Expand by three
+    by_game = [(*s, "game_id") for s in sets]
+    games = CB.grouping_sets(x, by_game, [F.sum("pts").alias("pts"), F.max("game_won").alias("won")],
+                             {g: labels[s] for g, s in zip(by_game, sets, strict=True)}, fill=None)
+    return games.groupBy("aggregation_level", "player_name", "team_abbreviation", "season").agg(
+        F.sum("pts").alias("total_points"), F.count("game_id").alias("games"), F.count("won").alias("wins"))
 
 
 def q_argmax_group(spark, d):

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from cumulus.operators import constraints as CT
 from cumulus.operators import experiments as X
 from cumulus.operators import quality as Q
+from cumulus.plans.common import stored
 from cumulus.plans.role_sql import with_roles
 from cumulus.session import shared_path
 from cumulus.sources import roles
@@ -90,7 +91,9 @@ def q_dq_nulls(spark, d):
 
 
 def q_dq_outliers(spark, d):
-    r = Q.outliers(table(spark, d, "events"), ["event_type"], "value", 3.0, ["event_id"])
+    ev = table(spark, d, "events")
+    stats = stored(Q.group_stats(ev, ["event_type"], "value"), "stats")
+    r = Q.outliers(ev, ["event_type"], "value", 3.0, ["event_id"], stats)
     return r.withColumn("z", F.round("z", 6))
 
 

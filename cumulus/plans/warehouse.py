@@ -202,7 +202,7 @@ def q_bi_win_rate(spark, d):
 
 def q_layout_local_sort(spark, d):
     ev = table(spark, d, "events").select("event_id", "user_id", "ts", "event_type")
-    return WH.local_sort(ev, 10, "user_id", ["user_id", "ts"])
+    return WH.local_sort(ev, "user_id", ["user_id", "ts"])
 
 
 def q_layout_global_sort(spark, d):
