@@ -19,7 +19,7 @@ on to further rounds, in which the next 8, 64, ... members of a bucket are
 centres, until every bucket holds one component or every member of it has been
 a centre: no pair of a bucket is left out unless its documents are connected
 or their sizes rule a link out.  After the first round a pair is taken up only
-in the first of the buckets that it shares (told by 32 bits of every band key),
+in the first of the buckets that it shares (told by the band keys of both),
 and only if the two share one of their rarest shingles: with o shingles needed
 in common, one of them is among the first size - o + 1 of either set in any
 order that is the same for all, here by the number of open sets that hold it.
@@ -32,12 +32,15 @@ linked by any of their texts; an empty table gives no rows.
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cumulus.llm.common import materialize
+from cumulus.llm.common import materialize, shuffle_partitions
 from cumulus.llm.components import connected_components
 from cumulus.llm.shingles import mix, shingle_sets, slices
 
@@ -108,19 +111,24 @@ def _sign(words: int, bands: int, rows: int):
 
 
 def _sets(words: int):
+    """The columns beside the text and the shingles of each text, of those whose set has the keys k1, k2 if given."""
     def run(batches):
         for whole in batches:
+            rest = [c for c in whole.schema.names if c not in ("text", "k1", "k2")]
             for b in slices(whole, "text"):
                 ends, hashes = shingle_sets(b.column("text"), words)
                 some = np.flatnonzero(np.diff(ends))
                 if not len(some):
                     continue
                 ends = np.concatenate([[0], ends[some + 1]])
-                k1, k2 = _set_keys(ends, hashes)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("id").take(pa.array(some)), pa.array(k1), pa.array(k2),
-                     pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(hashes.view(np.int64)))],
-                    ["doc", "k1", "k2", "shingles"])
+                rows = b.take(pa.array(some))
+                keys = dict(zip(("k1", "k2"), map(pa.array, _set_keys(ends, hashes)), strict=True))
+                lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(hashes.view(np.int64)))
+                made = pa.RecordBatch.from_arrays([*[rows.column(c) for c in rest], *keys.values(), lists],
+                                                  [*rest, *keys, "shingles"])
+                if "k1" in b.schema.names:
+                    made = made.filter(pc.and_(*[pc.equal(rows.column(k), keys[k]) for k in keys])).drop_columns(["k1", "k2"])
+                yield made
     return run
 
 
@@ -134,10 +142,13 @@ def _possible(n_a, n_b, lone_a, lone_b, percent: int):
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) with 100 * intersection >= percent * union on full sets.
 
-    Both joins are plain equi-joins: a centre with very many partners is split by the skew join.
+    ``sets`` is bucketed by id, so the partners' and the centres' sets are found in place; the one set that a
+    pair must ship goes to its centre by a plain equi-join, in which the skew join splits a centre with very many
+    partners.
     """
     left = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
-    right = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
+    right = sets.join(pairs.select(F.col("a").alias("id")).distinct(), "id", "left_semi").select(
+        F.col("id").alias("a"), F.col("shingles").alias("sa"))
     common = F.size(F.array_intersect("sa", "sb"))
     return (pairs.join(left, "b").join(right, "a")
             .select("a", "b", common.alias("c"), (F.size("sa") + F.size("sb")).alias("s"))
@@ -151,13 +162,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col="
     signed = materialize(
         base.mapInArrow(_sign(words, bands, rows), "id long, n long, k1 long, k2 long, bands array<long>"), "signed")
     able = signed.where("n > 0 AND id IS NOT NULL")
-    classes = materialize(able.groupBy("k1", "k2", "n").agg(F.min("id").alias("rep"))
+    # equal sets have equal bands, so any row's will do
+    classes = materialize(able.groupBy("k1", "k2", "n").agg(F.min("id").alias("rep"), F.first("bands").alias("bands"))
                           .withColumn("node", F.xxhash64("k1", "k2")), "classes")
     named = classes.select("k1", "k2", F.col("rep").alias("doc"), F.col("node").alias("id"))
-    reps = able.withColumnRenamed("id", "doc").join(named, ["doc", "k1", "k2"])
-    members = reps.select("id", "n", F.posexplode("bands").alias("band", "key")).distinct()
-    sigs = reps.select("id", "n", F.transform("bands", lambda b: b.bitwiseAND(2**31 - 1).cast("int")).alias("sig"))
-    members = materialize(_in_shared_buckets(members), "members")
+    members = materialize(_in_shared_buckets(
+        classes.select(F.col("node").alias("id"), F.explode("bands").alias("key"))), "members")
+    sigs = classes.select(F.col("node").alias("id"), F.col("bands").alias("sig"))
+    classes = classes.drop("bands")
     of_id = able.select("id", F.xxhash64("k1", "k2").alias("node")).groupBy("id").agg(
         F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b")
     shared = (able.select("id", F.xxhash64("k1", "k2").alias("b")).join(of_id.select("id", "a"), "id")
@@ -183,35 +195,63 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col="
 
 def _linked(base: DataFrame, named: DataFrame, members: DataFrame, sigs: DataFrame, words: int,
             percent: int) -> DataFrame | None:
-    """The confirmed links (a, b) of nodes; None if there is none.  ``named``: (k1, k2, doc, id), the row of a node."""
+    """The confirmed links (a, b) of nodes; None if there is none.
+
+    ``named``: (k1, k2, doc, id), the row of a node; ``members``: (id, key), its buckets; ``sigs``: (id, sig), all its
+    band keys in order.
+    """
     if members.isEmpty():
         return None
-    asked = materialize(named.join(members.select("id").distinct(), "id", "left_semi"), "asked")
-    found = (base.join(asked.select(F.col("doc").alias("id")), "id", "left_semi")
-             .mapInArrow(_sets(words), "doc long, k1 long, k2 long, shingles array<long>"))
-    sets = materialize(found.join(asked, ["doc", "k1", "k2"]).select("id", "doc", "shingles"), "sets")
-    # only the rows of repeated nodes are shuffled to keep one of each
-    again = materialize(sets.groupBy("id").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("id"), "again")
-    if not again.isEmpty():
-        sets = materialize(sets.join(again, "id", "left_anti").unionByName(
-            sets.join(again, "id", "left_semi").dropDuplicates(["id"])), "sets")
-    sets = sets.select("id", "shingles")
+    spark = base.sparkSession
+    table = f"shingle_sets_{uuid.uuid4().hex}"
+    buckets = shuffle_partitions(spark)
+    # one shuffle of sets: later joins by id read them in place, each set once
+    (_sets_of(base, named.join(members.select("id").distinct(), "id", "left_semi"), words)
+     .groupBy("id").agg(F.first("shingles").alias("shingles"))
+     .write.format("parquet").bucketBy(buckets, "id").sortBy("id").saveAsTable(table))
+    try:
+        return _rounds(members, spark.table(table), sigs, percent)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def _sets_of(base: DataFrame, asked: DataFrame, words: int) -> DataFrame:
+    """(id, shingles) of the nodes ``asked``; a row that repeats a text gives its node again.
+
+    The texts are joined by document id, by shuffle at every size: the ids grow with the documents.
+    """
+    asked = materialize(asked, "asked")
+    texts = asked.groupBy("doc").agg(F.count(F.lit(1)).alias("c"))
+    # a document with one set asked for: its keys go along with the text, nothing is shuffled after that
+    one = asked.join(texts.where("c = 1"), "doc").select("doc", "k1", "k2", F.col("id").alias("node"))
+    sets = base.join(one.hint("merge"), base["id"] == one["doc"]).select("node", "k1", "k2", "text").mapInArrow(
+        _sets(words), "node long, shingles array<long>").select(F.col("node").alias("id"), "shingles")
+    many = materialize(asked.join(texts.where("c > 1"), "doc", "left_semi"), "asked")
+    if not many.isEmpty():  # ids on several texts: joined by document and set
+        found = base.join(many.select(F.col("doc").alias("id")), "id", "left_semi").select(
+            F.col("id").alias("doc"), "text").mapInArrow(_sets(words), "doc long, k1 long, k2 long, shingles array<long>")
+        sets = sets.unionByName(found.join(many, ["doc", "k1", "k2"]).select("id", "shingles"))
+    return sets
+
+
+def _rounds(members: DataFrame, sets: DataFrame, sigs: DataFrame, percent: int) -> DataFrame | None:
+    sized = sets.select("id", F.size("shingles").cast("long").alias("n")).join(_lone(sets), "id", "left")
     members = materialize(_in_shared_buckets(
-        members.join(_lone(sets), ["id", "n"], "left").withColumn("lone", F.coalesce("lone", F.lit(0)))
+        members.join(sized, "id").withColumn("lone", F.coalesce("lone", F.lit(0)))
         .where((F.col("n") - F.col("lone")) * 100 >= F.col("n") * percent)), "members")
     links, tested, centres, parts = None, None, 1, None
     while not members.isEmpty():
         order = [F.col("lone"), F.col("id")]
         rank = F.row_number().over(Window.partitionBy("key").orderBy(*order))
         chosen = members.withColumn("r", rank).where(F.col("r") <= centres)
-        heads = chosen.select("key", *[F.col(c).alias(f"{c}_a") for c in chosen.columns if c not in ("key", "band", "r")])
+        heads = chosen.select("key", *[F.col(c).alias(f"{c}_a") for c in chosen.columns if c not in ("key", "r")])
         pairs = members.join(heads, "key").where(
             (F.struct("lone_a", "id_a") < F.struct(*order)) & _possible("n_a", "n", "lone_a", "lone", percent))
         if "part" in members.columns:
             pairs = pairs.where("part_a <> part")
         if "sig" in members.columns:
             same = F.zip_with("sig_a", "sig", lambda x, y: x == y)
-            pairs = pairs.where(F.array_position(same, True) == F.col("band") + 1)
+            pairs = pairs.where(F.get("sig", (F.array_position(same, True) - 1).cast("int")) == F.col("key"))
             needed = F.ceil((F.col("n_a") + F.col("n")) * percent / (100 + percent))
             first = lambda rare, n: F.slice(rare, 1, F.greatest(F.col(n) - needed + 1, F.lit(0)).cast("int"))
             pairs = pairs.where(F.arrays_overlap(first("rare_a", "n_a"), first("rare", "n")))
@@ -234,27 +274,27 @@ def _linked(base: DataFrame, named: DataFrame, members: DataFrame, sigs: DataFra
         left = left.join(open_, "key")
         if "sig" not in left.columns:
             left = materialize(left, "left")
-            left = left.join(sigs.dropDuplicates(["id", "n"]), ["id", "n"]).join(
-                _rarest(sets.join(left.select("id").distinct(), "id", "left_semi"), percent), ["id", "n"])
+            left = left.join(sigs, "id").join(
+                _rarest(sets.join(left.select("id").distinct(), "id", "left_semi"), percent), "id")
         members = materialize(left, "members")
         centres *= CENTRES
     return links
 
 
 def _lone(sets: DataFrame) -> DataFrame:
-    """(id, n, lone): how many shingles of each set no other set has; counted on the map side first."""
-    one = sets.select("id", F.size("shingles").cast("long").alias("n"), F.explode("shingles").alias("s"))
-    once = one.groupBy("s").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("id", "n")).alias("of")).where("c = 1")
-    return once.groupBy(F.col("of.id").alias("id"), F.col("of.n").alias("n")).agg(F.count(F.lit(1)).alias("lone"))
+    """(id, lone): how many shingles of each set no other set has, if any; counted on the map side first."""
+    one = sets.select("id", F.explode("shingles").alias("s"))
+    once = one.groupBy("s").agg(F.count(F.lit(1)).alias("c"), F.min("id").alias("id")).where("c = 1")
+    return once.groupBy("id").agg(F.count(F.lit(1)).alias("lone"))
 
 
 def _rarest(sets: DataFrame, percent: int) -> DataFrame:
-    """(id, n, rare): of each set the shingles that fewest sets hold, as many as any link could need."""
+    """(id, rare): of each set the shingles that fewest sets hold, as many as any link could need."""
     one = sets.select("id", F.size("shingles").cast("long").alias("n"), F.explode("shingles").alias("s"))
     held = one.groupBy("s").agg(F.count(F.lit(1)).alias("c"))
     ranked = one.join(held, "s").groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("c", "s"))).alias("ranked"))
     most = (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int")
-    return ranked.select("id", "n", F.transform(F.slice("ranked", F.lit(1), most), lambda x: x["s"]).alias("rare"))
+    return ranked.select("id", F.transform(F.slice("ranked", F.lit(1), most), lambda x: x["s"]).alias("rare"))
 
 
 def _in_shared_buckets(members: DataFrame) -> DataFrame:
