@@ -16,8 +16,9 @@ what the learned blocks hold and answers every block with counts in the order
 asked, so an n-gram, however frequent, travels once a block and direction and
 no document id travels at all.  Ranges are made as many as the tokens need
 (``RANGE_KEYS`` a range), so a task's memory is bounded: a key has at most one
-entry a block.  Different n-grams of equal key (64 bits) share a count; among
-1e10 words that is expected of three pairs.
+entry a block.  Different n-grams of equal key share a count: words have 64
+bits (among 1e10 words three such pairs are expected), longer n-grams
+``LONG_BITS`` (one n-gram in 7,000 among 1e13; none is expected among 1e8).
 
 Tokens are the words ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased, then one end.
 
@@ -29,6 +30,8 @@ gives no rows; columns beside id and text are not read.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -41,12 +44,13 @@ from cumulus.llm.common import materialize
 from cumulus.llm.shingles import mix, slices, word_hashes
 
 ORDER = 3
-BLOCK_TOKENS = 1 << 21
+BLOCK_TOKENS = 1 << 20
 RANGE_KEYS = 1 << 21
 TUNE_EVERY = 32
 ROUNDS, STILL = 20, 1e-5  # of expectation-maximisation: at most, and the gain a token (log10) below which it ends
 PRIOR = 0.5  # added to the expected count of every estimate a bucket can use: no weight becomes 0
 SCORED, LEARNED, TUNING = 0, 1, 2  # what a block's documents are for
+LONG_BITS = 56
 LEVEL = 64  # buckets of one context length
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _END, _START = word_hashes(pa.array(["\n"])), word_hashes(pa.array(["\t"]))  # no word holds white space
@@ -86,17 +90,18 @@ def token_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, counts
 
 
-def gram_keys(tokens: np.ndarray, counts: np.ndarray, order: int) -> list[np.ndarray]:
-    """Per order, the key of the n-gram that ends at each token; before a text there are start marks."""
+def gram_keys(tokens: np.ndarray, counts: np.ndarray, order: int) -> Iterator[np.ndarray]:
+    """Order by order, the key of the n-gram that ends at each token; before a text there are start marks."""
     first = np.concatenate([[0], np.cumsum(counts)[:-1]]).astype(np.int64)
-    keys, start = [tokens], _START
+    whole, start = tokens, _START
+    yield tokens
     for n in range(2, order + 1):
         before = np.empty_like(tokens)
-        before[1:] = keys[-1][:-1]
+        before[1:] = whole[:-1]
         before[first] = start[0]
-        keys.append(mix(before * _STEP + tokens + np.uint64(n)))
+        whole = mix(before * _STEP + tokens + np.uint64(n))
+        yield whole >> np.uint64(64 - LONG_BITS)
         start = mix(start * _STEP + _START + np.uint64(n))
-    return keys
 
 
 def _block_row(number, role, ids, hashes, counts):
@@ -142,7 +147,7 @@ def _tokens_of(row: dict) -> tuple[np.ndarray, np.ndarray]:
     return unpack(row["words"], np.uint64)[unpack(row["sequence"], np.int32)], unpack(row["counts"], np.int64)
 
 
-def _asked(order: int, ranges: dict[int, int]):
+def _asked(order: int, parts: int):
     """A block's questions: per order and key range its distinct keys and how often it holds them."""
     def run(batches):
         for batch in batches:
@@ -151,8 +156,8 @@ def _asked(order: int, ranges: dict[int, int]):
                 tokens, counts = _tokens_of(row)
                 for n, of_token in enumerate(gram_keys(tokens, counts, order), 1):
                     keys, often = np.unique(of_token, return_counts=True)
-                    parts = ranges[n]
-                    bounds = np.array([(i << 64) // parts for i in range(1, parts)], np.uint64)
+                    bits = 64 if n == 1 else LONG_BITS
+                    bounds = np.array([(i << bits) // parts for i in range(1, parts)], np.uint64)
                     cuts = [0, *np.searchsorted(keys, bounds).tolist(), len(keys)]
                     some = [(i, a, b) for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if a < b]
                     yield pa.RecordBatch.from_arrays(
@@ -284,7 +289,7 @@ def score_documents(docs: DataFrame, learn: Column, id_col="doc_id", text_col="t
     texts = {r: of_role[r]["texts"] if r in of_role else 0 for r in (SCORED, LEARNED, TUNING)}
     parts = max(1, -(-sum(size.values()) // range_keys))
     asked = blocks.select("block", "role", "counts", "words", "sequence").mapInArrow(
-        _asked(order, dict.fromkeys(range(1, order + 1), parts)),
+        _asked(order, parts),
         "n int, part int, block long, role int, keys binary, often binary")
     answers = materialize(asked.groupBy("n", "part").applyInArrow(_answer, _ANSWER), "answers")
     known = answers.where("block IS NULL AND n = 1").agg(
@@ -311,8 +316,10 @@ def score_documents(docs: DataFrame, learn: Column, id_col="doc_id", text_col="t
         bucket, shares, own, counts, first = _estimates(
             row, right.drop_columns(["kept"]).to_pylist(), "total", order, train_tokens, train_texts)
         buckets, at = np.unique(bucket, return_inverse=True)
-        w = np.array([weights_of(weights, int(b), order) for b in buckets])[at]
-        p = w[:, 0] / (n_words + 1) + (w[:, 1:].T * shares).sum(axis=0)
+        w = np.array([weights_of(weights, int(b), order) for b in buckets])
+        p = w[at, 0] / (n_words + 1)
+        for n in range(order):
+            p += w[at, n + 1] * shares[n]
         base = np.log10((own + 1) / (train_tokens + n_words + 1))
         return pa.table({
             "id": pa.array(row["ids"], pa.int64()), "n_tokens": pa.array(counts),
