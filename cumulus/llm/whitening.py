@@ -78,26 +78,24 @@ def secular_roots(d: np.ndarray, z2: np.ndarray, rho: float) -> tuple[np.ndarray
     low = np.where(left, 0.0, -gap / 2)
     high = np.where(left, np.where(np.arange(k) == k - 1, gap, gap / 2), 0.0)
     x = (low + high) / 2
-    own = np.arange(k), pole
-    weight = rho * z2[pole]
+    own, r = (np.arange(k), pole), rho * z2
+    weight = r[pole]
     for _ in range(STEPS):
         with np.errstate(divide="ignore", invalid="ignore", over="ignore"):
-            share = rho * z2 / (apart - x[:, None])
+            away = apart - x[:, None]
+            share = r / away
             value = 1 + share.sum(axis=1)
             exact = np.abs(value) <= 4 * EPS * (1 + np.abs(share).sum(axis=1))  # nothing but rounding is left
             low, high = np.where(value < 0, x, low), np.where(value < 0, high, x)
-            # the nearer pole's own term is kept, the others' sum is taken as linear: a quadratic in x
-            others = share.copy()
-            others[own] = 0.0
-            a = 1 + others.sum(axis=1)
-            slope = (others * others / (rho * z2)).sum(axis=1)
-            a = a - slope * x
-            # slope x^2 + a x - weight = 0
+            # the nearer pole's own term is kept, the others' sum is taken as linear: slope x^2 + a x - weight = 0
+            mine = share[own]
+            slope = np.maximum(np.einsum("ij,ij->i", share, 1 / away) + mine / x, 0.0)
+            a = value - mine - slope * x
             root = np.sqrt(a * a + 4 * slope * weight)
             up = np.where(a >= 0, 2 * weight / (a + root), (root - a) / (2 * slope))
             down = np.where(a >= 0, -(a + root) / (2 * slope), -2 * weight / (root - a))
             new = np.where(left, up, down)
-            new = np.where(np.isfinite(new) & (new > low) & (new < high), new, (low + high) / 2)
+            new = np.where((new > low) & (new < high), new, (low + high) / 2)
         still = exact | (np.abs(new - x) <= 2 * EPS * np.abs(new))
         x = np.where(exact, x, new)
         if still.all():
