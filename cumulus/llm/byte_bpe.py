@@ -24,7 +24,9 @@ import re
 from functools import lru_cache
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +39,8 @@ STRETCHES = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 # the pattern cuts such a stretch into these two
 PLAIN = re.compile(r"( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?*$&()]*)")
 OTHER_SPACE = re.compile(r"[^\S \n]")
+# anything but single blanks and line breaks between words
+UNEVEN = "[ \n][ \n]|^[ \n]|[ \n]$|[" + "".join(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n") + "]"
 
 
 def byte_characters() -> list[str]:
@@ -133,25 +137,43 @@ class ByteBpe:
             decoded.update(b"".join(raw))
         return n, ids.hexdigest(), decoded.hexdigest()
 
-    def counts_of(self, texts: list[str]) -> list[int]:
-        """Number of tokens of each text: every distinct stretch of all texts is counted once."""
-        parts = [[t] if OTHER_SPACE.search(t) else STRETCHES.findall(t) for t in texts]
-        seen = set().union(*parts)
-        new = list(seen.difference(self.counts))
-        plain = [PLAIN.fullmatch(s) for s in new]
-        pieces = [self.split(s) if m is None else m.groups() if m[2] else (s,) for s, m in zip(new, plain, strict=True)]
+    def counts_of(self, texts: pa.Array) -> np.ndarray:
+        """Number of tokens of each text (none of them null): every distinct stretch of all texts is counted once."""
+        uneven = np.asarray(pc.match_substring_regex(texts, UNEVEN), bool)
+        out = np.zeros(len(texts), np.int64)
+        out[uneven] = [self.count(t.as_py()) for t in texts.filter(pa.array(uneven))]
+        # a line break in front of every line, so that a word with one is the first of its line
+        lines = pc.binary_join_element_wise("\n", pc.replace_substring(texts.filter(pa.array(~uneven)), "\n", " \n"), "")
+        if len(lines):
+            words = pc.split_pattern(lines, " ")
+            coded = pc.dictionary_encode(words.flatten())
+            each = np.array(self._sizes(coded.dictionary.to_pylist()), np.int64)[np.asarray(coded.indices)]
+            first = np.cumsum(np.asarray(words.value_lengths(), np.int64))[:-1]
+            out[~uneven] = np.add.reduceat(each, [0, *first]) - len(self.encode("\n"))
+        return out
+
+    def count(self, text: str) -> int:
+        """Number of tokens of any text."""
+        return len(self.encode(text)) if OTHER_SPACE.search(text) else sum(map(len, map(self.encode, STRETCHES.findall(text))))
+
+    def _sizes(self, words: list[str]) -> list[int]:
+        """Tokens of each of these distinct words, a blank before it if it does not begin a line."""
+        new = [w for w in words if w not in self.counts]
+        stretches = [w if w[0] == "\n" else " " + w for w in new]
+        plain = [PLAIN.fullmatch(s) for s in stretches]
+        pieces = [self.split(s) if m is None else m.groups() if m[2] else (s,) for s, m in zip(stretches, plain, strict=True)]
         size = dict.fromkeys(chain.from_iterable(pieces), 1)
         unknown = [p for p in size if p.encode() not in self.rank]  # no tokens themselves
         ids = self.model.encode([p.encode().decode("latin-1").translate(self.chars) for p in unknown], num_threads=1)
         size.update(zip(unknown, map(len, ids), strict=True))
-        self.counts.update(zip(new, [sum(map(size.__getitem__, p)) for p in pieces], strict=True))
-        out = [sum(map(self.counts.__getitem__, p)) for p in parts]
-        if len(self.counts) > CACHE_ENTRIES:  # short stretches of the latest texts stay
-            self.counts = {s: self.counts[s] for s in seen if len(s) < 64}
+        self.counts.update(zip(new, [size[p[0]] if len(p) == 1 else sum(map(size.__getitem__, p)) for p in pieces], strict=True))
+        out = list(map(self.counts.__getitem__, words))
+        if len(self.counts) > CACHE_ENTRIES:  # short words of the latest texts stay
+            self.counts = {w: n for w, n in zip(words, out, strict=True) if len(w) < 64}
         else:
-            for s in new:
-                if len(s) >= 64:
-                    del self.counts[s]
+            for w in new:
+                if len(w) >= 64:
+                    del self.counts[w]
         return out
 
 
@@ -196,7 +218,7 @@ def count_tokens(docs: DataFrame, path: str, pattern: str, text_col="text") -> D
         bpe = coder(path, pattern)
         for whole in batches:
             for b in slices(whole, "text"):  # bounds the distinct stretches held at once
-                n = bpe.counts_of([t or "" for t in b.column("text").to_pylist()])
+                n = bpe.counts_of(pc.fill_null(b.column("text"), ""))
                 yield pa.RecordBatch.from_arrays([b.column("doc"), pa.array(n, pa.int64())], ["doc", "n_tokens"])
 
     got = rows.mapInArrow(run, f"doc {kind}, n_tokens long")
