@@ -1,6 +1,7 @@
 """Property-graph tables: vertices(identifier, type, properties) and
 edges(subject_identifier, subject_type, object_identifier, object_type,
-edge_type, properties), with ``map<string,string>`` properties."""
+edge_type, properties), with ``map<string,string>`` properties, or with
+VARIANT ones that keep numbers as numbers (``typed_*``)."""
 
 from __future__ import annotations
 
@@ -22,6 +23,24 @@ def vertices_from_rows(df: DataFrame, id_col: str, vtype: str, props: Sequence[t
                      string_map(*props).alias("properties"))
 
 
+def typed_vertices(df: DataFrame, id_col: str, vtype: str, props: Sequence[tuple[str, Column]]) -> DataFrame:
+    """``vertices_from_rows`` with VARIANT properties: every value keeps its type, NULLs are kept as such."""
+    return df.select(F.col(id_col).cast("string").alias("identifier"), F.lit(vtype).alias("type"),
+                     F.to_variant_object(F.struct(*[c.alias(k) for k, c in props])).alias("properties"))
+
+
+def json_properties(df: DataFrame, json_col: str, name: str = "properties") -> DataFrame:
+    """``json_col`` as VARIANT properties; text that is not JSON gives NULL and ``is_malformed``."""
+    v = F.try_parse_json(F.col(json_col))
+    return df.withColumn(name, v).withColumn("is_malformed", F.col(json_col).isNotNull() & v.isNull())
+
+
+def typed_properties(df: DataFrame, fields: dict[str, str], name: str = "properties") -> DataFrame:
+    """The properties named in ``fields`` (name: type) as columns; a missing one, or one of another type, is NULL."""
+    return df.select(*[c for c in df.columns if c != name],
+                     *[F.try_variant_get(name, f"$['{k}']", kind).alias(k) for k, kind in fields.items()])
+
+
 def vertices_deduped(df: DataFrame, id_col: str, vtype: str, props: Sequence[tuple[str, str]],
                      order: Sequence[str] | None = None, descending: bool = False) -> DataFrame:
     """Deduplicate rows per id, then build the property map."""

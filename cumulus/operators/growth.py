@@ -77,10 +77,9 @@ def growth_accounting_backfill(events: DataFrame, end, key: str = "user_id",
     days = (events.filter(F.col(key).isNotNull() & (F.col(date_col) <= e))
                   .groupBy(key).agg(F.sort_array(F.collect_set(date_col)).alias("_days")))
     day = lambda d, i: F.struct(
-        i.alias("i"), d.alias("d"), F.when(i > 0, F.get("_days", i - 1)).alias("prev"), F.get("_days", i + 1).alias("next"))
-    spans = days.select(key, F.col("_days")[0].alias("first_active_date"), "_days",
-                        F.explode(F.transform("_days", day)).alias("_s"))
-    spans = spans.select(key, "first_active_date", F.col("_s.d").alias("_d"), F.col("_s.prev").alias("_prev"),
+        i.alias("i"), d.alias("d"), F.get("_days", F.lit(0)).alias("first"), F.when(i > 0, F.get("_days", i - 1)).alias("prev"), F.get("_days", i + 1).alias("next"))
+    spans = days.select(key, "_days", F.explode(F.transform("_days", day)).alias("_s"))
+    spans = spans.select(key, F.col("_s.first").alias("first_active_date"), F.col("_s.d").alias("_d"), F.col("_s.prev").alias("_prev"),
                          F.col("_s.next").alias("_next"), F.slice("_days", F.lit(1), F.col("_s.i") + 1).alias("dates_active"))
     upto = F.coalesce(F.date_sub(F.col("_next"), 1), e)
     spans = spans.withColumn("_upto", upto)

@@ -26,11 +26,14 @@ def referrer_channel(ref, rules: Sequence[tuple[str, str]] = K.REFERRER_RULES,
 
 
 def rolling_counts(daily: DataFrame, keys: Sequence[str], date_col: str, count_col: str = "count",
-                   min_total: int = 500, prev_frame: tuple[int, int] = (-13, -6)) -> DataFrame:
+                   min_total: int = 500, prev_frame: tuple[int, int] = (-13, -6), calendar: bool = False) -> DataFrame:
     """Month total, running total, overall total, 7-row rolling and the
     previous-window count, shares of month and total; keep keys whose total
     exceeds ``min_total``.
 
+    Frames are rows; with ``calendar`` they are days, so that a day without
+    rows counts as one and seven days never stretch beyond a week.
+
     Input is already one row per key and day.  All windows partition by
     ``keys`` first (the month window adds the month), so one Exchange
     serves them.
@@ -41,12 +44,14 @@ def rolling_counts(daily: DataFrame, keys: Sequence[str], date_col: str, count_c
     month = Window.partitionBy(*keys, F.trunc(F.col(date_col), "MM")).orderBy(date_col).rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing)
     c = F.col(count_col)
+    by_day = Window.partitionBy(*keys).orderBy(F.unix_date(F.col(date_col)))
+    frame = by_day.rangeBetween if calendar else base.rowsBetween
     out = daily.select(
         *keys, date_col, count_col,
         F.sum(c).over(base.rangeBetween(Window.unboundedPreceding, Window.currentRow)).alias("rolling_cumulative_sum"),
         F.sum(c).over(whole).alias("total_cumulative_sum"),
-        F.sum(c).over(base.rowsBetween(-6, 0)).alias("weekly_rolling_count"),
-        F.sum(c).over(base.rowsBetween(*prev_frame)).alias("previous_weekly_rolling_count"),
+        F.sum(c).over(frame(-6, 0)).alias("weekly_rolling_count"),
+        F.sum(c).over(frame(*prev_frame)).alias("previous_weekly_rolling_count"),
         F.sum(c).over(month).alias("monthly_cumulative_sum"))
     return (out.filter(F.col("total_cumulative_sum") > min_total)
                .withColumn("pct_of_month", c.cast("double") / F.col("monthly_cumulative_sum").cast("double"))

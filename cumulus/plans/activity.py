@@ -275,7 +275,7 @@ FROM grid""",
     "array_daily": _MONTH_CTE + """
 SELECT 'site_hits' AS metric_name, day AS date, CAST(SUM(n) AS BIGINT) AS value FROM grid GROUP BY day""",
     "array_length_hist": _MONTH_CTE + """
-SELECT CAST(30 AS BIGINT) AS array_length, COUNT(*) AS n_rows FROM users""",
+SELECT CAST((SELECT COUNT(*) FROM cal) AS BIGINT) AS array_length, COUNT(*) AS n_rows FROM users""",
     "host_reduced": _HOST_SQL,
     "host_reduced_step": _HOST_SQL,
 }

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from cumulus.functions import constants as K
 from cumulus.operators import cubes as CB
 from cumulus.operators import dedupe as DD
 from cumulus.operators import funnel as FN
@@ -93,19 +94,28 @@ def q_referrer_bucket(spark, d):
     return ev.select("event_id", "referrer", W.referrer_channel("referrer").alias("referrer_channel"))
 
 
-def q_rolling_counts(spark, d):
+def _rolling(spark, d, **frames):
     ev = roles.web_events(spark, d).join(roles.devices(spark, d), "device_id")
     # the channel is NULL exactly when the referrer is: drop those rows before
     # the mapping instead of after the windows
     ev = ev.filter(F.col("referrer").isNotNull())
     daily = (ev.select("url", W.referrer_channel("referrer").alias("referrer"), "event_date")
                .groupBy("referrer", "url", "event_date").agg(F.count(F.lit(1)).alias("count")))
-    r = W.rolling_counts(daily, ["referrer", "url"], "event_date", "count", ROLLING_MIN_TOTAL)
+    r = W.rolling_counts(daily, ["referrer", "url"], "event_date", "count", ROLLING_MIN_TOTAL, **frames)
     return r.select(
         "referrer", "url", "event_date", "count", "weekly_rolling_count", "previous_weekly_rolling_count",
         F.round("pct_of_month", 6).alias("pct_of_month"), F.round("pct_of_total", 6).alias("pct_of_total"))
 
 
+def q_rolling_counts(spark, d):
+    return _rolling(spark, d)
+
+
+def q_rolling_counts_calendar(spark, d):
+    """The week up to each day and the week before it, by the calendar."""
+    return _rolling(spark, d, prev_frame=(-13, -7), calendar=True)
+
+
 GD_KEYS = ["game_id", "team_id", "player_id"]
 
 
@@ -173,6 +183,7 @@ QUERIES = {
     "hits_cube": q_hits_cube,
     "referrer_bucket": q_referrer_bucket,
     "rolling_counts": q_rolling_counts,
+    "rolling_counts_calendar": q_rolling_counts_calendar,
     "gs_entity_group_period": q_gs_entity_group_period,
     "argmax_group": q_argmax_group,
     "argmax_period": q_argmax_period,
@@ -221,9 +232,8 @@ FROM web_events JOIN known USING (device_id),
      (VALUES ('os_type__device_type__browser'), ('browser_type'), ('os_type'), ('device_type')) AS levels(level)
 GROUP BY ALL)"""
 
-_CHANNEL = """CASE WHEN referrer LIKE '%linkedin%' THEN 'Linkedin' WHEN referrer LIKE '%t.co%' THEN 'Twitter'
-            WHEN referrer LIKE '%google%' THEN 'Google' WHEN referrer LIKE '%lnkd%' THEN 'Linkedin'
-            WHEN referrer LIKE '%example.com%' THEN 'On Site' ELSE referrer END"""
+_CHANNEL = "CASE " + " ".join(f"WHEN referrer LIKE '%{part}%' THEN '{channel}'" for part, channel in [
+    *K.REFERRER_RULES, ("example.com", "On Site")]) + " ELSE referrer END"
 
 _GD = with_roles("game_details", "games") + """,
 gd AS (SELECT * EXCLUDE (rn) FROM (
@@ -339,3 +349,16 @@ SELECT player_name, MAX(rn - COALESCE(last_miss, 0)) AS longest_streak FROM u WH
 }
 
 ORACLE["hits_cube"] = ORACLE["hits_slice"]
+ORACLE["rolling_counts_calendar"] = with_roles("web_events", "devices") + f""",
+tagged AS (SELECT e.url, {_CHANNEL} AS referrer, e.event_date FROM web_events e JOIN devices d ON e.device_id = d.device_id),
+daily AS (SELECT referrer, url, event_date, COUNT(*) AS "count" FROM tagged WHERE referrer IS NOT NULL GROUP BY ALL),
+w AS (SELECT a.referrer, a.url, a.event_date, a."count",
+             SUM(b."count") FILTER (WHERE b.event_date BETWEEN a.event_date - 6 AND a.event_date) AS weekly,
+             SUM(b."count") FILTER (WHERE b.event_date BETWEEN a.event_date - 13 AND a.event_date - 7) AS prev_weekly,
+             SUM(b."count") FILTER (WHERE date_trunc('month', b.event_date) = date_trunc('month', a.event_date)) AS month_total,
+             SUM(b."count") AS total
+      FROM daily a JOIN daily b ON a.referrer = b.referrer AND a.url = b.url GROUP BY ALL)
+SELECT referrer, url, event_date, "count", CAST(weekly AS BIGINT) AS weekly_rolling_count,
+       CAST(prev_weekly AS BIGINT) AS previous_weekly_rolling_count,
+       round(CAST("count" AS DOUBLE) / month_total, 6) AS pct_of_month, round(CAST("count" AS DOUBLE) / total, 6) AS pct_of_total
+FROM w WHERE total > 100"""

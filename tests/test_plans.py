@@ -45,6 +45,12 @@ def test_dimension_is_broadcast_by_its_bytes_only(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_growth_counts_carry_no_date_list_beside_the_days(spark):
+    text = plan(analytics.q_growth_state_counts(spark, SF_SMALL))
+    carried = [line.rsplit("], false, [", 1)[0].rsplit("[", 1)[1] for line in text.splitlines() if "Generate explode(transform(" in line]
+    assert carried and all("_days" not in c for c in carried)
+
+
 def test_layout_sorts_order_their_rows(spark):
     from cumulus.plans import warehouse
     key = lambda r: (r.user_id, r.ts)
