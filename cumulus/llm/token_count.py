@@ -72,6 +72,23 @@ def count_merges(symbols: list, ranks: dict) -> int:
     return left
 
 
+def newer_characters() -> frozenset[str]:
+    """Letters and digits of a later Unicode version than the vocabulary's library knows: to it they are neither.
+
+    Only characters that are unassigned to ``unicodedata`` are asked for.
+    """
+    import regex
+    from tokenizers import Regex, pre_tokenizers
+
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    out = []
+    for kind in (r"\p{L}", r"\p{N}"):
+        known = pre_tokenizers.Split(Regex(kind), "removed").pre_tokenize_str
+        out += [c for c in regex.findall(kind, every)
+                if unicodedata.category(c) == "Cn" and known("." + c)[0][0] != "."]
+    return frozenset(out)
+
+
 class TokenCounter:
     def __init__(self, path: str):
         import regex
@@ -82,7 +99,14 @@ class TokenCounter:
         cut = spec["pre_tokenizer"]["pretokenizers"]
         if steps != ["NFC", "Replace", "Lowercase"] or [c["type"] for c in cut] != ["Split", "ByteLevel"]:
             raise ValueError(f"{path}: unknown steps before the merges")
-        self.words = regex.compile(cut[0]["pattern"]["Regex"]).findall
+        pattern = cut[0]["pattern"]["Regex"]
+        self.words = regex.compile(pattern).findall
+        self.newer = newer_characters()
+        if self.newer:  # the same pattern for words that hold one: it is no letter or digit there
+            newer = "".join(map(regex.escape, sorted(self.newer)))
+            for kind in (r"\p{L}", r"\p{N}"):
+                pattern = pattern.replace(kind, f"[{kind}--[{newer}]]")
+            self.words_with_newer = regex.compile(pattern, regex.V1).findall
         self.end = model["end_of_word_suffix"] or ""
         merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         self.ranks = {(a, b): (i, a + b) for i, (a, b) in enumerate(merges)}
@@ -97,7 +121,8 @@ class TokenCounter:
         return count_merges(symbols, self.ranks)
 
     def _stretch(self, stretch: str) -> int:
-        n = sum(map(self.word, self.words(stretch)))
+        plain = stretch.isascii() or self.newer.isdisjoint(stretch)
+        n = sum(map(self.word, (self.words if plain else self.words_with_newer)(stretch)))
         if len(stretch) < 64:
             if len(self.cache) >= CACHE_ENTRIES:
                 self.cache.clear()

@@ -14,7 +14,7 @@ from cumulus.llm.queries import VOCABULARY, WORD_VOCABULARY, op6_byte_bpe, op7_t
 from tests.conftest import SF_SMALL
 from tests.llm.conftest import sha
 
-ODD = ["", " ", "\n", "  a  b\n\n c", "x\t y\t\n z ", "I'll don't 'S 's", "ΑΣ ΣΑΣ σς", "\x1c\x1d a\x85b c d",
+ODD = ["Î\U000323b0 \U000323b0a1", "", " ", "\n", "  a  b\n\n c", "x\t y\t\n z ", "I'll don't 'S 's", "ΑΣ ΣΑΣ σς", "\x1c\x1d a\x85b c d",
        "naïve é ﬁ İstanbul ẞ", "日本語テキスト 123 ４５", "<|endoftext|>a<|startoftext|><|endoftext|>", "a" * 5000,
        "😀👩‍👩‍👧 ok", "▁ Ġ ﻿​", "1234567 ١٢٣ Ⅻ", " " * 300 + "end   ", "the\n\n\nthe", "_a_ %%%&&&"]
 
