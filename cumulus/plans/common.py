@@ -1,7 +1,7 @@
 """Shared parameters of the registered queries."""
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +14,13 @@ from cumulus.session import shared_path
 DS = "2024-01-30"
 PREV_DS = "2024-01-29"
 MONTH_START = "2024-01-01"
+# rows of a fact that one task sorts or groups, where their bytes in a shuffle say too little
+ROWS_A_TASK = 1 << 18
+
+
+def tasks_for(frames: Sequence[DataFrame], least: int) -> int:
+    """Number of tasks for the largest of ``frames`` (counted from file footers where they are plain scans)."""
+    return max(least, *(-(-df.count() // ROWS_A_TASK) for df in frames))
 
 
 @contextmanager

@@ -11,7 +11,7 @@ from cumulus.operators import bi as BI
 from cumulus.operators import layout as LY
 from cumulus.operators import stored as ST
 from cumulus.operators import warehouse as WH
-from cumulus.plans.common import scratch_table, stored
+from cumulus.plans.common import scratch_table, stored, tasks_for
 from cumulus.plans.role_sql import with_roles
 from cumulus.sources import roles
 from cumulus.session import shared_path
@@ -48,7 +48,7 @@ def q_star_join(spark, d):
                  roles.medals(spark, d), roles.maps(spark, d))
 
 
-STAR_BUCKETS = 16
+STAR_BUCKETS = 16  # the least; more as the tables grow, since one task joins a bucket
 # tables that are bucketed by one of two join keys are joined in place
 SUBSET_OF_KEYS = ("spark.sql.requireAllClusterKeysForCoPartition", "false")
 
@@ -57,8 +57,9 @@ def bucketed_star(spark, d, names):
     """Match details, matches and medals won as tables bucketed by match, and their star join: all that is
     joined or grouped by match is in place already."""
     frames = (roles.match_details(spark, d), roles.matches(spark, d), roles.medals_matches_players(spark, d))
+    buckets = tasks_for(frames, STAR_BUCKETS)
     for df, name in zip(frames, names, strict=True):
-        WH.bucketed_save(df.repartition(STAR_BUCKETS, "match_id"), name, "match_id", STAR_BUCKETS)
+        WH.bucketed_save(df.repartition(buckets, "match_id"), name, "match_id", buckets)
     details, matches, won = map(spark.table, names)
     return _star(details, matches, won, roles.medals(spark, d), roles.maps(spark, d))
 

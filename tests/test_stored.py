@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cumulus.operators import dedupe, distinct_counts, layout, ordered, quality, scd, stored
-from cumulus.plans import warehouse
+from cumulus.plans import common, warehouse
 from cumulus.sources import roles
 from tests.conftest import SF_SMALL
 
@@ -201,6 +201,23 @@ def test_star_join_on_buckets_has_no_exchange(spark):
             spark.sql(f"DROP TABLE IF EXISTS {n}")
 
 
+def test_star_buckets_grow_with_the_rows(spark, monkeypatch):
+    names = [f"t_{uuid.uuid4().hex}" for _ in range(3)]
+    monkeypatch.setattr(common, "ROWS_A_TASK", 200)
+    rows = roles.match_details(spark, SF_SMALL).count()
+    try:
+        with stored.setting(spark, *warehouse.SUBSET_OF_KEYS):
+            got = warehouse.bucketed_star(spark, SF_SMALL, names)
+            for n in names:
+                told = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {n}").collect()}
+                assert int(told["Num Buckets"]) == -(-rows // 200) > warehouse.STAR_BUCKETS
+            want = warehouse.q_star_join(spark, SF_SMALL)
+            assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect()))
+    finally:
+        for n in names:
+            spark.sql(f"DROP TABLE IF EXISTS {n}")
+
+
 def test_distinct_counts_merge(spark):
     ids = [0, 1, -1, 32768, 32769, -32768, 2**31, 2**40 + 5, -(2**45), 7, 7, None]
     data = [(f"h{(i or 0) % 3}", d, i) for d in range(6) for i in ids if i is None or (i + d) % 2 == 0]
