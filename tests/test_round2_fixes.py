@@ -82,3 +82,16 @@ def test_dedupe_is_cut_before_the_shuffle(spark):
     for name in ("dedupe_rows", "graph_edges_direct", "fact_build"):
         plan = all_queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
         assert "WindowGroupLimit" in plan and "Partial" in plan and "SortAggregate" not in plan, name
+
+
+def test_dedupe_sorts_no_scan_partition(spark):
+    """A task sorts a shuffle partition, whatever it reads of a file; a key with most of the rows is dealt out."""
+    for name in ("dedupe_rows", "longest_streak"):
+        df = all_queries()[name](spark, SF_SMALL)
+        lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+        partial = next(i for i, line in enumerate(lines) if "WindowGroupLimit" in line and "Partial" in line)
+        below = "\n".join(lines[partial:])
+        assert "Exchange" in below[:below.index("Scan parquet")] and "SPARK_PARTITION_ID" in below, name
+    rows = [(1, i % 3, i) for i in range(900)] + [(None, 5, 7), (None, 5, 6), (2, 1, 1)]
+    df = spark.createDataFrame(rows, "k int, o int, v int").repartition(9)
+    assert sorted(map(tuple, DD.deduplicate(df, ["k"], ["o"]).collect()), key=str) == [(1, 0, 0), (2, 1, 1), (None, 5, 6)]
