@@ -12,7 +12,7 @@ from cumulus.operators import dedupe as DD
 from cumulus.operators import funnel as FN
 from cumulus.operators import growth as GR
 from cumulus.operators import windows as W
-from cumulus.plans.common import DS, PREV_DS, dates_text, scratch_table, stored
+from cumulus.plans.common import DS, PREV_DS, dates_text, scratch_table, stored, tasks_for
 from cumulus.plans.role_sql import with_roles
 from cumulus.sources import roles
 
@@ -124,7 +124,11 @@ def _gd(spark, d):
 
 
 def q_gs_entity_group_period(spark, d):
-    x = _gd(spark, d).join(roles.games(spark, d).select("game_id", "season"), "game_id")
+    # a task keeps three groups of each of its rows: as many tasks as the rows need, at least those of any shuffle
+    # (fewer would be shuffled again for the join)
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    gd = _gd(spark, d).repartition(tasks_for([roles.game_details(spark, d)], least), "game_id")
+    x = gd.join(roles.games(spark, d).select("game_id", "season"), "game_id")
     # a team wins a game that its players leave with a positive total; groups hold one team's rows of one game
     total = F.sum("plus_minus").over(Window.partitionBy("game_id", "team_abbreviation"))
     x = x.withColumn("game_won", F.when(F.col("team_abbreviation").isNotNull() & (total > 0), F.col("game_id")))

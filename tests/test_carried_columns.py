@@ -9,8 +9,9 @@ from cumulus.operators import arrays as A
 from cumulus.operators import datelist as D
 from cumulus.operators import growth as GR
 from cumulus.operators import warehouse as WH
-from cumulus.plans import analytics
+from cumulus.plans import analytics, common
 from cumulus.sources import sinks
+from tests.conftest import SF_SMALL
 
 
 def day(n):
@@ -93,3 +94,10 @@ def test_pruned_join_reads_only_the_partitions_in_range(spark, tmp_path):
     read = {f.split("d=")[1][:10] for f in joined.select("k", "d", F.input_file_name().alias("f")).select("f").distinct()
             .toPandas()["f"] if "d=" in f}
     assert sorted(r.k for r in joined.collect()) == [2, 3, 32, 33, 62, 63] and read <= {"2024-01-03", "2024-01-04"}
+
+
+def test_team_games_are_dealt_by_their_rows(spark, monkeypatch):
+    monkeypatch.setattr(common, "ROWS_A_TASK", 200)
+    rows = analytics.roles.game_details(spark, SF_SMALL).count()
+    text = analytics.q_gs_entity_group_period(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert f", {-(-rows // 200)}), REPARTITION_BY_NUM" in text
