@@ -16,21 +16,25 @@ from cumulus.llm.common import materialize
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """(id, component) of every node of ``edges`` (a, b); component is the smallest id reachable."""
+    stars = star_edges(edges)
+    return stars.unionByName(stars.select(F.col("component").alias("id"), "component").distinct())
+
+
+def star_edges(edges: DataFrame) -> DataFrame:
+    """``connected_components`` without the nodes that are the smallest of their component themselves."""
     now = materialize(
         edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
-    seen = _digest(now)
-    while True:
+    while not _only_stars(now):
         now = materialize(_small_star(_large_star(now)), "edges")
-        fresh = _digest(now)
-        if fresh == seen:  # only stars are left: every node points to its component
-            break
-        seen = fresh
-    return now.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(
-        now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
+    return now.select(F.col("u").alias("id"), F.col("v").alias("component"))
 
 
-def _digest(edges: DataFrame):
-    return edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.col("v") % 1000003)).first()
+def _only_stars(edges: DataFrame) -> bool:
+    """Whether every node points to one node that points to none: then that is its component."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("out"), F.lit(0).alias("into")).unionByName(
+        edges.select(F.col("v").alias("x"), F.lit(0).alias("out"), F.lit(1).alias("into")))
+    per_node = ends.groupBy("x").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+    return per_node.agg(F.count_if((F.col("out") > 1) | ((F.col("out") == 1) & (F.col("into") == 1)))).first()[0] == 0
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

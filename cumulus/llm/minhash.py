@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cumulus.llm.common import materialize, shuffle_partitions
-from cumulus.llm.components import connected_components
+from cumulus.llm.components import star_edges
 from cumulus.llm.shingles import mix, shingle_sets, slices
 
 BANDS, ROWS = 40, 5
@@ -177,7 +177,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col="
     shared = materialize(shared, "shared")
     links = _linked(base, named, members, sigs, words, percent)
     links = shared if links is None else links.unionByName(shared)
-    parts = connected_components(links).withColumnRenamed("id", "node")
+    parts = star_edges(links).withColumnRenamed("id", "node")
     parts = materialize(classes.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node")),
                         "parts")
     least = parts.groupBy("component").agg(F.min("rep").alias("of_class"))
@@ -195,7 +195,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col="
 
 def _linked(base: DataFrame, named: DataFrame, members: DataFrame, sigs: DataFrame, words: int,
             percent: int) -> DataFrame | None:
-    """The confirmed links (a, b) of nodes; None if there is none.
+    """Edges (a, b) that connect what the confirmed links of nodes connect; None if there is none.
 
     ``named``: (k1, k2, doc, id), the row of a node; ``members``: (id, key), its buckets; ``sigs``: (id, sig), all its
     band keys in order.
@@ -239,7 +239,7 @@ def _rounds(members: DataFrame, sets: DataFrame, sigs: DataFrame, percent: int)
     members = materialize(_in_shared_buckets(
         members.join(sized, "id").withColumn("lone", F.coalesce("lone", F.lit(0)))
         .where((F.col("n") - F.col("lone")) * 100 >= F.col("n") * percent)), "members")
-    links, tested, centres, parts = None, None, 1, None
+    tested, centres, parts = None, 1, None
     while not members.isEmpty():
         order = [F.col("lone"), F.col("id")]
         rank = F.row_number().over(Window.partitionBy("key").orderBy(*order))
@@ -262,8 +262,9 @@ def _rounds(members: DataFrame, sets: DataFrame, sigs: DataFrame, percent: int)
         tested = pairs if tested is None else tested.unionByName(pairs)
         found = materialize(confirm(pairs, sets, percent), "links")
         if not found.isEmpty():
-            links = found if links is None else links.unionByName(found)
-            parts = materialize(connected_components(links), "parts").select("id", F.col("component").alias("part"))
+            # the components so far stand for the links that made them
+            known = found if parts is None else found.unionByName(parts.select(F.col("id").alias("a"), F.col("part").alias("b")))
+            parts = star_edges(known).withColumnRenamed("component", "part")
         # what goes on: members that have not been centres, in buckets of two or more components
         left = members.drop("part").join(chosen.select("key", "id"), ["key", "id"], "left_anti")
         if parts is None:
@@ -278,7 +279,7 @@ def _rounds(members: DataFrame, sets: DataFrame, sigs: DataFrame, percent: int)
                 _rarest(sets.join(left.select("id").distinct(), "id", "left_semi"), percent), "id")
         members = materialize(left, "members")
         centres *= CENTRES
-    return links
+    return None if parts is None else parts.select(F.col("id").alias("a"), F.col("part").alias("b"))
 
 
 def _lone(sets: DataFrame) -> DataFrame:

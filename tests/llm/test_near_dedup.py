@@ -8,6 +8,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from cumulus.llm import minhash
+from cumulus.llm import components
+from cumulus.llm.common import materialize
 from cumulus.llm.components import connected_components
 from cumulus.llm.shingles import LONG_WORD, shingle_sets, slices
 
@@ -101,6 +103,16 @@ def test_components_of_chains_and_hubs(spark):
     assert out == {**{i: 0 for i in range(41)}, **{i: 900 for i in range(900, 1001)}, **{i: 4996 for i in range(4996, 5001)}}
 
 
+def test_stars_are_written_once(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(components, "materialize", lambda df, name: written.append(name) or materialize(df, name))
+    stars = [(3, 1), (1, 2), (2, 1), (20, 10), (10, 30), (5, 5)]
+    out = {tuple(r) for r in connected_components(spark.createDataFrame(stars, "a long, b long")).collect()}
+    assert out == {(1, 1), (2, 1), (3, 1), (10, 10), (20, 10), (30, 10)} and len(written) == 1
+    chain = spark.createDataFrame([(1, 2), (2, 3), (4, 3)], "a long, b long")
+    assert {tuple(r) for r in connected_components(chain).collect()} == {(i, 1) for i in range(1, 5)} and len(written) > 2
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.one_of(st.none(), st.text(st.sampled_from("aAbé \t\n\x0b\f\r\x1c\xa0"), max_size=25)), max_size=8),
        st.integers(1, 5))
