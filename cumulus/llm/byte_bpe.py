@@ -34,6 +34,7 @@ from cumulus.llm.common import carried
 from cumulus.llm.shingles import slices
 
 CACHE_ENTRIES = 1 << 18
+NEW_AT_ONCE = 1 << 14  # new words looked at together
 STRETCHES = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 # letters (U+00C0 to U+024F are letters but for two signs), then marks that never start a contraction:
 # the pattern cuts such a stretch into these two
@@ -159,14 +160,8 @@ class ByteBpe:
     def _sizes(self, words: list[str]) -> list[int]:
         """Tokens of each of these distinct words, a blank before it if it does not begin a line."""
         new = [w for w in words if w not in self.counts]
-        stretches = [w if w[0] == "\n" else " " + w for w in new]
-        plain = [PLAIN.fullmatch(s) for s in stretches]
-        pieces = [self.split(s) if m is None else m.groups() if m[2] else (s,) for s, m in zip(stretches, plain, strict=True)]
-        size = dict.fromkeys(chain.from_iterable(pieces), 1)
-        unknown = [p for p in size if p.encode() not in self.rank]  # no tokens themselves
-        ids = self.model.encode([p.encode().decode("latin-1").translate(self.chars) for p in unknown], num_threads=1)
-        size.update(zip(unknown, map(len, ids), strict=True))
-        self.counts.update(zip(new, [size[p[0]] if len(p) == 1 else sum(map(size.__getitem__, p)) for p in pieces], strict=True))
+        for at in range(0, len(new), NEW_AT_ONCE):
+            self._count_new(new[at:at + NEW_AT_ONCE])
         out = list(map(self.counts.__getitem__, words))
         if len(self.counts) > CACHE_ENTRIES:  # short words of the latest texts stay
             self.counts = {w: n for w, n in zip(words, out, strict=True) if len(w) < 64}
@@ -176,6 +171,16 @@ class ByteBpe:
                     del self.counts[w]
         return out
 
+    def _count_new(self, new: list[str]) -> None:
+        stretches = [w if w[0] == "\n" else " " + w for w in new]
+        plain = [PLAIN.fullmatch(s) for s in stretches]
+        pieces = [self.split(s) if m is None else m.groups() if m[2] else (s,) for s, m in zip(stretches, plain, strict=True)]
+        size = dict.fromkeys(chain.from_iterable(pieces), 1)
+        unknown = [p for p in size if p.encode() not in self.rank]  # no tokens themselves
+        ids = self.model.encode([p.encode().decode("latin-1").translate(self.chars) for p in unknown], num_threads=1)
+        size.update(zip(unknown, map(len, ids), strict=True))
+        self.counts.update(zip(new, [size[p[0]] if len(p) == 1 else sum(map(size.__getitem__, p)) for p in pieces], strict=True))
+
 
 @lru_cache(maxsize=2)
 def coder(path: str, pattern: str) -> ByteBpe:

@@ -175,14 +175,16 @@ def fit(docs: DataFrame, learn: Column, id_col="doc_id", text_col="text", lang_c
 def predict(docs: DataFrame, model: LanguageModel, text_col="text", keep_text=False) -> DataFrame:
     """Columns of ``docs`` (the text only if ``keep_text``), and lang_pred, score (replaced if they exist)."""
     keep = carried(docs, ["lang_pred", "score"] + ([] if keep_text else [text_col]))
+    kept = text_col in keep and dict(docs.dtypes)[text_col] == "string"  # then it is sent to Python once
     rows = docs.select(F.struct(*[F.col(c) for c in keep] or [F.lit(0).alias("_")]).alias("doc"),
-                       F.col(text_col).cast("string").alias("text"))
+                       *[] if kept else [F.col(text_col).cast("string").alias("text")])
     shared = docs.sparkSession.sparkContext.broadcast(model)  # size: (families + pairs) * DIMS weights
 
     def run(batches):
         own = shared.value
         for b in batches:
-            found = [own.predict(t.as_py()) for t in b.column("text")]
+            texts = b.column("doc").field(text_col) if kept else b.column("text")
+            found = [own.predict(t.as_py()) for t in texts]
             langs, scores = zip(*found, strict=True) if found else ((), ())
             yield pa.RecordBatch.from_arrays([b.column("doc"), pa.array(langs, pa.string()),
                                               pa.array(scores, pa.float64())], ["doc", "lang_pred", "score"])

@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from cumulus.llm.common import materialize, shuffle_partitions
 from cumulus.llm.components import star_edges
-from cumulus.llm.shingles import mix, shingle_sets, slices
+from cumulus.llm.shingles import SMALL_TEXT, mix, shingle_sets, slices
 
 BANDS, ROWS = 40, 5
 CENTRES = 8  # the number of centres of a bucket grows by this factor each round
@@ -89,7 +89,7 @@ def _set_keys(ends, hashes):
 def _sign(words: int, bands: int, rows: int):
     def run(batches):
         for whole in batches:
-            for b in slices(whole, "text"):
+            for b in slices(whole, "text", SMALL_TEXT):
                 ends, hashes = shingle_sets(b.column("text"), words)
                 size = np.diff(ends)
                 some = np.flatnonzero(size)
@@ -115,7 +115,7 @@ def _sets(words: int):
     def run(batches):
         for whole in batches:
             rest = [c for c in whole.schema.names if c not in ("text", "k1", "k2")]
-            for b in slices(whole, "text"):
+            for b in slices(whole, "text", SMALL_TEXT):
                 ends, hashes = shingle_sets(b.column("text"), words)
                 some = np.flatnonzero(np.diff(ends))
                 if not len(some):

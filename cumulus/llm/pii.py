@@ -43,6 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cumulus.llm.common import carried
+from cumulus.llm.shingles import SMALL_TEXT, slices
 
 # fixed values: span kinds in their order, anchors and character classes
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -325,16 +326,17 @@ def redact(text: str, spans) -> str:
 
 
 def _scan(batches):
-    for b in batches:
-        texts = [t or "" for t in b.column("text").to_pylist()]
-        found = [find_spans(t) for t in texts]
-        counts = [pa.array([sum(s[1] == k for s in f) for f in found], pa.int64()) for k in BASE_KINDS]
-        base = [hashlib.sha256(as_text(s for s in f if s[1] in BASE_KINDS).encode()).hexdigest() for f in found]
-        clean = [redact(t, f) if f else t for t, f in zip(texts, found, strict=True)]
-        yield pa.RecordBatch.from_arrays(
-            [b.column("doc"), *counts, pa.array(base), pa.array([as_text(f) for f in found], pa.string()),
-             pa.array(clean, pa.string())],
-            ["doc", *[f"n_{k}" for k in BASE_KINDS], "base_sha256", "spans", "redacted"])
+    for whole in batches:
+        for b in slices(whole, "text", SMALL_TEXT):
+            texts = [t or "" for t in b.column("text").to_pylist()]
+            found = [find_spans(t) for t in texts]
+            counts = [pa.array([sum(s[1] == k for s in f) for f in found], pa.int64()) for k in BASE_KINDS]
+            base = [hashlib.sha256(as_text(s for s in f if s[1] in BASE_KINDS).encode()).hexdigest() for f in found]
+            clean = [redact(t, f) if f else t for t, f in zip(texts, found, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc"), *counts, pa.array(base), pa.array([as_text(f) for f in found], pa.string()),
+                 pa.array(clean, pa.string())],
+                ["doc", *[f"n_{k}" for k in BASE_KINDS], "base_sha256", "spans", "redacted"])
 
 
 OWN = [*[f"n_{k}" for k in BASE_KINDS], "base_sha256", "spans", "redacted"]

@@ -12,8 +12,9 @@ import pyarrow.compute as pc
 import xxhash
 
 LONG_WORD = 1024  # longer words are hashed one by one
-WORDS_AT_ONCE = 1 << 18
+HASHED_AT_ONCE = 1 << 18  # bytes of words; also bounds the powers that a worker keeps
 TEXT_AT_ONCE = 4 << 20
+SMALL_TEXT = 1 << 20  # for functions that hold many times the text
 _RNG = np.random.default_rng(7)
 _BYTE = _RNG.integers(0, 2**64, 256, np.uint64, endpoint=False)
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so that it has an inverse modulo 2**64
@@ -31,7 +32,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 def _powers(base: np.uint64, n: int) -> np.ndarray:
     have = _POWERS.get(base)
     if have is None or len(have) < n:
-        steps = np.full(max(n, 1 << 20), base, np.uint64)
+        steps = np.full(max(n, HASHED_AT_ONCE + 1), base, np.uint64)
         steps[0] = 1
         have = _POWERS[base] = np.multiply.accumulate(steps)
     return have[:n]
@@ -43,8 +44,10 @@ def word_hashes(words: pa.Array) -> np.ndarray:
     data = np.frombuffer(words.buffers()[2] or b"", np.uint8)
     out = np.empty(len(words), np.uint64)
     size = np.diff(ends)
-    for at in range(0, len(words), WORDS_AT_ONCE):
-        part = slice(at, min(len(words), at + WORDS_AT_ONCE))
+    stop = 0
+    while stop < len(words):
+        at, stop = stop, max(stop + 1, int(np.searchsorted(ends, ends[stop] + HASHED_AT_ONCE, "right")) - 1)
+        part = slice(at, stop)
         long = np.flatnonzero(size[part] > LONG_WORD) + at
         cuts = [at, *[x for i in long.tolist() for x in (i, i + 1)], part.stop]
         for a, b in zip(cuts[::2], cuts[1::2], strict=True):  # the stretches between long words
@@ -93,10 +96,10 @@ def shingle_sets(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
     return np.array(ends), np.concatenate(sets) if sets else np.empty(0, np.uint64)
 
 
-def slices(batch: pa.RecordBatch, text_col: str):
-    """Parts of a batch of about TEXT_AT_ONCE bytes of text, so that memory follows neither batch size nor count."""
+def slices(batch: pa.RecordBatch, text_col: str, size: int = TEXT_AT_ONCE):
+    """Parts of a batch of about ``size`` bytes of text, so that memory follows neither batch size nor count."""
     sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(text_col)), 0), np.int64)
-    group = np.cumsum(sizes) // TEXT_AT_ONCE
+    group = np.cumsum(sizes) // size
     at = 0
     for end in [*(np.flatnonzero(np.diff(group)) + 1).tolist(), len(sizes)]:
         if end > at:
